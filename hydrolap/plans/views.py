@@ -83,11 +83,8 @@ class Tables:
             "Sin riesgo (0-5)", "Bajo riesgo (5-14)", "Riesgo medio (14-28)", "Alto riesgo (28-40)",
             "Inviabile sanitariamente (>40)"))
         bad_date = okey % 100
-        rows = self.lines.withColumn(
-            "copy_no", F.explode(F.when(okey % 200 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-        return rows.select(
-            *ORDER,
-            "copy_no",
+        copies = F.when(okey % 200 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        texts = [
             F.when(bad_date == 1, F.date_format(fecha, "dd/MM/yyyy"))
             .when(bad_date == 2, F.date_format(fecha, "MM-dd-yyyy"))
             .when(bad_date == 3, F.date_format(fecha, "yyyy/MM/dd"))
@@ -109,7 +106,10 @@ class Tables:
             F.concat(F.floor(cents / 1000), F.lit("."), F.lpad((cents % 1000).cast("string"), 3, "0")).alias("use_txt"),
             F.when(F.col("r_name") == "AFRICA", "Global").when(F.col("r_name") == "EUROPE", "Regional")
             .otherwise("Nacional").alias("scope"),
-        )
+        ]
+        # Stored texts in real use: a generator keeps their derivation out of later filters.
+        rows = self.lines.select(*ORDER, copies.alias("copies"), F.inline(F.array(F.struct(*texts))))
+        return rows.select(*ORDER, F.explode("copies").alias("copy_no"), *rows.columns[len(ORDER) + 1:])
 
 
 _LINES = """lines AS (
