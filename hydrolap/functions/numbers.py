@@ -16,12 +16,14 @@ def is_decimal_text(c: Column | str) -> Column:
     return strip(c).rlike(DECIMAL_PATTERN)
 
 
+# Letters a Java number may hold but a data value may not (suffixes, hex, NaN, Infinity).
+_NOT_NUMERIC = "dDfFnNxXpP"
+
+
 def safe_double(c: Column | str, comma: bool = True) -> Column:
     """Text to double; null where the text is no number. A decimal comma is read as a point."""
-    text = strip(c)
-    if comma:
-        text = F.translate(text, ",", ".")
-    return F.when(text.rlike(DECIMAL_PATTERN), text.try_cast("double"))
+    signs, meant = ("," + _NOT_NUMERIC, "." + "#" * len(_NOT_NUMERIC)) if comma else (_NOT_NUMERIC, "#" * len(_NOT_NUMERIC))
+    return F.translate(strip(c), signs, meant).try_cast("double")
 
 
 def number_from_text(c: Column | str) -> Column:

@@ -13,7 +13,6 @@ from ..functions import (
     safe_double,
 )
 from ..functions.dates import iso_text
-from ..functions.numbers import INTEGER_PATTERN
 from ..functions.once import with_columns_once
 from ..functions.text import strip
 from ..session import new_folder
@@ -55,14 +54,11 @@ WATER_CONVERSIONS = {
 
 def convert(c: Column | str, kind: str) -> Column:
     """Text to a type; a missing marker and a failure are both null (tell them apart with `failed`)."""
-    text = null_if_missing(c)
     if kind == "date":
-        return parse_date(text)
+        return parse_date(c)
     if kind in ("int", "smallint", "bigint"):
-        return F.when(text.rlike(INTEGER_PATTERN), text.try_cast(kind))
-    if kind == "double":
-        return safe_double(text)
-    return safe_double(text).try_cast(kind)
+        return strip(c).try_cast(kind)
+    return safe_double(c) if kind == "double" else safe_double(c).try_cast(kind)
 
 
 def failed(c: Column | str, kind: str) -> Column:

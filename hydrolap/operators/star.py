@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..domain import NO_VALUE_CLASS, RISK_DIMENSION, UNKNOWN, Domain
-from ..functions import calendar_columns
+from ..functions.dates import calendar_columns, date_key
 from .ordered import surrogate_keys
 
 KEYS = ("fecha_key", "municipio_key", "sistema_key", "riesgo_key", "servicio_key")
@@ -100,7 +100,7 @@ def build_star(df: DataFrame, domain: Domain, order: list[str], place: Column |
     fact = look_up(fact, F.broadcast(service), "servicio_key", "nivel_servicio", F.col("service"))  # 5 rows
     fact = fact.select(
         measurement_id(order).alias("id_medicion"),
-        F.coalesce(F.date_format("fecha", "yyyyMMdd").cast("int"), F.lit(0)).alias("fecha_key"),
+        F.coalesce(date_key("fecha"), F.lit(0)).alias("fecha_key"),
         "municipio_key", "sistema_key", "riesgo_key", "servicio_key", "irca",
         F.col("irca").isNotNull().cast("int").alias("irca_reportado"),
         F.col("coverage").alias("cobertura_acueducto_pct"), F.col("storage").alias("nivel_almacenamiento_pct"),

@@ -29,7 +29,8 @@ class Tables:
     @cached_property
     def lines(self) -> DataFrame:
         """Line items with their order's place. The order side is joined first, so that the
-        largest table is shuffled once."""
+        largest table is shuffled once. Line items and orders both grow with the data, so neither
+        is broadcast; a merge join lets AQE split a hot order key."""
         geography = self["nation"].join(self["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         buyers = self["customer"].join(geography, F.col("c_nationkey") == F.col("n_nationkey"))
         orders = (
@@ -37,7 +38,7 @@ class Tables:
             .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
             .select("o_orderkey", F.col("o_orderdate").cast("date").alias("fecha"), "c_name", "c_mktsegment", "n_name", "r_name")
         )
-        return self["lineitem"].join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return self["lineitem"].hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     @cached_property
     def measure(self) -> DataFrame:
@@ -82,14 +83,14 @@ class Tables:
         stored_class = risk_class(qty, (
             "Sin riesgo (0-5)", "Bajo riesgo (5-14)", "Riesgo medio (14-28)", "Alto riesgo (28-40)",
             "Inviabile sanitariamente (>40)"))
-        bad_date = okey % 100
+        bad_date, iso = okey % 100, fecha.cast("string")
         copies = F.when(okey % 200 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         texts = [
-            F.when(bad_date == 1, F.date_format(fecha, "dd/MM/yyyy"))
-            .when(bad_date == 2, F.date_format(fecha, "MM-dd-yyyy"))
-            .when(bad_date == 3, F.date_format(fecha, "yyyy/MM/dd"))
-            .when(bad_date == 4, F.concat(F.date_format(fecha, "yyyy"), F.lit("-13-"), F.date_format(fecha, "dd")))
-            .otherwise(F.date_format(fecha, "yyyy-MM-dd")).alias("fecha_txt"),
+            F.when(bad_date == 1, F.concat_ws("/", iso.substr(9, 2), iso.substr(6, 2), iso.substr(1, 4)))
+            .when(bad_date == 2, F.concat_ws("-", iso.substr(6, 2), iso.substr(9, 2), iso.substr(1, 4)))
+            .when(bad_date == 3, F.translate(iso, "-", "/"))
+            .when(bad_date == 4, F.concat(iso.substr(1, 4), F.lit("-13-"), iso.substr(9, 2)))
+            .otherwise(iso).alias("fecha_txt"),
             (F.year(fecha) + F.when(okey % 997 == 5, 1).otherwise(0)).cast("string").alias("anio_txt"),
             F.month(fecha).cast("string").alias("mes_txt"),
             F.when(pkey % 67 == 1, F.upper(name)).when(pkey % 67 == 2, F.lower(name))
