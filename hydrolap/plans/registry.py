@@ -28,5 +28,5 @@ def query(name: str, sql: str | None = None, views: str | None = "measure"):
 
 
 def load() -> None:
-    for module in ("scans", "scalars", "cube", "star", "indicators", "etl", "quality"):
+    for module in ("scans", "scalars", "cube", "star", "indicators", "etl", "quality", "mining", "text"):
         import_module(f"hydrolap.plans.{module}_queries")
