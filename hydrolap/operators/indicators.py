@@ -151,19 +151,23 @@ def mean_band(df: DataFrame, by: str = "place", digits: int | None = None) -> Da
 
 # Multivariate
 
+def _pearson(x: str, y: str) -> Column:
+    """``corr`` divides by zero in ANSI mode when a column is constant."""
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def correlation_rows(df: DataFrame, x: str, y: str, digits: int | None = None) -> DataFrame:
     """Pearson over complete pairs; null without variance."""
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    varies = (F.var_pop(x) > 0) & (F.var_pop(y) > 0)
     return pairs.agg(F.count(F.lit(1)).alias("pares"), *_round({
-        "media_x": F.avg(x), "media_y": F.avg(y), "correlacion": F.when(varies, F.corr(x, y))}, digits))
+        "media_x": F.avg(x), "media_y": F.avg(y), "correlacion": _pearson(x, y)}, digits))
 
 
 def correlation_units(units: DataFrame, x: str, y: str, group: str, digits: int | None = None) -> DataFrame:
     """Pearson over aggregated units: overall and inside each group; null below three units."""
     pairs = units.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    varies = (F.count(F.lit(1)) >= MIN_UNITS) & (F.var_pop(x) > 0) & (F.var_pop(y) > 0)
-    return pairs.rollup(group).agg(F.count(F.lit(1)).alias("unidades"), *_round({"correlacion": F.when(varies, F.corr(x, y))}, digits)) \
+    enough = F.count(F.lit(1)) >= MIN_UNITS
+    return pairs.rollup(group).agg(F.count(F.lit(1)).alias("unidades"), *_round({"correlacion": F.when(enough, _pearson(x, y))}, digits)) \
         .withColumn(group, F.coalesce(F.col(group), F.lit("global")))
 
 

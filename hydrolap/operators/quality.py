@@ -162,19 +162,21 @@ def outlier(c: str) -> Column:
 
 def tukey_outliers(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
     """Limits, outlier count and share, least and greatest value per variable."""
-    limits = fences(df, columns)
-    rows = df.join(F.broadcast(fences_row(df, columns)))  # a global aggregate: one row
+    rows = df.select(*columns).join(F.broadcast(fences_row(df, columns)))  # a global aggregate: one row
+    number = lambda c: safe_double(F.col(c).cast("string"))
+    fields = ["n", "li", "ls", "conteo", "min", "max"]
     counts = rows.agg(*[
-        F.struct(F.count_if(outlier(c)).alias("conteo"), F.min(safe_double(F.col(c).cast("string"))).alias("min"),
-                 F.max(safe_double(F.col(c).cast("string"))).alias("max")).alias(c) for c in columns])
-    return limits.join(_long(counts, columns, ["conteo", "min", "max"]), "variable").select(
-        "variable", "n", _round(F.col("low"), digits).alias("li"), _round(F.col("high"), digits).alias("ls"), "conteo",
+        F.struct(F.count(number(c)).alias("n"), F.max(f"_f_{c}.low").alias("li"), F.max(f"_f_{c}.high").alias("ls"),
+                 F.count_if(outlier(c)).alias("conteo"), F.min(number(c)).alias("min"), F.max(number(c)).alias("max")).alias(c)
+        for c in columns])
+    return _long(counts, columns, fields).where("n > 0").select(
+        "variable", "n", _round(F.col("li"), digits).alias("li"), _round(F.col("ls"), digits).alias("ls"), "conteo",
         _round(percentage(F.col("conteo"), F.col("n")), digits).alias("porcentaje"), "min", "max")
 
 
 def accuracy(df: DataFrame, columns: list[str], stored_class: str) -> DataFrame:
     """Rows with an outlier in any of the variables or a misspelled class."""
-    rows = df.join(F.broadcast(fences_row(df, columns)))
+    rows = df.select(*columns, stored_class).join(F.broadcast(fences_row(df, columns)))
     bad = any_of([*[outlier(c) for c in columns], misspelled_class(stored_class)])
     return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("bad")).withColumn(
         "score", percentage(F.col("total") - F.col("bad"), F.col("total")))
@@ -208,23 +210,39 @@ class Plan:
 
 
 def scores(df: DataFrame, plan: Plan) -> DataFrame:
-    """Six dimensions in long form: dimension, total, bad, score."""
+    """Six dimensions in long form: dimension, total, bad, score.
+
+    Completeness, validity, consistency and recency are one aggregate over one scan; uniqueness
+    needs the copies and accuracy the quartiles, so they pass over the rows on their own.
+    """
+    at = F.lit(plan.as_of).cast("date")
     day = F.when(~not_iso(plan.text.date), parse_date(plan.text.date))
-    parts = {
-        "Completitud": completeness(df, list(plan.columns)),
+    rows = F.count(F.lit(1))
+    missing = sum((is_missing(c).cast("int") for c in plan.columns[1:]), is_missing(plan.columns[0]).cast("int"))
+    numbers = [(safe_double(c), lo, hi) for c, (lo, hi) in plan.rules.items()]
+    judged = sum((v.isNotNull().cast("int") for v, _, _ in numbers), F.lit(0))
+    wrong = sum((outside(v, lo, hi).cast("int") for v, lo, hi in numbers), F.lit(0))
+    inconsistent = any_of(list(consistency_rules(plan.text).values()))
+    no_lag = F.lit(None).cast("int")
+
+    def line(total: Column, bad: Column, lag: Column = no_lag) -> Column:
+        return F.struct(total.cast("bigint").alias("total"), F.coalesce(bad.cast("bigint"), F.lit(0)).alias("bad"), lag.alias("desfase_dias"))
+
+    one = df.agg(
+        line(rows * len(plan.columns), F.sum(missing)).alias("Completitud"),
+        line(F.sum(judged), F.sum(wrong)).alias("Validez"),
+        line(rows, F.count_if(inconsistent)).alias("Consistencia"),
+        line(rows, F.count_if(~recent(day, at)), F.date_diff(at, F.max(day))).alias("Actualidad"),
+    )
+    out = _long(one, ["Completitud", "Validez", "Consistencia", "Actualidad"], ["total", "bad", "desfase_dias"], label="dimension")
+    for name, part in {
         "Unicidad": uniqueness(df, list(plan.columns)),
-        "Validez": validity(df, plan.rules),
-        "Consistencia": consistency(df, plan.text),
         "Exactitud": accuracy(df, list(plan.accuracy_columns), plan.text.stored_class),
-        "Actualidad": recency(df, day, plan.as_of),
-    }
-    out = None
-    for name, one in parts.items():
-        lag = F.col("desfase_dias") if "desfase_dias" in one.columns else F.lit(None).cast("int")
-        line = one.select(F.lit(name).alias("dimension"), F.col("total").cast("bigint").alias("total"),
-                          F.col("bad").cast("bigint").alias("bad"), "score", lag.alias("desfase_dias"))
-        out = line if out is None else out.unionByName(line)
-    return out
+    }.items():
+        out = out.unionByName(part.select(
+            F.lit(name).alias("dimension"), F.col("total").cast("bigint").alias("total"), F.col("bad").cast("bigint").alias("bad"),
+            no_lag.alias("desfase_dias")))
+    return out.withColumn("score", percentage(F.col("total") - F.col("bad"), F.col("total")))
 
 
 def complies(dimension: Column, score: Column, lag_days: Column) -> Column:

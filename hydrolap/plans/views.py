@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import risk_class, risk_group
 from ..functions.dates import quarter_label
@@ -12,6 +13,9 @@ from ..functions.dates import quarter_label
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 RAW_ORDER = ORDER + ["copy_no"]
 
+# Reading a footer for the schema costs a job per table; the tables do not change.
+_SCHEMAS: dict[str, StructType] = {}
+
 
 class Tables:
     """Lazy access to one scale-factor folder."""
@@ -21,7 +25,10 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = self.path(name)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
