@@ -65,9 +65,12 @@ def by_document_frequency(rows: DataFrame, key: str, documents: DataFrame, low:
 
 
 def ngrams(c: Column, n: int = 2) -> Column:
-    """Neighbouring tokens joined by a blank, built inside the row."""
-    starts = F.when(F.size(c) >= n, F.sequence(F.lit(1), F.size(c) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(c, i, n)))
+    """Neighbouring tokens joined by a blank: n shifted copies of the row's own array, zipped."""
+    width = F.greatest(F.size(c) - n + 1, F.lit(0))
+    out = F.slice(c, 1, width)
+    for i in range(2, n + 1):
+        out = F.zip_with(out, F.slice(c, i, width), lambda a, b: F.concat_ws(" ", a, b))
+    return out
 
 
 def term_counts(rows: DataFrame, limit: int | None = None) -> DataFrame:
