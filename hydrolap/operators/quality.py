@@ -146,7 +146,7 @@ def _numbers(df: DataFrame, columns: list[str], ids: list[str] = ()) -> DataFram
 
 def fences(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact inclusive quartiles and Tukey limits per variable."""
-    return tukey_fences(exact_quantiles(_numbers(df, columns), "value", {"q1": 0.25, "q3": 0.75}, by=["variable"]))
+    return tukey_fences(exact_quantiles(_numbers(df, columns), "value", {"q1": 0.25, "q3": 0.75}, by=["variable"], few_groups=True))
 
 
 def fences_row(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -273,7 +273,7 @@ def compare_scores(before: DataFrame, after: DataFrame, digits: int | None = Non
 def numeric_profile(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, least, quartiles, greatest per variable."""
     long = _numbers(df, columns)
-    q = exact_quantiles(long, "value", {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, by=["variable"]).drop("n")
+    q = exact_quantiles(long, "value", {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, by=["variable"], few_groups=True).drop("n")
     s = long.groupBy("variable").agg(
         F.count("value").alias("n"), F.avg("value").alias("media"), F.stddev_samp("value").alias("desv"),
         F.min("value").alias("min"), F.max("value").alias("max"))
@@ -281,17 +281,17 @@ def numeric_profile(df: DataFrame, columns: list[str], digits: int | None = None
         _round(F.col(c), digits).alias(c) for c in ("media", "desv", "min", "q1", "mediana", "q3", "max")])
 
 
-def group_median(df: DataFrame, column: str, by: list[str]) -> DataFrame:
-    return exact_quantiles(df, column, {"mediana": 0.5}, by=by)
+def group_median(df: DataFrame, column: str, by: list[str], few_groups: bool = False) -> DataFrame:
+    return exact_quantiles(df, column, {"mediana": 0.5}, by=by, few_groups=few_groups)
 
 
-def impute_median(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+def impute_median(df: DataFrame, columns: list[str], by: list[str], few_groups: bool = False) -> DataFrame:
     """Fill nulls with the median of the row's group (0 for a group without values) and flag them."""
     long = df.select(*by, *columns).unpivot(by, columns, "variable", "value")
-    medians = exact_quantiles(long, "value", {"m": 0.5}, by=[*by, "variable"])
+    medians = exact_quantiles(long, "value", {"m": 0.5}, by=[*by, "variable"], few_groups=few_groups)
     wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("variable") == c, F.col("m"))).alias(f"_m_{c}") for c in columns]) \
         .withColumnsRenamed({c: f"_b_{c}" for c in by})
-    out = df.join(wide, _match(by, [f"_b_{c}" for c in by]), "left")
+    out = df.join(F.broadcast(wide) if few_groups else wide, _match(by, [f"_b_{c}" for c in by]), "left")
     filled = {f"{c}_imputado": F.col(c).isNull() for c in columns}
     filled.update({c: F.coalesce(F.col(c), F.col(f"_m_{c}"), F.lit(0.0)) for c in columns})
     return out.withColumns(filled).drop(*[f"_b_{c}" for c in by], *[f"_m_{c}" for c in columns])

@@ -13,10 +13,14 @@ def _match(left: list[str], right: list[str]) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: list[str] = (), accuracy: int = 100_000
+    df: DataFrame, value: str, probs: dict[str, float], by: list[str] = (), accuracy: int = 100_000,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: ``by``, ``n`` and a column per entry of ``probs``.
 
+    ``few_groups`` states that ``by`` ranges over closed lists (listed columns, months, regions):
+    the bands, one row per group, are then broadcast. Otherwise the join is left to AQE.
+
     ``percentile`` keeps every distinct value of a group in one buffer. Here a bounded sketch
     first finds a narrow value band around each rank; a second pass counts the values inside the
     bands one by one and everything between them as a whole, so only the bands' distinct values
@@ -32,7 +36,7 @@ def exact_quantiles(
         F.percentile_approx("_x", edges, accuracy).alias("_b"), F.count(F.lit(1)).alias("n")
     ).withColumnsRenamed({c: f"_by_{c}" for c in by})
     if by:
-        banded = rows.join(bounds, _match(by, [f"_by_{c}" for c in by]))
+        banded = rows.join(F.broadcast(bounds) if few_groups else bounds, _match(by, [f"_by_{c}" for c in by]))
     else:
         banded = rows.join(F.broadcast(bounds))  # a global aggregate: one row
 

@@ -121,7 +121,7 @@ def histogram(t: Tables):
 SELECT service, region, count(water_use) AS n, round(min(water_use), 6) AS min, round(quantile_cont(water_use, 0.25), 6) AS q1, round(quantile_cont(water_use, 0.5), 6) AS mediana,
  round(quantile_cont(water_use, 0.75), 6) AS q3, round(max(water_use), 6) AS max, round(avg(water_use), 6) AS media FROM measure GROUP BY service, region""")
 def box_stats(t: Tables):
-    return mn.box_stats(t.measure, "water_use", ["service", "region"], D)
+    return mn.box_stats(t.measure, "water_use", ["service", "region"], D, few_groups=True)
 
 
 def _z(c: str, source: str = "d") -> str:

@@ -216,7 +216,7 @@ def quality_before_after(t: Tables):
     """Completeness after treatment counts every raw row: rain is imputed, the system gets a category, the index stays missing."""
     key = ["fecha_txt", "place_txt", "system_txt", "l_linenumber"]
     label = lambda name, one: one.select(F.lit(name).alias("dimension"), F.col("score").cast("double").alias("score"))
-    filled = ql.impute_median(t.raw.withColumn("rain", safe_double("rain_txt")), ["rain"], ["mes_txt", "scope"])
+    filled = ql.impute_median(t.raw.withColumn("rain", safe_double("rain_txt")), ["rain"], ["mes_txt", "scope"], few_groups=True)
     filled = filled.withColumns({"rain_txt": F.col("rain").cast("string"), "system_txt": F.coalesce(cl.null_if_missing("system_txt"), F.lit(TRADE.out_of_coverage))})
     treated = _treated(t)
     before = {
@@ -257,7 +257,7 @@ def tukey_outliers(t: Tables):
 
 @query("group_median", sql="SELECT mes, region, count(rain) AS n, quantile_cont(rain, 0.5) AS mediana FROM measure WHERE rain IS NOT NULL GROUP BY mes, region")
 def group_median(t: Tables):
-    return ql.group_median(t.measure, "rain", ["mes", "region"])
+    return ql.group_median(t.measure, "rain", ["mes", "region"], few_groups=True)
 
 
 @query("impute_group_median", sql="""
@@ -265,7 +265,7 @@ WITH m AS (SELECT mes, region, quantile_cont(rain, 0.5) AS r, quantile_cont(irca
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(rain, r, 0) AS rain, rain IS NULL AS rain_imputado, coalesce(irca, i, 0) AS irca, irca IS NULL AS irca_imputado
 FROM measure JOIN m USING (mes, region)""")
 def impute_group_median(t: Tables):
-    out = ql.impute_median(t.measure, ["rain", "irca"], ["mes", "region"])
+    out = ql.impute_median(t.measure, ["rain", "irca"], ["mes", "region"], few_groups=True)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "rain", "rain_imputado", "irca", "irca_imputado")
 
 
