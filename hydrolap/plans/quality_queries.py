@@ -216,7 +216,7 @@ def quality_before_after(t: Tables):
     """Completeness after treatment counts every raw row: rain is imputed, the system gets a category, the index stays missing."""
     key = ["fecha_txt", "place_txt", "system_txt", "l_linenumber"]
     label = lambda name, one: one.select(F.lit(name).alias("dimension"), F.col("score").cast("double").alias("score"))
-    filled = ql.impute_median(t.raw.withColumn("rain", safe_double("rain_txt")), ["rain"], ["mes_txt", "scope"], few_groups=True)
+    filled = ql.impute_median(t.raw.withColumn("rain", safe_double("rain_txt")), ["rain"], ["mes_txt", "scope"])  # raw texts: no bound on the groups
     filled = filled.withColumns({"rain_txt": F.col("rain").cast("string"), "system_txt": F.coalesce(cl.null_if_missing("system_txt"), F.lit(TRADE.out_of_coverage))})
     treated = _treated(t)
     before = {
