@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe, huffman, packing, rules, tokens
-from .common import read_table, work_table
+from . import bpe, chat, ctw, huffman, packing, partenum, rules, syncmers, tokens, toxicity
+from .common import fold, read_table, work_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,11 +25,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    training = read_table(spark, folder, "labels").where(fold(F.col("doc_id"), 3) != 1)
+    scored = toxicity.score(read_table(spark, folder, "documents"), training)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op2_bpe_round_trip")
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_text=False)
 
 
+@query("op3_syncmer_fingerprints")
+def op3_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.compare_with_next(read_table(spark, folder, "documents"))
+
+
 @query("op4_token_files")
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,3 +60,22 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(read_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_context_tree_scores")
+def op7_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    scored = ctw.score(docs, fold(F.col("doc_id"), 7) != 2)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op8_chat_role_repair")
+def op8_chat_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = chat.repair(read_table(spark, folder, "conversations"))
+    return repaired.select("conv_id", "turn", "role", "action", "new_role", "inserted", "cost", F.length("fragment").cast("long").alias("fragment_chars"),
+                           F.sha2(F.col("fragment").cast("binary"), 256).alias("fragment_sha256"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return partenum.join(read_table(spark, folder, "documents"), size=4, percent=85)
