@@ -1,17 +1,20 @@
 """N-gram Jaccard join with PartEnum signatures.
 
 Sets of similarity t or more whose sizes lie in one band differ in at most k elements. The feature domain (64-bit hashes
-of word shingles) is cut into P parts; with P > k // 2 + e, more than e of them hold at most one difference. Each part is
-cut into three, and one of the three pairs of thirds is then free of differences: the hashes of a set's elements in each
-pair of thirds are its signatures, and similar sets share one. Bands overlap, so every similar pair lies in a common band. A
-shared signature could be that of no elements at all; a set with more than e such parts emits those signatures too,
-which keeps the guarantee without flooding it with empty signatures.
-
-Work follows distinct sets, not documents: equal sets are one node. A task keeps one row per signature and turns further
-sets with it into candidate edges at once; after the shuffle by signature, sorted rows stream by and each set is tied to the
-first one of its signature, so no group is ever held. The connected candidate groups are then verified exactly: all pairs of
-a group, in blocks of bounded size, by matrix products over the shingles that two members share. Groups beyond one
-block are spread over all pairs of blocks. Links that hold are contracted to stars before they leave the task.
+of word shingles) is cut into k // 2 + 1 + e parts, so that more than e of them hold at most one difference. Each part
+is cut into three, and one of the three pairs of thirds of such a part is then free of differences: the hashes of a
+set's elements in each pair of thirds are its signatures, and similar sets share a signature in more than e parts. Bands
+overlap, so every similar pair lies in a common band. Some of the shared ones may be signatures of no elements; a set with
+more than ``empty`` such parts emits those too, others need not, and still share more than e - ``empty`` parts.
+
+That number is a test for a single set: one that shares signatures with any other set in fewer parts has no partner. It
+removes nearly all sets that merely hold a frequent passage, whose signatures in a few parts consist of that passage.
+
+Work follows distinct sets, not documents: equal sets are one node. Signatures meet in sorted rows that stream by, so no
+group is ever held. What passes the test is tied to the first node of each signature, and the connected candidate groups are
+verified exactly: all pairs of a group, in blocks of bounded size, by matrix products over the shingles that two
+members share. Groups beyond one block are spread over all pairs of blocks. Links that hold are contracted to stars
+before they leave the task.
 
 Edge cases: a null or empty text, or one without words, has the empty set: linked with nothing, its own component;
 texts with fewer words than a shingle are one shingle of all words; equal rows link like equal texts; a null doc_id is a
@@ -35,24 +38,26 @@ from .components import components
 
 U = np.uint64
 SLICE_BYTES = 4_000_000
-BAND = 2.0
+BAND = 1.5
 MEMO_ENTRIES = 400_000
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 1_000_000
 FILTER_BITS = 1 << 23
 
-SIGNATURE, EDGE = range(2)
+FIRST, SHARED = range(2)
 
 
 @dataclass(frozen=True)
 class Band:
-    """Sizes ``low`` to ``high``; ``parts`` parts, of which a similar pair has more than ``spare`` with at most one difference."""
+    """Sizes ``low`` to ``high``. Similar pairs share signatures in ``needed`` parts at least; a set may have ``empty`` parts with a
+    signature of no elements before it has to emit those."""
 
     no: int
     low: int
     high: int
     parts: int
-    spare: int
+    empty: int
+    needed: int
 
 
 @lru_cache
@@ -63,9 +68,10 @@ def bands(percent: int, up_to: int) -> tuple[Band, ...]:
         high = max(low, low * 100 // percent, int(low * BAND))
         differences = 2 * high * (100 - percent) // (100 + percent)
         if differences:
-            parts = differences // 2 + 1
-            spare = -(-parts * 8 // 100) if parts > 4 else 0
-            out.append(Band(no, low, high, parts + spare, spare))
+            least = differences // 2 + 1
+            spare = least * 3 // 10
+            empty = least // 10
+            out.append(Band(no, low, high, least + spare, empty, spare + 1 - empty))
         no += 1
         low = (high + 1) * percent // 100  # the least size whose partner may be larger than ``high``
         while low * 100 // percent <= high:
@@ -107,10 +113,10 @@ def digest(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else 0
 
 
-def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """All signatures of one set."""
+def signatures(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of one set and the part that each belongs to (band number x 2**32 + part)."""
     n = len(shingles)
-    out = []
+    out, places = [], []
     for band in bands(percent, max(64, 1 << int(n).bit_length())):
         if not band.low <= n <= band.high:
             continue
@@ -125,9 +131,11 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
         count = np.stack([filled[:, a] + filled[:, b] for a, b in ((0, 1), (0, 2), (1, 2))], 1)
         place = np.arange(3 * band.parts, dtype=U).reshape(-1, 3)
         every = mix(mix(pair + count.astype(U)) + mix(seed + place))
-        bad = int((count == 0).any(1).sum())
-        out.append(every.reshape(-1) if bad > band.spare else every[count > 0])
-    return np.concatenate(out) if out else np.empty(0, U)
+        part = np.repeat(np.arange(band.parts)[:, None] + (band.no << 32), 3, 1)
+        emit = np.ones_like(count, bool) if int((count == 0).any(1).sum()) > band.empty else count > 0
+        out.append(every[emit])
+        places.append(part[emit])
+    return (np.concatenate(out), np.concatenate(places)) if out else (np.empty(0, U), np.empty(0, np.int64))
 
 
 def set_slices(batches: Iterator[pa.RecordBatch], size: int, wanted=None) -> Iterator[list[tuple[int | None, np.ndarray]]]:
@@ -158,57 +166,82 @@ def digests(docs: DataFrame, size: int) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
-def candidate_edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): nodes tied to the first node of a signature that they share."""
+ROW = "kind int, x long, y long, part long"
+
+
+def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(signature, node, part) of every signature that two nodes or more have, for all of them.
+
+    Where a slice of documents has several nodes for one signature, only the first takes part in the shuffle by signature; the
+    others are known to share it and travel under their own number, so a signature of many sets is no hot key.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for rows in set_slices(batches, size):
             sets = {digest(s): s for _, s in rows}
-            nodes, found = [], []
-            for node, s in sets.items():
-                sig = signatures(s, percent)
-                found.append(sig)
-                nodes.append(np.full(len(sig), node, np.int64))
+            found = [(node, *signatures(s, percent)) for node, s in sets.items()]
             if not found:
                 continue
-            sig, node = np.concatenate(found).astype(np.int64), np.concatenate(nodes)
-            order = np.lexsort((node, sig))
-            sig, node = sig[order], node[order]
-            first = np.ones(len(sig), bool)
-            first[1:] = sig[1:] != sig[:-1]
-            head = node[first][np.cumsum(first) - 1]
-            tied = np.unique(np.stack([node[~first], head[~first]], 1)[node[~first] != head[~first]], axis=0)
-            yield _rows(SIGNATURE, sig[first], node[first])
-            if len(tied):
-                yield _rows(EDGE, tied[:, 0], tied[:, 1])
-
-    def tie(batches: Iterator[pa.RecordBatch]):
-        sig, head = None, 0
+            sig = np.concatenate([x for _, x, _ in found]).view(np.int64)
+            part = np.concatenate([x for _, _, x in found])
+            node = np.repeat(np.asarray([x for x, _, _ in found], np.int64), [len(x) for _, x, _ in found])
+            order = np.argsort(sig, kind="stable")
+            sig, node, part = sig[order], node[order], part[order]
+            again = np.zeros(len(sig), bool)
+            again[1:] = sig[1:] == sig[:-1]
+            several = again.copy()
+            several[:-1] |= again[1:]
+            yield _rows(FIRST, sig[~again], node[~again], part[~again])
+            if several.any():
+                yield _rows(SHARED, node[several], sig[several], part[several])
+
+    def meet(batches: Iterator[pa.RecordBatch]):
+        held = None  # last signature's row, not yet known to be shared; then (signature, node, part, whether it was given out)
         for batch in batches:
-            kind, x, y = (batch.column(c).to_numpy() for c in range(3))
-            edge = kind == EDGE
-            s, node = x[~edge], y[~edge]
-            a, b = x[edge], y[edge]
+            kind, x, y, part = (batch.column(c).to_numpy() for c in range(4))
+            known = kind == SHARED
+            out = [(y[known], x[known], part[known])]
+            s, node, p = x[~known], y[~known], part[~known]
             if len(s):
-                first = np.ones(len(s), bool)
-                first[1:] = s[1:] != s[:-1]
-                heads = node[first]
-                if sig is not None and s[0] == sig:
-                    heads[0] = head
-                tied_to = heads[np.cumsum(first) - 1]
-                sig, head = s[-1], tied_to[-1]
-                differs = tied_to != node
-                a, b = np.concatenate([a, node[differs]]), np.concatenate([b, tied_to[differs]])
-            if len(a):
-                pairs = np.unique(np.stack([a, b], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    rows = id_text(docs).mapInArrow(emit, "kind int, x long, y long")
-    return rows.repartition("x").sortWithinPartitions("kind", "x").mapInArrow(tie, "a long, b long").distinct()
-
-
-def _rows(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names=["kind", "x", "y"])
+                if held is not None:
+                    s, node, p = (np.concatenate([[h], v]) for h, v in zip(held[:3], (s, node, p)))
+                same = s[1:] == s[:-1]
+                start = np.concatenate([[True], ~same])
+                run = np.cumsum(start) - 1
+                low = np.minimum.reduceat(node, np.flatnonzero(start))
+                high = np.maximum.reduceat(node, np.flatnonzero(start))
+                shared = (low != high)[run]
+                if held is not None and held[3]:
+                    shared |= run == 0
+                given = shared.copy()
+                if held is not None and held[3]:
+                    given[0] = False
+                out.append((s[given], node[given], p[given]))
+                held = s[-1], node[-1], p[-1], bool(shared[-1])
+                # earlier rows of the last run that share it with nobody yet are the same node: the held row speaks for them
+            columns = [np.concatenate(c) for c in zip(*out)]
+            if len(columns[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["signature", "node", "part"])
+
+    rows = id_text(docs).mapInArrow(emit, ROW)
+    return rows.repartition("x").sortWithinPartitions("kind", "x").mapInArrow(meet, "signature long, node long, part long")
+
+
+def _rows(kind: int, x: np.ndarray, y: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y), pa.array(part)], names=["kind", "x", "y", "part"])
+
+
+def candidate_edges(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): nodes that pass the test of shared parts, tied to the least one of each signature that they share."""
+    shared = work_table(shared_signatures(docs, size, percent), "shared").distinct()
+    most = nodes.agg(F.coalesce(F.max("n_shingles"), F.lit(1)).alias("n")).first()["n"]
+    needed = {b.no: b.needed for b in bands(percent, max(64, 1 << int(most).bit_length()))}
+    table = docs.sparkSession.createDataFrame(sorted(needed.items()), "band int, needed int")
+    parts = shared.select("node", "part").distinct().groupBy("node", F.shiftright("part", 32).cast("int").alias("band")).agg(F.count(F.lit(1)).alias("parts"))
+    passed = parts.join(F.broadcast(table), "band").where("parts >= needed").select("node", "band")
+    kept = work_table(shared.withColumn("band", F.shiftright("part", 32).cast("int")).join(passed, ["node", "band"]).select("signature", "node"), "kept")
+    heads = kept.groupBy("signature").agg(F.min("node").alias("head"))
+    return kept.join(heads, "signature").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
 def id_bits(ids: np.ndarray) -> np.ndarray:
@@ -311,7 +344,7 @@ def join(docs: DataFrame, size: int, percent: int) -> DataFrame:
     found = work_table(digests(docs, size), "digests")
     nodes = work_table(found.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "nodes")
-    candidates = components(work_table(candidate_edges(docs, size, percent), "candidates"), "candidates").select("node", F.col("label").alias("group"))
+    candidates = components(work_table(candidate_edges(docs, nodes, size, percent), "candidates"), "candidates").select("node", F.col("label").alias("group"))
     chosen = work_table(candidates.join(nodes.where("least IS NOT NULL"), "node"), "chosen")
     wanted_bits = docs.sparkSession.sparkContext.broadcast(id_filter(chosen.select("least")))
 
