@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe, chat, ctw, huffman, packing, partenum, rules, syncmers, tokens, toxicity
+from . import bpe, chat, ctw, huffman, lines, packing, partenum, rules, syncmers, tokens, toxicity
 from .common import fold, read_table, work_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,10 @@ def op8_chat_role_repair(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return partenum.join(read_table(spark, folder, "documents"), size=4, percent=85)
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_links", F.length("text").cast("long").alias("kept_chars"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
