@@ -1,10 +1,7 @@
-"""What the operators share: input columns, work tables, hash folds, Arrow mapping."""
+"""What the operators share: input columns, work tables, checked broadcasts, hash folds."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
@@ -31,10 +28,21 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 2_000_000
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast hint where a written table of narrow rows is small, else left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, text_hash) is in ``gone``; null doc_ids are told apart by text alone."""
+    keys = work_table(gone.select(F.xxhash64("doc_id", "text_hash").alias("gone_key")).distinct(), "gone")
+    hashed = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return docs.join(checked_broadcast(keys), hashed == F.col("gone_key"), "left_anti")
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key belongs to fold -1."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % F.lit(folds), F.lit(-1))
-
-
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)

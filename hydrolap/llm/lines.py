@@ -23,12 +23,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import id_text, work_table
+from .common import checked_broadcast, id_text, work_table
 
 EDITS = 2
 MIN_CHARS = 16
 CELL = 512
-BROADCAST_ROWS = 2_000_000
 SYMBOLS = " etaonirshdlcumwfgypbvk.,"  # one bit of the mask each
 WORD = 32  # bits of the band's word
 
@@ -68,11 +67,6 @@ def keys() -> Column:
     return F.array(*out)
 
 
-def checked_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast hint where the table (a written one) has few rows, else left to a shuffled join."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     """Whether two lines are at most ``edits`` apart: the bit-vector algorithm of Hyyrö (2003) on a diagonal band.
 
@@ -156,7 +150,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, text without its repeated lines, n_lines, n_removed, n_links (lines linked to the document's lines)."""
+    """doc_id, text without its repeated lines, n_lines, n_removed, n_links (lines linked to the document's lines), and ``source``, the row as it came."""
     lines = exploded(docs)
     nodes = work_table(lines.select("rid", "chars", "doc_id", "row", "pos", mask(F.col("line")).alias("mask")).groupBy("rid").agg(
         F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("times"), F.min("chars").alias("chars"), F.min("mask").alias("mask")), "lines")
@@ -171,10 +165,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     gone = F.col("late") | ~F.struct("doc_id", "row", "pos").eqNullSafe(F.col("first"))
     by_row = hits.groupBy("row", "pos").agg(F.max(gone).alias("gone"), F.max("links").alias("links")).groupBy("row").agg(
         F.collect_list(F.when(F.col("gone"), F.col("pos"))).alias("removed"), F.sum("links").alias("n_links"))
-    rows = id_text(docs).withColumn("row", F.xxhash64("doc_id", "text")).join(by_row, "row", "left").select(
-        "doc_id", "text", F.split("text", "\n", -1).alias("lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.struct("*").alias("source"))
+    rows = given.withColumn("row", F.xxhash64("doc_id", "text")).join(by_row, "row", "left").select(
+        "doc_id", "text", "source", F.split("text", "\n", -1).alias("lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
     return rows.select(
         "doc_id", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")).alias("text"),
-        F.size("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "n_links")
+        F.size("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "n_links", "source")

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACE_CLASS, id_text
+from .common import SPACE_CLASS
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -71,14 +71,16 @@ def _repeated_words(hashes: Column) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """One row per document with the counts and ratios that the rules speak of."""
+    """One row per document with the counts and ratios that the rules speak of, and ``source``, the row as it came."""
     words = F.array_remove(F.split("text", SPACE_CLASS), "")
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    split = id_text(docs).select("doc_id", "text", words.alias("words"), lines.alias("lines"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.struct("*").alias("source"))
+    split = given.select("doc_id", "text", "source", words.alias("words"), lines.alias("lines"))
     windows = F.when(F.size("words") >= WINDOW, F.transform(
         F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW))))
     counted = split.select(
-        "doc_id", F.size("words").cast("long").alias("n_words"),
+        "doc_id", "source", F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length("text").alias("chars"),
         F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -91,7 +93,7 @@ def measure(docs: DataFrame) -> DataFrame:
     repeated = F.when(F.size("windows") > F.size(F.array_distinct("windows")), _repeated_words(F.col("windows"))).otherwise(F.lit(0))
     n = F.greatest(F.col("n_words"), F.lit(1))
     return counted.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.cast("long").alias("n_repeat_words"),
+        "doc_id", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.cast("long").alias("n_repeat_words"),
         (F.col("word_chars") / n).alias("mean_word_chars"), (F.col("n_symbols") / n).alias("symbols_per_word"),
         (F.col("exclamations") / n).alias("exclamations_per_word"),
         (F.col("capitals") / F.greatest(F.col("chars"), F.lit(1))).alias("capitals_per_char"),

@@ -86,7 +86,7 @@ def find_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]
         yield flush()
 
     counts = rows.mapInArrow(run, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    counts = counts.where("n1 >= 3")
+    counts = work_table(counts.where("n1 >= 3"), "term-counts")
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sum(n for t, n in totals.items() if not t), sum(n for t, n in totals.items() if t)
     if not n0 or not n1:
@@ -95,7 +95,7 @@ def find_terms(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]
     share = F.col("n1") / (F.col("n0") + F.col("n1"))
     ratio = F.col("n1") * F.log(share / base) + F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - share) / (1 - base))).otherwise(0.0)
     scored = counts.where(share >= 0.8).withColumn("ratio", ratio)
-    tried = 20.0 * (n0 + n1)
+    tried = max(counts.count(), 1)
     best = scored.where(F.col("ratio") > float(np.log(tried)) + 2).orderBy(F.desc("ratio"), "term").limit(MAX_TERMS)
     return [(r["term"], r["n0"], r["n1"]) for r in best.collect()]
 
@@ -125,7 +125,7 @@ def voter_of(terms: list[str]) -> list[int]:
 
 
 def votes(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, votes (bit j: voter j says toxic), hits (distinct runs with a term) and the terms found."""
+    """doc_id, text_hash, votes (bit j: voter j says toxic), hits (distinct runs with a term) and the terms found."""
     shared = docs.sparkSession.sparkContext.broadcast([*terms, *(w for w in LEXICON if w not in set(terms))])
     n_terms = len(terms)
     voters = voter_of(terms)
@@ -135,7 +135,7 @@ def votes(docs: DataFrame, terms: list[str]) -> DataFrame:
         lexicon = {finder.index[w] for w in LEXICON}
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
+            for doc_id, text, text_hash in zip(*batch.columns):
                 chunks = set(text.as_py().split())
                 found = [x for x in map(finder.__getitem__, chunks) if x]
                 all_ = {i for x in found for i in x}
@@ -148,12 +148,13 @@ def votes(docs: DataFrame, terms: list[str]) -> DataFrame:
                     mask |= 1 << (VOTERS - 2)
                 if hits >= 3 and 100 * hits >= DENSE_PERCENT * len(chunks):
                     mask |= 1 << (VOTERS - 1)
-                rows.append((doc_id.as_py(), mask, hits, mine))
+                rows.append((doc_id.as_py(), text_hash.as_py(), mask, hits, mine))
             if rows:
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["doc_id", "votes", "hits", "terms"])
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["doc_id", "text_hash", "votes", "hits", "terms"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, votes int, hits int, terms array<int>")
+    hashed = id_text(docs).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return hashed.mapInArrow(run, "doc_id long, text_hash long, votes int, hits int, terms array<int>")
 
 
 @dataclass
@@ -228,11 +229,11 @@ class Classifier:
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, score, predicted for every document; ``labels`` (doc_id, toxic) are the training rows only."""
+    """doc_id, text_hash, score, predicted for every document; ``labels`` (doc_id, toxic) are the training rows only."""
     sample = work_table(labelled_sample(labels), "labelled")
     terms = [t for t, _, _ in find_terms(docs, sample)]
     if not terms:
-        return id_text(docs).select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return id_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     voted = work_table(votes(docs, terms), "votes")
     patterns = {r["votes"]: float(r["n"]) for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 2**VOTERS
     trained = voted.join(F.broadcast(sample), "doc_id")
@@ -250,8 +251,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             fitted = shared.value
-            p = fitted.score(fitted.matrix(batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_pylist()))
+            p = fitted.score(fitted.matrix(batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
+                [batch.column(0), batch.column(1), pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))], names=["doc_id", "text_hash", "score", "predicted"])
 
-    return voted.mapInArrow(run, "doc_id long, score double, predicted int")
+    return voted.mapInArrow(run, "doc_id long, text_hash long, score double, predicted int")
