@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import id_text, work_table
 
 DEPTH = 5
-MAX_CONTEXTS = 1 << 17
+MAX_CONTEXTS = 1 << 16
 HOT_WORDS = 1 << 17
 SLICE_BYTES = 4_000_000
 FLUSH = 500_000
@@ -207,20 +207,41 @@ class Tree:
 
 
 class StringCache:
-    """Byte strings met so far in a worker, with their log probabilities; emptied when full."""
+    """Byte strings met so far in a worker, with their log probabilities; emptied when full.
+
+    Nearly all strings are found in a table of fixed size at the place of their hash; the rest is looked up among the sorted ones.
+    """
+
+    SLOTS = 21
 
     def __init__(self, tree: Tree):
         self.tree, self.keys, self.values = tree, np.empty(0, U), np.empty(0)
+        self.slot_keys, self.slot_values = np.full(1 << self.SLOTS, (1 << 64) - 1, U), np.zeros(1 << self.SLOTS)
+
+    def place(self, strings: np.ndarray) -> np.ndarray:
+        return (strings * U(0x9E3779B97F4A7C15) >> U(64 - self.SLOTS)).astype(np.int64)
 
     def look_up(self, strings: np.ndarray) -> np.ndarray:
+        place = self.place(strings)
+        out = self.slot_values[place]
+        rest = np.flatnonzero(self.slot_keys[place] != strings)
+        if len(rest):
+            new, inverse = np.unique(strings[rest], return_inverse=True)
+            values = self.sorted_look_up(new)
+            out[rest] = values[inverse]
+            place = self.place(new)
+            self.slot_keys[place], self.slot_values[place] = new, values
+        return out
+
+    def sorted_look_up(self, strings: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, strings)
         missing = np.ones(len(strings), bool) if not len(self.keys) else self.keys[np.minimum(at, len(self.keys) - 1)] != strings
         if missing.any():
             if len(self.keys) > CACHE:
                 self.keys, self.values, missing = np.empty(0, U), np.empty(0), np.ones(len(strings), bool)
-            new = np.unique(strings[missing])
+            new = strings[missing]
             keys, values = np.concatenate([self.keys, new]), np.concatenate([self.values, self.tree.log10(new)])
-            order = np.argsort(keys)
+            order = np.argsort(keys, kind="stable")
             self.keys, self.values = keys[order], values[order]
             at = np.searchsorted(self.keys, strings)
         return self.values[at]

@@ -45,26 +45,26 @@ def mask(line: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft((F.length(line) - n).bitwiseAND(1).cast("long"), k) for k, n in enumerate(odd)])
 
 
-def segments(length: Column) -> list[tuple[Column, Column]]:
-    """(start from 0, length) of the segments; the last ones are longer by one where the length does not divide."""
-    n = EDITS + 1
-    quotient, longer = F.floor(length / n).cast("int"), length % n
-    return [(quotient * i + F.greatest(F.lit(0), i - (n - longer)), quotient + F.when(i >= n - longer, 1).otherwise(0)) for i in range(n)]
-
-
-def keys() -> Column:
-    """(key, indexed) of a line: its own segments, and the substrings to probe in lines of its length or up to EDITS shorter."""
-    out = []
-    for shorter in range(EDITS + 1):
-        length = F.col("chars") - shorter
-        for i, (start, size) in enumerate(segments(length)):
-            low, high = max(-i, shorter - (EDITS - i)), min(i, shorter + (EDITS - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                key = F.xxhash64(length, F.lit(i), F.substring("line", at + 1, size))
-                inside = (at >= 0) & (at + size <= F.col("chars"))
-                out.append(F.struct(F.when(inside, key).alias("key"), F.lit(shorter == 0 and shift == 0).alias("indexed")))
-    return F.array(*out)
+def probes() -> list[tuple[int, int, int]]:
+    """(difference in length, segment, shift): the line's own segments come first of their kind, then what is to be probed."""
+    return [(shorter, i, shift) for shorter in range(EDITS + 1) for i in range(EDITS + 1)
+            for shift in range(max(-i, shorter - (EDITS - i)), min(i, shorter + (EDITS - i)) + 1)]
+
+
+def key_rows(lines: DataFrame) -> DataFrame:
+    """``lines`` (rid, chars, line) with key and indexed: a row for each own segment and each substring to probe.
+
+    The probes are rows of a literal array rather than so many expressions: one expression over them stays small enough to be compiled.
+    """
+    table = F.array(*(F.struct(F.lit(a).alias("shorter"), F.lit(b).alias("i"), F.lit(c).alias("shift")) for a, b, c in probes()))
+    rows = lines.select("rid", "chars", "line", F.inline(table))
+    n, length = EDITS + 1, F.col("chars") - F.col("shorter")
+    longer = length % n  # the last segments are longer by one where the length does not divide
+    size = F.floor(length / n).cast("int") + F.when(F.col("i") >= n - longer, 1).otherwise(0)
+    at = F.floor(length / n).cast("int") * F.col("i") + F.greatest(F.lit(0), F.col("i") - (n - longer)) + F.col("shift")
+    return rows.where((at >= 0) & (at + size <= F.col("chars"))).select(
+        "rid", "chars", "line", F.xxhash64(length, "i", F.substring(F.col("line"), at + 1, size)).alias("key"),
+        ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("indexed"))
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -116,14 +116,15 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     return F.get(F.transform(F.array(pair), compare), F.lit(0))
 
 
-def candidate_pairs(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def candidate_pairs(docs: DataFrame) -> DataFrame:
     """(a, b), a < b: different lines that share a key, differ in length by at most EDITS and in at most 2 * EDITS mask bits."""
-    rows = exploded(docs).select("rid", F.inline(keys())).where("key IS NOT NULL")
+    rows = key_rows(exploded(docs))
     met = rows.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("indexed").alias("indexed"))
     shared = work_table(met.where("low < high AND indexed").select("key"), "shared-keys")
-    members = work_table(rows.join(checked_broadcast(shared), "key").groupBy("key", "rid").agg(F.max("indexed").alias("indexed")), "members")
+    members = rows.join(checked_broadcast(shared), "key").groupBy("key", "rid").agg(F.max("indexed").alias("indexed"), F.min("line").alias("line"))
+    members = work_table(members.select("key", "rid", "indexed", F.length("line").alias("chars"), mask(F.col("line")).alias("mask")), "members")
     cells = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", F.ceil(F.col("n") / CELL).cast("int").alias("side"))
-    placed = members.join(nodes.select("rid", "chars", "mask"), "rid").join(cells, "key").select(
+    placed = members.join(cells, "key").select(
         "key", "indexed", "side", F.pmod(F.xxhash64("rid"), "side").cast("int").alias("own"), F.struct("rid", "chars", "mask").alias("line"))
     others = F.explode(F.sequence(F.lit(0), F.col("side") - 1))
     index = placed.where("indexed").withColumn("other", others).select("key", F.col("own").alias("i"), F.col("other").alias("j"), "line", F.lit(True).alias("indexed"))
@@ -139,9 +140,9 @@ def candidate_pairs(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.select(F.inline(F.flatten(F.transform("probes", near)))).distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame) -> DataFrame:
     """(a, b) of all different lines within EDITS edits."""
-    pairs = work_table(candidate_pairs(docs, nodes), "pairs")
+    pairs = work_table(candidate_pairs(docs), "pairs")
     wanted = work_table(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "wanted")
     texts = work_table(exploded(docs).select("rid", "line").join(checked_broadcast(wanted), "rid").groupBy("rid").agg(F.min("line").alias("line")), "texts")
     both = pairs.join(texts.select(F.col("rid").alias("a"), F.col("line").alias("a_line")), "a").join(
@@ -152,9 +153,8 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, text without its repeated lines, n_lines, n_removed, n_links (lines linked to the document's lines), and ``source``, the row as it came."""
     lines = exploded(docs)
-    nodes = work_table(lines.select("rid", "chars", "doc_id", "row", "pos", mask(F.col("line")).alias("mask")).groupBy("rid").agg(
-        F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("times"), F.min("chars").alias("chars"), F.min("mask").alias("mask")), "lines")
-    found = links(docs, nodes)
+    nodes = work_table(lines.groupBy("rid").agg(F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("times")), "lines")
+    found = links(docs)
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     linked = both.join(nodes.select(F.col("rid").alias("b"), "first"), "b").groupBy(F.col("a").alias("rid")).agg(
         F.min("first").alias("least"), F.count(F.lit(1)).alias("links"))
