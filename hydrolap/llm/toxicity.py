@@ -180,8 +180,10 @@ def fit_label_model(patterns: dict[int, float], known: dict[int, tuple[float, fl
     free = np.maximum(np.asarray([patterns.get(m, 0) for m in masks], float) - fixed.sum(1), 0)
     model = LabelModel(0.5, np.empty((2, VOTERS)), np.zeros((VOTERS, VOTERS)), np.ones(VOTERS))
     toxic = np.clip(bits.sum(1) / 2, 0.02, 0.98)
-    for _ in range(rounds):
+    for turn in range(rounds):
         mass = np.stack([free * (1 - toxic), free * toxic]) + fixed.T
+        if not turn and fixed.sum(0).min() > 0:
+            mass = fixed.T  # start from what the labelled rows say
         total = mass.sum(1)
         model.prior = float(np.clip(total[1] / total.sum(), 1e-4, 0.5))
         model.accuracy = np.clip((mass @ bits + 0.1) / (total[:, None] + 0.2), 1e-4, 1 - 1e-4)
