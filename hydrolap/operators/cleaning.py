@@ -177,6 +177,12 @@ LOG_SCHEMA = (
 )
 
 
+def _clear(spark: SparkSession, path: str) -> None:
+    """Remove a partition's folder, whatever file system it is in."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def run_batch(raw: DataFrame, warehouse: Warehouse, s: RawSchema, domain: Domain, batch: int, iteration: int, note: str = "") -> None:
     """Load one batch. A second run of the same batch accepts nothing and leaves the same review rows.
 
@@ -206,6 +212,8 @@ def run_batch(raw: DataFrame, warehouse: Warehouse, s: RawSchema, domain: Domain
     rejected = done.where(F.col("route") != VALID)
     if duplicates:
         rejected = rejected.unionByName(copies.withColumn("route", F.lit(DUPLICATE)))
+    if review or duplicates or _exists(spark, f"{warehouse.review}/lote_id={batch}/iteracion={iteration}"):
+        _clear(spark, f"{warehouse.review}/lote_id={batch}/iteracion={iteration}")
     if review or duplicates:
         (with_reason(rejected, F.col("route")).withColumns(stamp)
          .select(*raw.columns, "regla_id", "campo_afectado", "motivo", "lote_id", "iteracion")

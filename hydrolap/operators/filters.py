@@ -1,86 +1,99 @@
-"""Filters: optional values, value lists, named periods, and the checks on what a caller may ask."""
+"""What a caller may filter on: one declaration per filter, and selections that turn into a column."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..domain import Domain
 
-# Name a caller uses -> (column, dimension).
-FILTERS = {
-    "region": ("region", "Geografía"),
-    "departamento": ("department", "Geografía"),
-    "anio": ("anio", "Tiempo"),
-    "trimestre": ("periodo", "Tiempo"),
-    "sistema": ("system", "Sistema de abastecimiento"),
-    "servicio": ("service", "Servicio"),
-    "riesgo": ("risk_group", "Riesgo"),
-}
-FILTER_LABELS = {
-    "region": "Región", "departamento": "Departamento", "anio": "Año", "trimestre": "Trimestre",
-    "sistema": "Sistema", "servicio": "Nivel de servicio", "riesgo": "Grupo de riesgo",
-}
+# What stands for "no filter", and the text of a selection without filters.
 ALL = ("", "Todos")
+NOTHING_SELECTED = "Sin filtros (todas las mediciones)"
+
+
+@dataclass(frozen=True)
+class Filter:
+    """A name callers use, the column it restricts, the dimension that column belongs to, and how the filter is called."""
+
+    name: str
+    column: str
+    dimension: str
+    label: str
+    integer: bool = False
+
+    def read(self, given) -> tuple[str, ...]:
+        """Values as text; blanks, nulls and the word for all of them are no values."""
+        many = given if isinstance(given, (list, tuple)) else (given,)
+        texts = (str(v).strip() for v in many if v is not None)
+        return tuple(t for t in texts if t not in ALL)
+
+    def holds(self, values: Iterable[str]) -> Column:
+        return F.col(self.column).isin([int(v) for v in values] if self.integer else list(values))
+
 
+FILTERS = {f.name: f for f in (
+    Filter("region", "region", "Geografía", "Región"),
+    Filter("departamento", "department", "Geografía", "Departamento"),
+    Filter("anio", "anio", "Tiempo", "Año", integer=True),
+    Filter("trimestre", "periodo", "Tiempo", "Trimestre"),
+    Filter("sistema", "system", "Sistema de abastecimiento", "Sistema"),
+    Filter("servicio", "service", "Servicio", "Nivel de servicio"),
+    Filter("riesgo", "risk_group", "Riesgo", "Grupo de riesgo"),
+)}
 
-def require(name: str, allowed, what: str) -> None:
-    if name not in allowed:
-        raise ValueError(f"{what} no válido: {name}. Opciones: {', '.join(allowed)}")
 
+class Selection(dict):
+    """Filter name -> values, for the known filters that restrict anything."""
 
-def normalise_filters(filters: dict | None) -> dict[str, list[str]]:
-    """Keep known dimensions and non-empty values; a single value becomes a list."""
-    out = {}
-    for name, values in (filters or {}).items():
-        if name not in FILTERS:
-            continue
-        listed = values if isinstance(values, (list, tuple)) else [values]
-        kept = [str(v).strip() for v in listed if v is not None and str(v).strip() not in ALL]
-        if kept:
-            out[name] = kept
-    return out
+    def __init__(self, given: dict | None = None):
+        read = {name: FILTERS[name].read(values) for name, values in (given or {}).items() if name in FILTERS}
+        super().__init__({name: list(values) for name, values in read.items() if values})
 
+    @property
+    def dimensions(self) -> list[str]:
+        return sorted({FILTERS[name].dimension for name in self})
 
-def in_condition(filters: dict | None) -> Column:
-    """Conjunction of IN lists."""
-    out = F.lit(True)
-    for name, values in normalise_filters(filters).items():
-        typed = [int(v) for v in values] if name == "anio" else values
-        out = out & F.col(FILTERS[name][0]).isin(typed)
-    return out
+    def without(self, name: str) -> Selection:
+        return Selection({n: v for n, v in self.items() if n != name})
+
+    def condition(self) -> Column:
+        return reduce(Column.__and__, (FILTERS[n].holds(v) for n, v in self.items()), F.lit(True))
+
+    def __str__(self) -> str:
+        return " | ".join(f"{FILTERS[n].label} = {', '.join(v)}" for n, v in self.items()) or NOTHING_SELECTED
+
+
+def known(name: str, names: Iterable[str], kind: str) -> str:
+    """``name`` if it is one of ``names``."""
+    if name in names:
+        return name
+    raise ValueError(f"unknown {kind} {name!r}; known are {sorted(names)}")
 
 
 def filter_in(df: DataFrame, filters: dict | None) -> DataFrame:
-    return df.where(in_condition(filters)) if normalise_filters(filters) else df
+    selection = Selection(filters)
+    return df.where(selection.condition()) if selection else df
 
 
 def filter_optional(df: DataFrame, filters: dict | None, domain: Domain | None = None) -> DataFrame:
-    """One optional value per dimension; 'Todos', empty, unknown names and a non-integer year do
-    not filter. ``periodo`` may name a period of the domain."""
-    for name, value in (filters or {}).items():
-        if value is None or str(value).strip() in ALL:
-            continue
-        if name == "periodo" and domain and value in domain.periods:
-            df = df.where(named_period(domain, value))
-        elif name in FILTERS:
-            if name == "anio":
-                try:
-                    value = int(value)
-                except (TypeError, ValueError):
-                    continue
-            df = df.where(F.col(FILTERS[name][0]) == value)
-    return df
+    """One optional value per filter. What is no value, an unknown name or a year that is no integer restricts nothing;
+    ``periodo`` may name a period of the domain."""
+    given = dict(filters or {})
+    period = given.pop("periodo", None)
+    selection = Selection({n: v for n, v in given.items() if not (n in FILTERS and FILTERS[n].integer) or _is_integer(v)})
+    conditions = [selection.condition()] * bool(selection)
+    if domain and period in domain.periods:
+        conditions.append(named_period(domain, period))
+    return reduce(DataFrame.where, conditions, df)
 
 
-def named_period(domain: Domain, label: str, year: str = "anio") -> Column:
-    require(label, domain.periods, "Periodo")
-    first, last = domain.periods[label]
-    return F.col(year).between(first, last)
+def _is_integer(value) -> bool:
+    return str(value).strip().lstrip("+-").isdecimal()
 
 
-def selection_label(filters: dict | None) -> str:
-    """Readable text of the active selection."""
-    clean = normalise_filters(filters)
-    if not clean:
-        return "Sin filtros (todas las mediciones)"
-    return " | ".join(f"{FILTER_LABELS[n]} = {', '.join(v)}" for n, v in clean.items())
+def named_period(domain: Domain, label: str, year: str = "anio") -> Column:
+    return F.col(year).between(*domain.periods[known(label, domain.periods, "period")])

@@ -117,10 +117,12 @@ def territory_means(df: DataFrame, domain: Domain, digits: int | None = None) ->
     return cells.select("place", mean.alias("irca_promedio"), F.coalesce(risk_class("m"), F.lit("Sin dato")).alias("clasificacion"), "n")
 
 
-def service_mix(df: DataFrame, unit: str, domain: Domain, digits: int | None = None) -> DataFrame:
-    """Per unit: count and percentage of each service level; ordered by size."""
+def service_mix(df: DataFrame, unit: str, domain: Domain, digits: int | None = None, of: str = "known") -> DataFrame:
+    """Per unit: count and percentage of each service level; ordered by size. ``of``: "known" takes the percentages of the rows
+    with a service level, "all" of all rows."""
+    counted = {"known": F.count("service"), "all": F.count(F.lit(1))}[of]
     counts = df.groupBy(unit).agg(
-        F.count(F.lit(1)).alias("total"), *[count_if(F.col("service") == s).alias(f"n{i}") for i, s in enumerate(domain.services)])
+        counted.alias("total"), *[count_if(F.col("service") == s).alias(f"n{i}") for i, s in enumerate(domain.services)])
     percents = {f"pct{i}": percentage(F.col(f"n{i}"), F.col("total")) for i in range(len(domain.services))}
     return counts.select("*", *_round(percents, digits)).orderBy(F.desc("total"), unit)
 

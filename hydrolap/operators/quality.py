@@ -160,8 +160,11 @@ def outlier(c: str) -> Column:
     return F.coalesce((value < F.col(f"_f_{c}.low")) | (value > F.col(f"_f_{c}.high")), F.lit(False))
 
 
+LEAST_VALUES = 5  # fixed value: variables with fewer are not judged
+
+
 def tukey_outliers(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
-    """Limits, outlier count and share, least and greatest value per variable."""
+    """Limits, outlier count and share, least and greatest value per variable with at least five values."""
     rows = df.select(*columns).join(F.broadcast(fences_row(df, columns)))  # a global aggregate: one row
     number = lambda c: safe_double(F.col(c).cast("string"))
     fields = ["n", "li", "ls", "conteo", "min", "max"]
@@ -169,7 +172,7 @@ def tukey_outliers(df: DataFrame, columns: list[str], digits: int | None = None)
         F.struct(F.count(number(c)).alias("n"), F.max(f"_f_{c}.low").alias("li"), F.max(f"_f_{c}.high").alias("ls"),
                  F.count_if(outlier(c)).alias("conteo"), F.min(number(c)).alias("min"), F.max(number(c)).alias("max")).alias(c)
         for c in columns])
-    return _long(counts, columns, fields).where("n > 0").select(
+    return _long(counts, columns, fields).where(F.col("n") >= LEAST_VALUES).select(
         "variable", "n", _round(F.col("li"), digits).alias("li"), _round(F.col("ls"), digits).alias("ls"), "conteo",
         _round(percentage(F.col("conteo"), F.col("n")), digits).alias("porcentaje"), "min", "max")
 

@@ -98,12 +98,12 @@ def pivot_row_pct(t: Tables):
 
 @query("slice_region", sql=f"SELECT department AS grupo, {_M} FROM measure WHERE region = 'EUROPE' GROUP BY department")
 def slice_region(t: Tables):
-    return cube.slice_(t.measure, "region", "EUROPE", "departamento", TRADE, "servicio", "riesgo", DIGITS)["tabla"]
+    return cube.slice_(t.measure, "region", "EUROPE", "departamento", TRADE, "servicio", "riesgo", DIGITS).table
 
 
 @query("dice_three_dims", sql=f"SELECT periodo AS grupo, {_M} FROM measure WHERE {_DICE_SQL} GROUP BY periodo")
 def dice_three_dims(t: Tables):
-    return cube.dice(t.measure, _DICE, "trimestre", TRADE, "sistema", "servicio", DIGITS)["tabla"]
+    return cube.dice(t.measure, _DICE, "trimestre", TRADE, "sistema", "servicio", DIGITS).table
 
 
 @query("dice_matrix", sql=f"""
@@ -113,7 +113,7 @@ SELECT system AS grupo, c0, c1, c2, c3, total, round(1e2 * c0 / total, 6) AS p0,
   count(*) FILTER (WHERE service = 'Rationed') AS c2, count(*) FILTER (WHERE service = 'No service') AS c3, count(*) AS total
  FROM measure WHERE {_DICE_SQL} GROUP BY system) c""")
 def dice_matrix(t: Tables):
-    return cube.dice(t.measure, _DICE, "trimestre", TRADE, "sistema", "servicio", DIGITS)["matriz"]
+    return cube.dice(t.measure, _DICE, "trimestre", TRADE, "sistema", "servicio", DIGITS).matrix
 
 
 _CMP = f"""SELECT CASE WHEN anio IN (2000, 2001) THEN '2000-2001' ELSE '1998-1999' END AS periodo, {_M.replace("6)", "12)")}

@@ -250,7 +250,7 @@ def continuity_series(t: Tables):
 
 @query("service_mix_unit", sql=f"SELECT *, {_MIXP} FROM (SELECT department, count(*) AS total, {_MIX} FROM measure GROUP BY department) g")
 def service_mix_unit(t: Tables):
-    return ind.service_mix(t.measure, "department", TRADE, D)
+    return ind.service_mix(t.measure, "department", TRADE, D, of="all")
 
 
 @query("unit_system_matrix", sql=f"SELECT department, count(*) AS total, round({_CONT}, 6) AS pct_total, " + ", ".join(

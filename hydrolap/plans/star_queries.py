@@ -142,4 +142,4 @@ SELECT department AS grupo, count(*) AS mediciones, count(DISTINCT place) AS mun
 def star_measures(t: Tables):
     """The slice operator over the keyed star instead of the flat frame."""
     rows = st.cube_frame(_star(t), "geography", "risk", "service")
-    return cube.slice_(rows, "region", "ASIA", "departamento", TRADE, digits=6)["tabla"]
+    return cube.slice_(rows, "region", "ASIA", "departamento", TRADE, digits=6).table

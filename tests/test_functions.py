@@ -55,9 +55,9 @@ def test_texts(spark):
 
 def test_periods(spark):
     assert one(spark, ["2024-T2"], fn.previous_period("c")) == ["2023-T2"]
-    assert fn.previous_block([2024, 2025], 2019) == [2022, 2023]
-    assert fn.previous_block([2019, 2020], 2019) is None
-    assert fn.previous_block([2021, 2023], 2019) is None
+    assert fn.earlier_block([2024, 2025], 2019) == [2022, 2023]
+    assert fn.earlier_block([2019, 2020], 2019) is None
+    assert fn.earlier_block([2021, 2023], 2019) is None
 
 
 def test_quadrants(spark):
@@ -67,9 +67,9 @@ def test_quadrants(spark):
 
 
 def test_filters(spark):
-    assert filters.normalise_filters({"anio": 2024, "region": "Todos", "color": "x", "sistema": ["Sur", " "]}) == {"anio": ["2024"], "sistema": ["Sur"]}
-    assert filters.selection_label({}) == "Sin filtros (todas las mediciones)"
-    assert filters.selection_label({"region": "Regional", "anio": ["2024", "2025"]}) == "Región = Regional | Año = 2024, 2025"
+    assert filters.Selection({"anio": 2024, "region": "Todos", "color": "x", "sistema": ["Sur", " "]}) == {"anio": ["2024"], "sistema": ["Sur"]}
+    assert str(filters.Selection({})) == "Sin filtros (todas las mediciones)"
+    assert str(filters.Selection({"region": "Regional", "anio": ["2024", "2025"]})) == "Región = Regional | Año = 2024, 2025"
     df = spark.createDataFrame([(2024, "a"), (2025, "b")], "anio int, region string")
     assert filters.filter_optional(df, {"anio": "no es numero", "region": "Todos"}).count() == 2
     assert filters.filter_optional(df, {"periodo": "2024"}, WATER).count() == 1

@@ -83,6 +83,33 @@ def test_rerun(spark, raw, tmp_path):
     assert dict(spark.read.parquet(house.destination).dtypes)["storage"] == "decimal(5,2)"
 
 
+def test_rerun_of_valid_copies_leaves_no_review_rows(spark, raw, tmp_path):
+    """The second copy is a duplicate in the first run and already loaded in the second."""
+    house = cl.Warehouse(str(tmp_path / "house"))
+    accepted = cl.outcomes(raw, SCHEMA, WATER).where("outcome = 'ACCEPTED'").select("row_id").first().row_id
+    one = raw.where(F.col("row_id") == accepted)
+    pair = one.unionByName(one.withColumn("row_id", F.col("row_id") + 1000))
+    cl.run_batch(pair, house, SCHEMA, WATER, 1, 3)
+    assert spark.read.parquet(house.review).count() == 1
+    schema = spark.read.parquet(house.review).schema
+    cl.run_batch(pair, house, SCHEMA, WATER, 1, 3)
+    assert spark.read.schema(schema).parquet(house.review).count() == 0
+    assert spark.read.parquet(house.destination).count() == 1
+
+
+def test_service_mix_denominators(clean):
+    rows = clean.withColumn("service", F.when(F.col("row_id") == clean.agg(F.min("row_id")).first()[0], F.lit("Continuo")))
+    known = ind.service_mix(rows, "anio", WATER).agg(F.sum("total")).first()[0]
+    every = ind.service_mix(rows, "anio", WATER, of="all").agg(F.sum("total")).first()[0]
+    assert (known, every) == (1, rows.count())
+
+
+def test_earlier_block_of_a_dice(clean):
+    cut = cube.dice(clean, {"anio": ["2024"], "region": "Regional"}, "departamento", WATER)
+    assert {r.periodo for r in cut.earlier.collect()} <= {"2023", "2024", "Cambio"}
+    assert cube.dice(clean, {"anio": ["2023"], "region": "Regional"}, "departamento", WATER).earlier is None
+
+
 def test_stream(spark, raw, tmp_path):
     source = str(tmp_path / "in")
     raw.where("row_id < 3").coalesce(1).write.mode("append").parquet(source)
@@ -127,7 +154,7 @@ def test_denominators(clean):
 
 def test_empty_selection(clean):
     assert cube.indicators(clean, WATER, {"region": "Ninguna"}).count() == 0
-    assert cube.slice_(clean, "region", "Ninguna", "departamento", WATER)["tabla"].count() == 0
+    assert cube.slice_(clean, "region", "Ninguna", "departamento", WATER).table.count() == 0
 
 
 def test_guards(clean):
