@@ -69,7 +69,7 @@ def bands(percent: int, up_to: int) -> tuple[Band, ...]:
         differences = 2 * high * (100 - percent) // (100 + percent)
         if differences:
             least = differences // 2 + 1
-            spare = least * 3 // 10
+            spare = max(least * 3 // 10, int(least > 1))
             empty = least // 10
             out.append(Band(no, low, high, least + spare, empty, spare + 1 - empty))
         no += 1
