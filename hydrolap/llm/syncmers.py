@@ -24,6 +24,11 @@ K, S = 8, 3
 BUCKET_ROWS = 4096
 
 
+def short(hashed: Column) -> Column:
+    """The upper 32 bits: half the size on the way to the neighbour."""
+    return F.shiftright(hashed, 32).cast("int")
+
+
 def anchors(text: Column | str) -> Column:
     """Anchor hashes in text order."""
     words = F.array_remove(F.split(text, SPACE_CLASS), "")
@@ -37,16 +42,16 @@ def anchors(text: Column | str) -> Column:
                 return F.least(*(F.get(h, i + k) for k in range(places))) == F.least(F.get(h, i), F.get(h, i + places - 1))
 
             starts = F.filter(F.sequence(F.lit(0), F.size(w) - K), edge)
-            return F.transform(starts, lambda i: F.xxhash64(F.get(h, i), F.get(h, i + S), F.get(h, i + places - 1)).bitwiseAND(F.lit(0xFFFFFFFF)))
+            return F.transform(starts, lambda i: short(F.xxhash64(F.get(h, i), F.get(h, i + S), F.get(h, i + places - 1))))
 
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(
-            F.size(w) < K, F.array(F.xxhash64(w).bitwiseAND(F.lit(0xFFFFFFFF)))).otherwise(F.get(F.transform(F.array(runs), chosen), F.lit(0)))
+        return F.when(F.size(w) == 0, F.array().cast("array<int>")).when(
+            F.size(w) < K, F.array(short(F.xxhash64(w)))).otherwise(F.get(F.transform(F.array(runs), chosen), F.lit(0)))
 
     return F.get(F.transform(F.array(words), pick), F.lit(0))
 
 
 def fingerprint(found: Column | str) -> Column:
-    return F.array_join(F.transform(found, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    return F.array_join(F.transform(found, lambda h: F.lpad(F.lower(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: str, b: str) -> Column:
