@@ -67,6 +67,8 @@ class TrieBpe:
     def fits(self, left: str, right: str) -> bool:
         known = self._pair.get((left, right))
         if known is None:
+            if len(self._pair) >= MEMO_ENTRIES:
+                self._pair.clear()
             known = self._pair[left, right] = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
         return known
 

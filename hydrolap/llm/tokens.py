@@ -17,6 +17,9 @@ BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{BLANK}]+(?![^{BLANK}])| ?[^{BLANK}]+|[{BLANK}]+")
 UNEVEN = re.compile(r"\s\s|[^\S \n]")
 
+LETTERS = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
+MARKS = frozenset(",.!?;:")
+
 MEMO_ENTRIES = 400_000
 
 
@@ -54,8 +57,34 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.bare = Memo(self.whole)
-        self.after_blank = Memo(lambda part: self.whole(part if part[0] == "\n" else " " + part))
+        self.model = self.tokenizer.model
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # fixed values: bytes that stand for themselves
+        hidden = [b for b in range(256) if b not in visible]
+        self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
+        self.bare = Memo(self.chunk)
+        self.after_blank = Memo(self.part)
+
+    def word(self, text: str) -> bytes:
+        """A run of letters, with the blank before it or not, is one word of the split: the library's model takes it as it is."""
+        named = text.encode().decode("latin-1").translate(self.byte_names)
+        return np.asarray([t.id for t in self.model.tokenize(named)], "<u4").tobytes()
+
+    def chunk(self, text: str) -> bytes:
+        if LETTERS.fullmatch(text):
+            return self.word(text)
+        if text[-1] in MARKS and LETTERS.fullmatch(text[:-1]):
+            return self.bare[text[:-1]] + self.bare[text[-1]]
+        return self.whole(text)
+
+    def part(self, text: str) -> bytes:
+        """What stands behind a blank, or a line end and what follows it."""
+        if text[0] == "\n":
+            return self.bare["\n"] + (self.bare[text[1:]] if len(text) > 1 else b"")
+        if LETTERS.fullmatch(text):
+            return self.word(" " + text)
+        if text[-1] in MARKS and LETTERS.fullmatch(text[:-1]):
+            return self.after_blank[text[:-1]] + self.bare[text[-1]]
+        return self.whole(" " + text)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
