@@ -26,7 +26,7 @@ from .common import id_text
 from .tokens import BLANK, tokenizer_json
 
 SLICE_CHARS = 4_000_000
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 600_000
 
 
 class TrieBpe:
