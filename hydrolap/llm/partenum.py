@@ -24,6 +24,7 @@ result; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,13 +40,14 @@ from .components import components
 U = np.uint64
 SLICE_BYTES = 4_000_000
 BAND = 1.5
-MEMO_ENTRIES = 400_000
+CHUNK_BYTES = 1 << 19
+LONG_WORD = 64
+IS_BLANK = np.isin(np.arange(256), (0x20, *range(0x09, 0x0E)))
+NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 1_000_000
 FILTER_BITS = 1 << 23
 
-FIRST, SHARED = range(2)
-
 
 @dataclass(frozen=True)
 class Band:
@@ -86,27 +88,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def shingle_set(raw: bytes, size: int, words: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a lower-cased text."""
-    found = raw.split()
-    if not found:
-        return np.empty(0, U)
-    if len(found) < size:
-        return np.asarray([xxhash.xxh64_intdigest(b" ".join(found), seed=len(found))], U)
-    h = np.fromiter(map(words.__getitem__, found), U, len(found))
-    n = len(h) - size + 1
-    out = np.zeros(n, U)
+@lru_cache(1)
+def byte_powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random-looking number for each byte value, and the powers of an odd number and of its inverse modulo 2**64."""
+    base = 0xD1342543DE82EF95
+    up = np.cumprod(np.full(CHUNK_BYTES, base, U), dtype=U)
+    down = np.cumprod(np.full(CHUNK_BYTES, pow(base, -1, 1 << 64), U), dtype=U)
+    return mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15)), up, down
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word, in order.
+
+    Sums of byte numbers times powers run over a chunk; the difference of two sums, shifted to the word's start, is a hash of
+    the word alone. Words over LONG_WORD bytes, where powers modulo 2**64 could be steered into each other, are hashed one by one.
+    """
+    number, up, down = byte_powers()
+    hashes, starts, at = [], [], 0
+    while at < len(raw):
+        data = np.frombuffer(raw, np.uint8, min(CHUNK_BYTES, len(raw) - at), at)
+        blank = IS_BLANK[data]
+        if at + len(data) < len(raw):
+            cut = np.flatnonzero(blank)
+            if not len(cut):  # one word fills the chunk
+                end = NEXT_BLANK.search(raw, at)
+                end = end.start() if end else len(raw)
+                hashes.append(np.asarray([xxhash.xxh64_intdigest(raw[at:end])], U))
+                starts.append(np.asarray([at]))
+                at = end
+                continue
+            data, blank = data[: cut[-1] + 1], blank[: cut[-1] + 1]
+        border = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        first, behind = border[::2], border[1::2]
+        sums = np.zeros(len(data) + 1, U)
+        np.cumsum(number[data] * up[: len(data)], out=sums[1:])
+        found = (sums[behind] - sums[first]) * down[first]
+        for i in np.flatnonzero(behind - first > LONG_WORD):
+            found[i] = xxhash.xxh64_intdigest(raw[at + first[i] : at + behind[i]])
+        hashes.append(found)
+        starts.append(first + at)
+        at += len(data)
+    return (np.concatenate(hashes), np.concatenate(starts)) if hashes else (np.empty(0, U), np.empty(0, np.int64))
+
+
+def shingle_sets(raws: list[bytes], size: int) -> list[np.ndarray]:
+    """For each lower-cased text its sorted distinct shingle hashes."""
+    joined = b" ".join(raws)
+    h, starts = word_hashes(joined)
+    text_at = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    word_at = np.searchsorted(starts, text_at)
+    windows = np.zeros(max(0, len(h) - size + 1), U)
     for k in range(size):
-        out = mix(out + h[k : k + n])
-    return np.unique(out)
+        windows = mix(windows + h[k : k + len(windows)])
+    out = []
+    for raw, low, high in zip(raws, word_at, word_at[1:]):
+        if high - low >= size:
+            out.append(np.unique(windows[low : high - size + 1]))
+        else:
+            found = raw.split()
+            out.append(np.asarray([xxhash.xxh64_intdigest(b" ".join(found), seed=len(found))] if found else [], U))
+    return out
 
 
 def digest(shingles: np.ndarray) -> int:
@@ -139,19 +180,19 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
 
 
 def set_slices(batches: Iterator[pa.RecordBatch], size: int, wanted=None) -> Iterator[list[tuple[int | None, np.ndarray]]]:
-    words, rows, total = WordHashes(), [], 0
+    ids, raws, total = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1)):
             if wanted is not None and not wanted(doc_id.as_py()):
                 continue
-            raw = text.as_py().encode().lower()  # bytes: A-Z only
-            rows.append((doc_id.as_py(), shingle_set(raw, size, words)))
-            total += len(raw)
+            ids.append(doc_id.as_py())
+            raws.append(text.as_py().encode().lower())  # bytes: A-Z only
+            total += len(raws[-1])
             if total > SLICE_BYTES:
-                yield rows
-                rows, total = [], 0
-    if rows:
-        yield rows
+                yield list(zip(ids, shingle_sets(raws, size)))
+                ids, raws, total = [], [], 0
+    if ids:
+        yield list(zip(ids, shingle_sets(raws, size)))
 
 
 def digests(docs: DataFrame, size: int) -> DataFrame:
@@ -166,7 +207,7 @@ def digests(docs: DataFrame, size: int) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
-ROW = "kind int, x long, y long, part long"
+ROW = "y long, x long, part long"
 
 
 def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -185,22 +226,24 @@ def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
             sig = np.concatenate([x for _, x, _ in found]).view(np.int64)
             part = np.concatenate([x for _, _, x in found])
             node = np.repeat(np.asarray([x for x, _, _ in found], np.int64), [len(x) for _, x, _ in found])
+            every = sig, node, part
             order = np.argsort(sig, kind="stable")
             sig, node, part = sig[order], node[order], part[order]
             again = np.zeros(len(sig), bool)
             again[1:] = sig[1:] == sig[:-1]
             several = again.copy()
             several[:-1] |= again[1:]
-            yield _rows(FIRST, sig[~again], node[~again], part[~again])
+            lead = np.sort(order[~again])  # by node: neighbours in a shuffle block then differ in few bytes
+            yield _rows(every[1][lead], every[0][lead], every[2][lead])
             if several.any():
-                yield _rows(SHARED, node[several], sig[several], part[several])
+                yield _rows(sig[several], node[several], ~part[several])
 
     def meet(batches: Iterator[pa.RecordBatch]):
         held = None  # last signature's row, not yet known to be shared; then (signature, node, part, whether it was given out)
         for batch in batches:
-            kind, x, y, part = (batch.column(c).to_numpy() for c in range(4))
-            known = kind == SHARED
-            out = [(y[known], x[known], part[known])]
+            y, x, part = (batch.column(c).to_numpy() for c in range(3))
+            known = part < 0
+            out = [(y[known], x[known], ~part[known])]
             s, node, p = x[~known], y[~known], part[~known]
             if len(s):
                 if held is not None:
@@ -224,11 +267,11 @@ def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["signature", "node", "part"])
 
     rows = id_text(docs).mapInArrow(emit, ROW)
-    return rows.repartition("x").sortWithinPartitions("kind", "x").mapInArrow(meet, "signature long, node long, part long")
+    return rows.repartition("x").sortWithinPartitions("x").mapInArrow(meet, "signature long, node long, part long")
 
 
-def _rows(kind: int, x: np.ndarray, y: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y), pa.array(part)], names=["kind", "x", "y", "part"])
+def _rows(y: np.ndarray, x: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(y), pa.array(x), pa.array(part)], names=["y", "x", "part"])
 
 
 def candidate_edges(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:

@@ -284,6 +284,22 @@ def test_role_repair(spark, monkeypatch):
     assert chat.repair(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_word_hashes_tell_words_apart_across_chunks(monkeypatch):
+    monkeypatch.setattr(partenum, "CHUNK_BYTES", 97)
+    partenum.byte_powers.cache_clear()
+    rng = random.Random(5)
+    words = ["".join(rng.choice("ab\u00e9") for _ in range(rng.randint(1, 12))) for _ in range(900)] + ["a" * 63, "a" * 64, "a" * 65, "b" * 400, "a" * 97]
+    rng.shuffle(words)
+    raw = ("\t " + "".join(w + rng.choice([" ", "\n", "\x0b\r", "  "]) for w in words)).encode()
+    hashes, starts = partenum.word_hashes(raw)
+    assert [raw[s:].split(None, 1)[0].decode() for s in starts] == words
+    known = {}
+    assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes.tolist()))
+    assert len(set(known.values())) == len(known)
+    assert all(len(x) == 0 for x in partenum.word_hashes(b"")) and all(len(x) == 0 for x in partenum.word_hashes(b" \n" * 200))
+    partenum.byte_powers.cache_clear()
+
+
 def shingle_sets(texts, size):
     out = {}
     for i, t in enumerate(texts):
