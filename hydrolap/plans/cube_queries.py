@@ -173,14 +173,13 @@ SELECT u.department, s.system, count(m.l_orderkey) AS n,
  round(1e2 * count(*) FILTER (WHERE m.service = 'Continuous') / nullif(count(m.l_orderkey), 0), 6) AS pct
 FROM (SELECT DISTINCT department FROM measure) u
 CROSS JOIN (VALUES ('AUTOMOBILE'), ('BUILDING'), ('FURNITURE'), ('HOUSEHOLD'), ('MACHINERY'), ('NONE')) s(system)
-LEFT JOIN measure m ON m.department = u.department AND m.system = s.system AND m.irca > 49 GROUP BY ALL""")
+LEFT JOIN measure m ON m.department = u.department AND m.system = s.system GROUP BY ALL""")
 def dense_matrix(t: Tables):
     """Every unit gets every catalogue column; empty cells are 0 (count) or null (percentage)."""
     catalogue = (*TRADE.systems, "NONE")
-    hit = F.col("irca") > 49
     cells = []
     for i, s in enumerate(catalogue):
-        here = (F.col("system") == s) & hit
+        here = F.col("system") == s
         cells += [count_if(here).alias(f"n{i}"), count_if(here & (F.col("service") == TRADE.continuous)).alias(f"c{i}")]
     wide = t.measure.groupBy("department").agg(*cells)
     parts = F.array(*[

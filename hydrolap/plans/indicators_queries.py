@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..domain import RISK_GROUPS, TRADE
 from ..operators import indicators as ind
+from ..operators.filters import named_period
 from .registry import query
 from .views import ORDER, Tables
 
@@ -139,43 +140,46 @@ def group_summary(t: Tables):
 
 _PRIO = f"""SELECT department, region, count(*) AS n, count(irca) AS validos, count(*) FILTER (WHERE risk_group = 'Alto o inviable') AS alto,
  count(*) FILTER (WHERE service = 'Continuous') AS continuo, 1e2 * count(*) FILTER (WHERE risk_group = 'Alto o inviable') / nullif(count(irca), 0) AS pa,
- {_CONT} AS pc, avg(coverage) AS cobertura FROM measure WHERE anio BETWEEN 2000 AND 2001 GROUP BY department, region"""
+ {_CONT} AS pc, avg(coverage) AS cobertura FROM measure GROUP BY department, region"""
 _LABEL = """CASE WHEN coalesce(pa, 0) >= 40 AND coalesce(pc, 0) < 50 THEN 'Prioridad conjunta' WHEN coalesce(pa, 0) >= 40 THEN 'Prioridad de calidad'
  WHEN coalesce(pc, 0) < 50 THEN 'Prioridad de servicio' ELSE 'Seguimiento' END"""
 
 
-def _recent(t: Tables):
-    from ..operators.filters import named_period
-    return t.measure.where(named_period(TRADE, "2000-2001"))
-
-
 @query("dept_priority", sql=f"""
 SELECT department, region, n, validos, alto, continuo, round(pa, 6) AS pct_alto, round(pc, 6) AS pct_continuo, round(cobertura, 6) AS cobertura,
  {_LABEL} AS prioridad FROM ({_PRIO}) p""")
 def dept_priority(t: Tables):
-    return ind.priorities(_recent(t), TRADE, D)
+    return ind.priorities(t.measure, TRADE, D)
+
+
+@query("dept_priority_period", sql=f"""
+SELECT department, region, n, validos, alto, continuo, round(pa, 6) AS pct_alto, round(pc, 6) AS pct_continuo, round(cobertura, 6) AS cobertura,
+ {_LABEL} AS prioridad FROM ({_PRIO.replace("FROM measure", "FROM measure WHERE anio BETWEEN 2000 AND 2001")}) p""")
+def dept_priority_period(t: Tables):
+    """The priorities of a named period."""
+    return ind.priorities(t.measure.where(named_period(TRADE, "2000-2001")), TRADE, D)
 
 
 @query("priority_counts", sql=f"SELECT {_LABEL} AS prioridad, count(*) AS departamentos FROM ({_PRIO}) p GROUP BY 1")
 def priority_counts(t: Tables):
-    return ind.priorities(_recent(t), TRADE).groupBy("prioridad").agg(F.count(F.lit(1)).alias("departamentos"))
+    return ind.priorities(t.measure, TRADE).groupBy("prioridad").agg(F.count(F.lit(1)).alias("departamentos"))
 
 
 @query("dept_risk_mix", sql="""
 SELECT *, round(1e2 * n0 / validos, 6) AS pct0, round(1e2 * n1 / validos, 6) AS pct1, round(1e2 * n2 / validos, 6) AS pct2 FROM (
  SELECT department, count(irca) AS validos, count(*) FILTER (WHERE risk_group = 'Bajo o nulo') AS n0, count(*) FILTER (WHERE risk_group = 'Medio') AS n1,
-  count(*) FILTER (WHERE risk_group = 'Alto o inviable') AS n2 FROM measure WHERE anio BETWEEN 2000 AND 2001 GROUP BY department) g""")
+  count(*) FILTER (WHERE risk_group = 'Alto o inviable') AS n2 FROM measure GROUP BY department) g""")
 def dept_risk_mix(t: Tables):
-    return ind.risk_mix(_recent(t), "department", D)
+    return ind.risk_mix(t.measure, "department", D)
 
 
 @query("dept_service_matrix", sql="SELECT department, " + ", ".join(
     f"nullif(count(*) FILTER (WHERE service = '{s}'), 0) AS n{i}, "
     f"CASE WHEN count(*) FILTER (WHERE service = '{s}') > 0 THEN count(irca) FILTER (WHERE service = '{s}') END AS validos{i}, "
     f"round(1e2 * count(*) FILTER (WHERE service = '{s}' AND risk_group = 'Alto o inviable') / nullif(count(irca) FILTER (WHERE service = '{s}'), 0), 6) AS pct{i}"
-    for i, s in enumerate(TRADE.services)) + " FROM measure WHERE anio BETWEEN 2000 AND 2001 GROUP BY department")
+    for i, s in enumerate(TRADE.services)) + " FROM measure GROUP BY department")
 def dept_service_matrix(t: Tables):
-    return ind.service_risk_matrix(_recent(t), "department", TRADE, D)
+    return ind.service_risk_matrix(t.measure, "department", TRADE, D)
 
 
 @query("coverage_gap", sql=f"""
@@ -237,9 +241,17 @@ def recovery_verdict(t: Tables):
 
 
 @query("system_breaks", sql=f"""
-WITH s AS (SELECT system, anio, {_CONT} AS c FROM measure WHERE region = 'EUROPE' GROUP BY system, anio)
+WITH s AS (SELECT system, anio, {_CONT} AS c FROM measure GROUP BY system, anio)
 SELECT count(*) FILTER (WHERE a.c - b.c >= 50) AS caidas, count(*) AS sistemas FROM s a JOIN s b ON a.system = b.system AND a.anio = 1999 AND b.anio = 2001""")
 def system_breaks(t: Tables):
+    return ind.system_breaks(t.measure, 1999, 2001, 50, TRADE)
+
+
+@query("system_breaks_region", sql=f"""
+WITH s AS (SELECT system, anio, {_CONT} AS c FROM measure WHERE region = 'EUROPE' GROUP BY system, anio)
+SELECT count(*) FILTER (WHERE a.c - b.c >= 50) AS caidas, count(*) AS sistemas FROM s a JOIN s b ON a.system = b.system AND a.anio = 1999 AND b.anio = 2001""")
+def system_breaks_region(t: Tables):
+    """The same inside one region."""
     return ind.system_breaks(t.measure.where(F.col("region") == "EUROPE"), 1999, 2001, 50, TRADE)
 
 
