@@ -4,14 +4,19 @@ Model. Every byte is eight binary decisions (a path through 255 nodes); the cont
 ``DEPTH`` bytes before the byte. Each context and node has a Krichevsky-Trofimov estimate from its training counts. A
 context's weighted probability is the mean of its own estimate and the product of its children's (contexts one byte longer),
 so all depths are mixed by how well they coded the training text; a text's code length follows from the mixed
-predictions along its path. The tree holds the ``MAX_CONTEXTS`` most frequent contexts (a model parameter; a parent is
-always at least as frequent as its children); what the left-out children of a context saw is one further child.
+predictions along its path. The tree holds every context of the training texts and grows with them.
 
 A text's bytes (A-Z lower-cased) are coded after ``DEPTH`` zero bytes and closed by a zero byte.
 
-Counting. Each task sums its own byte strings and words before the shuffle. Scoring: the tree and the ``HOT_WORDS`` most
-frequent words are broadcast, both bounded by parameters; counts of all other words come by a join on their hash, which
-by then has no hot key. Words are told apart by 64-bit hashes.
+Counting. Each task sums its own byte strings and words before the shuffle. The strings of all texts, those of no training text
+with a count of zero, meet by the ``TOP`` bytes nearest to the coded one and are read in the order of their contexts, nearest byte
+first, so that whole subtrees of one byte more pass by and are weighted bottom-up, a few at a time. What is above them has at most
+256 ** TOP contexts, is weighted on the driver and turned into a table of two numbers for each context, byte and bit, from
+which a second pass takes the value of every string.
+
+Scoring: the ``HOT_STRINGS`` and ``HOT_WORDS`` most frequent strings and words are broadcast as caches, both bounded by
+parameters; the values of all other strings and the counts of all other words come by joins, which by then have no
+hot key. Words are told apart by 64-bit hashes.
 
 Edge cases: null text counts as empty: one token, the end; a null doc_id is training; without training texts every bit costs
 one bit; repeated rows count and are scored each; an empty table gives an empty result; further columns are ignored.
@@ -19,9 +24,11 @@ one bit; repeated rows count and are scored each; an empty table gives an empty
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +39,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import id_text, work_table
 
 DEPTH = 5
-MAX_CONTEXTS = 1 << 16
+TOP = 2
 HOT_WORDS = 1 << 17
+HOT_STRINGS = 1 << 21
 SLICE_BYTES = 4_000_000
 FLUSH = 500_000
-CACHE = 4_000_000
+SUBTREE_ROWS = 1 << 18
 
 WORD, GRAM, DOCUMENT = range(3)
 U = np.uint64
@@ -58,6 +66,15 @@ def grams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys, owner
 
 
+def nearest_first(strings: np.ndarray) -> np.ndarray:
+    """Byte strings with the context bytes turned round, so that sorting puts contexts with the same nearest bytes side by side."""
+    strings = strings.astype(np.int64)
+    out = np.zeros(len(strings), np.int64)
+    for k in range(1, DEPTH + 1):
+        out = out << 8 | strings >> 8 * k & 255
+    return out << 8 | strings & 255
+
+
 def raw_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
     ids, raws, size = [], [], 0
     for batch in batches:
@@ -72,180 +89,238 @@ def raw_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[b
         yield ids, raws
 
 
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): words by hash, byte strings, and documents, of all training texts."""
+def corpus_counts(docs: DataFrame, is_training: Column) -> DataFrame:
+    """(kind, key, n, times), not yet summed over tasks: words by hash and documents of the training texts; byte strings of all
+    texts, ``n`` times in training texts and ``times`` in all."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         words: Counter = Counter()
-        keys, counts, documents = np.empty(0, U), np.empty(0, np.int64), 0
+        keys, counts, documents = np.empty(0, np.int64), np.empty((0, 2), np.int64), 0
 
-        def out(kind, k, n):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k, pa.int64()), pa.array(n, pa.int64())], names=["kind", "key", "n"])
+        def out(kind, k, n, times):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(k), kind, np.int32)), *(pa.array(x, pa.int64()) for x in (k, n, times))], names=["kind", "key", "n", "times"])
 
         def flush_words():
-            batch = out(WORD, [word_hash(w) for w in words], list(words.values()))
+            batch = out(WORD, [word_hash(w) for w in words], list(words.values()), list(words.values()))
             words.clear()
             return batch
 
-        for ids, raws in raw_slices(batches):
-            documents += len(ids)
-            for raw in raws:
+        for learned, raws in raw_slices(batches):
+            documents += sum(learned)
+            for raw in itertools.compress(raws, learned):
                 words.update(raw.split())
             if len(words) > FLUSH:
                 yield flush_words()
-            new, n = np.unique(grams(raws)[0], return_counts=True)
-            keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(inverse, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+            strings, owner = grams(raws)
+            new, at = np.unique(nearest_first(strings), return_inverse=True)
+            n = np.stack([np.bincount(at, np.asarray(learned, float)[owner], len(new)), np.bincount(at, minlength=len(new))], 1).astype(np.int64)
+            keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            counts = np.concatenate([counts, n])
+            counts = np.stack([np.bincount(at, counts[:, k], len(keys)) for k in range(2)], 1).astype(np.int64)
             if len(keys) > 4 * FLUSH:
-                yield out(GRAM, keys.astype(np.int64), counts)
-                keys, counts = np.empty(0, U), np.empty(0, np.int64)
+                yield out(GRAM, keys, counts[:, 0], counts[:, 1])
+                keys, counts = np.empty(0, np.int64), np.empty((0, 2), np.int64)
         yield flush_words()
-        yield out(GRAM, keys.astype(np.int64), counts)
-        yield out(DOCUMENT, [0], [documents])
+        yield out(GRAM, keys, counts[:, 0], counts[:, 1])
+        yield out(DOCUMENT, [0], [documents], [documents])
 
-    return id_text(docs).mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.coalesce(is_training, F.lit(False)).alias("training"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "kind int, key long, n long, times long")
 
 
 def mask(depth: int) -> int:
     return (1 << 8 * depth) - 1
 
 
-def tree_counts(counts: DataFrame) -> tuple[np.ndarray, ...]:
-    """(depth, context, byte, n) of the kept contexts; at most MAX_CONTEXTS x 256 rows, the root included."""
-    strings = counts.where(F.col("kind") == GRAM)
-    context = F.shiftright("key", 8)
-    levels = strings.select("n", F.posexplode(F.array(*(context.bitwiseAND(F.lit(mask(d))) for d in range(DEPTH + 1)))).alias("depth", "context"),
-                            F.col("key").bitwiseAND(F.lit(255)).alias("byte"))
-    sums = work_table(levels.groupBy("depth", "context", "byte").agg(F.sum("n").alias("n")), "levels")
-    kept = sums.groupBy("depth", "context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "depth", "context").limit(MAX_CONTEXTS)
-    rows = sums.join(F.broadcast(kept.select("depth", "context")), ["depth", "context"]).select("depth", "context", "byte", "n").toArrow()
-    return tuple(rows.column(c).to_numpy().astype(np.int64) for c in ("depth", "context", "byte", "n"))
+SMALL = 1 << 16
+_lgamma = np.frompyfunc(math.lgamma, 1, 1)
 
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+@lru_cache
+def small_lgamma(plus: float) -> np.ndarray:
+    return _lgamma(np.arange(SMALL) + plus).astype(float)
+
+
+def lgamma(n: np.ndarray, plus: float) -> np.ndarray:
+    """Logarithm of the gamma function at whole numbers plus a constant; from a table for all but large ones."""
+    out = small_lgamma(plus)[np.minimum(n, SMALL - 1)]
+    large = np.flatnonzero(n >= SMALL)
+    if len(large):
+        out[large] = _lgamma(n[large] + plus).astype(float)
+    return out
 
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log probability that a Krichevsky-Trofimov estimator gives n0 zeros and n1 ones."""
-    return (_lgamma(n0 + 0.5) + _lgamma(n1 + 0.5) - _lgamma(n0 + n1 + 1.0)).astype(float) - 2 * math.lgamma(0.5)
+    return lgamma(n0, 0.5) + lgamma(n1, 0.5) - lgamma(n0 + n1, 1.0) - 2 * math.lgamma(0.5)
+
+
+def weigh(keys: np.ndarray, n: np.ndarray, below: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the rows of a depth (sorted context and byte, count) and the bits of the byte: the own estimate of the bit, its share in
+    the mixture and the log weighted probability of the node, which stands at the first of the node's rows only.
+
+    ``below``: the children's log weighted probabilities, to be summed over a node's rows; None at the greatest depth.
+    """
+    own_bit, share, weighted = np.empty((len(keys), 8)), np.ones((len(keys), 8)), np.zeros((len(keys), 8))
+    for j in range(8):
+        start = np.diff(keys >> (8 - j), prepend=-1) != 0
+        first, node, bit = np.flatnonzero(start), np.cumsum(start) - 1, keys >> (7 - j) & 1
+        total, n1 = np.add.reduceat(n, first), np.add.reduceat(n * bit, first)
+        own = log_kt(total - n1, n1)
+        own_bit[:, j] = (np.where(bit == 1, n1[node], (total - n1)[node]) + 0.5) / (total[node] + 1)
+        if below is None:
+            weighted[first, j] = own
+        else:
+            children = np.add.reduceat(below[:, j], first)
+            share[:, j] = (1 / (1 + np.exp(np.clip(children - own, -700, 700))))[node]
+            weighted[first, j] = np.logaddexp(own, children) - math.log(2)
+    return own_bit, share, weighted
+
+
+def climb(keys: np.ndarray, n: np.ndarray, below: np.ndarray | None, depths: range) -> tuple[np.ndarray, ...]:
+    """Weights from the first of ``depths`` up to the last. ``keys``: sorted rows of the first one, all that their contexts of the last have.
+
+    Returns for each row and bit (plus, times): the probability of the bit is plus + times x its probability one depth
+    below the first; and rows, counts and ``below`` for the depth above the last.
+    """
+    plus, times, at = np.zeros((len(keys), 8)), np.ones((len(keys), 8)), np.arange(len(keys))
+    for _ in depths:
+        own_bit, share, weighted = weigh(keys, n, below)
+        own_bit, share = own_bit[at], share[at]
+        plus, times = share * own_bit + (1 - share) * plus, (1 - share) * times
+        keys, up = np.unique(keys >> 16 << 8 | keys & 255, return_inverse=True)  # the farthest byte goes
+        n = np.bincount(up, n, len(keys)).astype(np.int64)
+        below = np.stack([np.bincount(up, weighted[:, j], len(keys)) for j in range(8)], 1)
+        at = up[at]
+    return plus, times, keys, n, below
+
+
+def merged(keys: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted ``keys`` once each and the sums of the rest."""
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], *(np.add.reduceat(x, first) if len(first) else x for x in sums)
 
 
 class Tree:
-    """Nodes as sorted keys with the estimate of a one and the share that the node's own estimate has in the mixture."""
+    """The whole model in one process: what the jobs below compute in pieces, for corpora that fit."""
 
     def __init__(self, depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray):
-        levels = []
-        for d in range(DEPTH + 1):
-            at = depth == d
-            keys, bits, weights = [], [], []
-            for j in range(8):
-                keys.append(context[at] << 8 | 1 << j | byte[at] >> (8 - j))
-                bits.append(byte[at] >> (7 - j) & 1)
-                weights.append(n[at])
-            keys, bits, weights = map(np.concatenate, (keys, bits, weights))
-            node, inverse = np.unique(keys, return_inverse=True)
-            n1 = np.bincount(inverse, weights * bits, len(node))
-            levels.append((node, np.bincount(inverse, weights, len(node)) - n1, n1))
-        self.contexts = [np.unique(context[depth == d]) for d in range(DEPTH + 1)]
-        tables, below = [], None
-        for d in range(DEPTH, -1, -1):
-            node, n0, n1 = levels[d]
-            own = log_kt(n0, n1)
-            share, weighted = np.ones(len(node)), own
-            if below is not None and len(below[0]):
-                child, c0, c1, child_weighted = below
-                up = np.searchsorted(node, (child >> 8 & mask(d)) << 8 | child & 255)
-                r0, r1 = (x - np.bincount(up, c, len(node)) for x, c in ((n0, c0), (n1, c1)))
-                split = np.isin(node >> 8, np.unique(self.contexts[d + 1] & mask(d)))
-                children = np.bincount(up, child_weighted, len(node)) + log_kt(r0, r1)
-                share = np.where(split, 1 / (1 + np.exp(np.clip(children - own, -700, 700))), 1.0)
-                weighted = np.where(split, np.logaddexp(own, children) - math.log(2), own)
-                rest = split & (r0 + r1 > 0)
-                tables.append((self.key(d, node[rest], True), (r1[rest] + 0.5) / (r0[rest] + r1[rest] + 1), np.ones(rest.sum())))
-            tables.append((self.key(d, node, False), (n1 + 0.5) / (n0 + n1 + 1), share))
-            below = node, n0, n1, weighted
-        keys, ones, shares = map(np.concatenate, zip(*tables))
-        order = np.argsort(keys)
-        self.keys, self.ones, self.shares = keys[order], ones[order].astype(np.float32), shares[order].astype(np.float32)
-
-    @staticmethod
-    def key(depth: int, node: np.ndarray, rest: bool) -> np.ndarray:
-        return (node << 4 | depth << 1 | int(rest)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        return at, (self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool))
+        at = depth == DEPTH
+        self.strings, self.n = nearest_first(context[at] << 8 | byte[at]), n[at]
 
     def log10(self, strings: np.ndarray) -> np.ndarray:
         """Log10 probability of the last byte of each string after the bytes before it."""
-        strings = strings.astype(np.int64)
-        context, byte = strings >> 8, strings & 255
-        deepest = np.full(len(strings), -1)
-        for d in range(DEPTH + 1):
-            kept = self.contexts[d]
-            if len(kept):
-                c = context & mask(d)
-                at = np.minimum(np.searchsorted(kept, c), len(kept) - 1)
-                deepest = np.where((kept[at] == c) & (deepest == d - 1), d, deepest)
-        total = np.zeros(len(strings))
-        for j in range(8):
-            node, bit = 1 << j | byte >> (8 - j), byte >> (7 - j) & 1
-            p = np.full(len(strings), 0.5)
-            for d in range(DEPTH, -1, -1):
-                here = np.flatnonzero(deepest >= d)
-                full = (context[here] & mask(d)) << 8 | node[here]
-                last = deepest[here] == d
-                if d < DEPTH and last.any():
-                    at, found = self.find(self.key(d, full[last], True))
-                    p[here[last]] = np.where(found, self.ones[at] if len(self.ones) else 0.5, 0.5)
-                at, found = self.find(self.key(d, full, False))
-                if len(self.ones):
-                    share = self.shares[at].astype(float)
-                    p[here] = np.where(found, share * self.ones[at] + (1 - share) * p[here], 0.5)
-            total += np.log10(np.where(bit == 1, p, 1 - p))
-        return total
-
-
-class StringCache:
-    """Byte strings met so far in a worker, with their log probabilities; emptied when full.
-
-    Nearly all strings are found in a table of fixed size at the place of their hash; the rest is looked up among the sorted ones.
-    """
+        wanted = nearest_first(strings)
+        keys, at = np.unique(np.concatenate([self.strings, wanted]), return_inverse=True)
+        n = np.bincount(at[: len(self.n)], self.n, len(keys)).astype(np.int64)
+        return np.log10(climb(keys, n, None, range(DEPTH, -1, -1))[0]).sum(1)[at[len(self.n):]]
+
 
-    SLOTS = 21
+def packed(rows: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values."""
+    width = rows.shape[1] * rows.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
-    def __init__(self, tree: Tree):
-        self.tree, self.keys, self.values = tree, np.empty(0, U), np.empty(0)
-        self.slot_keys, self.slot_values = np.full(1 << self.SLOTS, (1 << 64) - 1, U), np.zeros(1 << self.SLOTS)
+
+def unpacked(column, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), kind).reshape(-1, 8)
+
+
+def subtrees(counts: DataFrame) -> DataFrame:
+    """Every byte string (``top`` false) with its ``times`` in all texts and the probabilities of its bits in the subtree of its TOP + 1
+    nearest bytes; and the rows of depth TOP (``top`` true), in parts, with their counts and what the subtrees weigh."""
+    names = ["top", "key", "n", "numbers"]
+
+    def out(top, keys, n, numbers):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), top)), pa.array(keys), pa.array(n), packed(numbers)], names=names)
+
+    def weighed(keys, n, times):
+        keys, n, times = merged(keys, n, times)
+        bits, _, above, sums, below = climb(keys, n, None, range(DEPTH, TOP, -1))
+        yield out(False, keys, times, bits.astype("<f4"))
+        yield out(True, above, sums, below.astype("<f8"))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        held, size, enough = [], 0, SUBTREE_ROWS
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in range(3)])
+            size += batch.num_rows
+            if size < enough:
+                continue
+            columns = [np.concatenate(c) for c in zip(*held)]
+            bits = 8 * (DEPTH - TOP)
+            cut = int(np.searchsorted(columns[0], columns[0][-1] >> bits << bits))  # the last subtree may go on
+            if cut:
+                yield from weighed(*(c[:cut] for c in columns))
+            held, size = [[c[cut:] for c in columns]], len(columns[0]) - cut
+            enough = max(SUBTREE_ROWS, 2 * size)
+        if size:
+            yield from weighed(*(np.concatenate(c) for c in zip(*held)))
+
+    strings = counts.where(F.col("kind") == GRAM).select("key", "n", "times")
+    near = strings.repartition(F.shiftright("key", 8 * (DEPTH - TOP + 1))).sortWithinPartitions("key")
+    return near.mapInArrow(run, "top boolean, key long, n long, numbers binary")
+
+
+def string_values(counts: DataFrame) -> DataFrame:
+    """(key, value, times): log10 probability of the last byte of every byte string after the bytes before it."""
+    found = work_table(subtrees(counts), "subtrees")
+    rows = found.where("top").select("key", "n", "numbers").toArrow()
+    keys, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
+    order = np.argsort(keys, kind="stable")
+    keys, n, below = merged(keys[order], n[order], unpacked(rows.column("numbers"), "<f8")[order])
+    plus, times, *_ = climb(keys, n, below, range(TOP, -1, -1)) if len(keys) else (np.empty((0, 8)),) * 2
+    shared = counts.sparkSession.sparkContext.broadcast((keys, plus.astype("<f4"), times.astype("<f4")))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        known, plus, times = shared.value
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            at = np.searchsorted(known, key >> 8 * (DEPTH - TOP + 1) << 8 | key & 255)
+            value = np.log10(plus[at] + times[at].astype(float) * unpacked(batch.column(2), "<f4")).sum(1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value), batch.column(1)], names=["key", "value", "times"])
+
+    return found.where("NOT top").select("key", "n", "numbers").mapInArrow(run, "key long, value double, times long")
+
+
+def least_hot(values: DataFrame) -> int:
+    """The least ``times`` from which on there are at most HOT_STRINGS strings."""
+    found = values.groupBy("times").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    times, n = (found.column(c).to_numpy() for c in ("times", "n"))
+    order = np.argsort(-times)
+    fitting = times[order][np.cumsum(n[order]) <= HOT_STRINGS]
+    return int(fitting[-1]) if len(fitting) else 1 << 62
+
+
+class HotStrings:
+    """Values of the frequent byte strings. Nearly all are found in a table of fixed size at the place of their hash, the rest among the sorted ones."""
+
+    SLOTS = 22
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.slot_keys, self.slot_values = np.full(1 << self.SLOTS, -1, np.int64), np.zeros(1 << self.SLOTS)
+        place = self.place(keys)
+        self.slot_keys[place] = keys  # where two keys meet, both arrays keep the last one
+        self.slot_values[place] = values
 
     def place(self, strings: np.ndarray) -> np.ndarray:
-        return (strings * U(0x9E3779B97F4A7C15) >> U(64 - self.SLOTS)).astype(np.int64)
+        return (strings.astype(U) * U(0x9E3779B97F4A7C15) >> U(64 - self.SLOTS)).astype(np.int64)
 
     def look_up(self, strings: np.ndarray) -> np.ndarray:
+        """Values, not-a-number for strings that are not held."""
         place = self.place(strings)
         out = self.slot_values[place]
         rest = np.flatnonzero(self.slot_keys[place] != strings)
-        if len(rest):
-            new, inverse = np.unique(strings[rest], return_inverse=True)
-            values = self.sorted_look_up(new)
-            out[rest] = values[inverse]
-            place = self.place(new)
-            self.slot_keys[place], self.slot_values[place] = new, values
+        if not len(self.keys):
+            out[:] = np.nan
+        elif len(rest):
+            at = np.minimum(np.searchsorted(self.keys, strings[rest]), len(self.keys) - 1)
+            out[rest] = np.where(self.keys[at] == strings[rest], self.values[at], np.nan)
         return out
 
-    def sorted_look_up(self, strings: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.keys, strings)
-        missing = np.ones(len(strings), bool) if not len(self.keys) else self.keys[np.minimum(at, len(self.keys) - 1)] != strings
-        if missing.any():
-            if len(self.keys) > CACHE:
-                self.keys, self.values, missing = np.empty(0, U), np.empty(0), np.ones(len(strings), bool)
-            new = strings[missing]
-            keys, values = np.concatenate([self.keys, new]), np.concatenate([self.values, self.tree.log10(new)])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.values = keys[order], values[order]
-            at = np.searchsorted(self.keys, strings)
-        return self.values[at]
-
 
 class HotWords(dict):
     """Word -> (its hash, None) or, if hot, (None, log10 of its count plus one)."""
@@ -262,20 +337,24 @@ class HotWords(dict):
         return out
 
 
-SCORED = "row long, doc_id long, n_tokens long, known long, logs double, score double, rest array<long>, times array<int>"
+SCORED = "row long, doc_id long, n_tokens long, known long, logs double, score double, rest array<long>, times array<int>, strings array<long>"
 
 
-def score_rows(docs: DataFrame, tree: Tree, hot: dict[int, int], end_count: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((tree, hot))
+def score_rows(docs: DataFrame, hot_strings: tuple[np.ndarray, np.ndarray], hot: dict[int, int], end_count: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((hot_strings, hot))
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        model, counts = shared.value
-        cache, words = StringCache(model), HotWords(counts)
+        held, counts = shared.value
+        cache, words = HotStrings(*held), HotWords(counts)
         row = TaskContext.get().partitionId() << 40
         for ids, raws in raw_slices(batches):
             strings, owner = grams(raws)
-            scores = np.bincount(owner, cache.look_up(strings), len(raws))
+            strings = nearest_first(strings)
+            values = cache.look_up(strings)
+            rare = np.isnan(values)
+            scores = np.bincount(owner, np.where(rare, 0, values), len(raws))
+            ends = np.cumsum(np.bincount(owner[rare], minlength=len(raws)))
             out = []
             for doc_id, raw, total in zip(ids, raws, scores):
                 found = raw.split()
@@ -290,26 +369,34 @@ def score_rows(docs: DataFrame, tree: Tree, hot: dict[int, int], end_count: int)
                         logs += n * value
                 out.append((row, doc_id, len(found) + 1, known, logs, float(total), rest, times))
                 row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in SCORED.split(", ")])
+            left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(strings[rare]))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*out), kinds)), left], names=[x.split()[0] for x in SCORED.split(", ")])
 
     return id_text(docs).mapInArrow(run, SCORED)
 
 
 def score(docs: DataFrame, is_training: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every document; the model learns from ``is_training`` rows."""
-    counts = work_table(corpus_counts(docs.where(is_training)), "counts")
-    words = counts.where(F.col("kind") == WORD).select(F.col("key").alias("hash"), "n")
+    counts = work_table(corpus_counts(docs, is_training), "counts")
+    words = work_table(counts.where(F.col("kind") == WORD).groupBy(F.col("key").alias("hash")).agg(F.sum("n").alias("n")), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = counts.where(F.col("kind") == DOCUMENT).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     train_tokens, distinct = total["n"] + ends, total["v"] + (ends > 0)
     top = words.orderBy(F.desc("n"), "hash").limit(HOT_WORDS).toArrow()
     hot = dict(zip(top.column("hash").to_pylist(), top.column("n").to_pylist()))
-    scored = work_table(score_rows(docs, Tree(*tree_counts(counts)), hot, ends), "scored")
+    values = work_table(string_values(counts), "values")
+    least = least_hot(values)
+    often = values.where(F.col("times") >= least).select("key", "value").toArrow().sort_by("key")
+    hot_strings = often.column("key").to_numpy(), often.column("value").to_numpy()
+    scored = work_table(score_rows(docs, hot_strings, hot, ends), "scored")
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("hash"), F.col("x.times").alias("times"))
     more = rest.join(words, "hash").groupBy("row").agg(
         F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"))
+    rare = scored.select("row", F.explode("strings").alias("key")).join(values.where(F.col("times") < least).select("key", "value"), "key")
+    more_score = rare.groupBy("row").agg(F.sum("value").alias("more_score"))
     unit = math.log10(train_tokens + distinct + 1)
-    return scored.select("row", "doc_id", "n_tokens", "known", "logs", "score").join(more, "row", "left").select(
+    return scored.select("row", "doc_id", "n_tokens", "known", "logs", "score").join(more, "row", "left").join(more_score, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"), "score")
+        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))

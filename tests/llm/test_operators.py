@@ -251,6 +251,27 @@ def test_context_tree_mixture_by_recursion():
         assert math.isclose(float(tree.log10(np.asarray([s], np.uint64))[0]), want, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("hot", [0, 2000, 1 << 21])
+def test_context_tree_holds_every_context(spark, monkeypatch, hot):
+    """Scores equal those of the whole tree, also where the training texts have more than 65,536 contexts."""
+    monkeypatch.setattr(ctw, "HOT_STRINGS", hot)
+    monkeypatch.setattr(ctw, "SUBTREE_ROWS", 3000)
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz \u00e9") for _ in range(700)) for _ in range(60)]
+    texts += [None, "", texts[3], texts[4][:300] + " " + texts[5][:300]]
+    raw = [(t or "").encode().lower() for t in texts]
+    trained = Counter(int(s) for i, r in enumerate(raw) if i % 3 != 1 for s in ctw.grams([r])[0])
+    assert sum(len({s >> 8 & ctw.mask(d) for s in trained}) for d in range(ctw.DEPTH + 1)) > 1 << 16
+    rows = Counter()
+    for s, n in trained.items():
+        for d in range(ctw.DEPTH + 1):
+            rows[d, s >> 8 & ctw.mask(d), s & 255] += n
+    tree = ctw.Tree(*(np.asarray(x, np.int64) for x in zip(*((*k, n) for k, n in rows.items()))))
+    got = by_id(ctw.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), F.col("doc_id") % 3 != 1))
+    for i, r in enumerate(raw):
+        assert math.isclose(got[i]["score"], tree.log10(ctw.grams([r])[0]).sum(), rel_tol=1e-5)
+
+
 def cheapest(roles):
     costs = {chat.START: 0}
     for role in roles:
