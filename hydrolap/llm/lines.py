@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join.
 
 A line goes if an earlier line of the corpus is equal to it or within ``EDITS`` edits; earlier means a smaller (doc_id, position).
-Lines of fewer than ``MIN_CHARS`` code points, blank ones among them, always stay.
+Lines of fewer than ``MIN_CHARS`` code points go only if an earlier one is equal; without a word they always stay.
 
 Join. A line of length L is split into EDITS + 1 segments of almost equal length. Two lines within EDITS edits have a segment of
 the shorter one unchanged in the longer one, near its place; which places must be probed follows from the difference in
@@ -23,7 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import checked_broadcast, id_text, work_table
+from .common import WORD_PATTERN, checked_broadcast, id_text, work_table
 
 EDITS = 2
 MIN_CHARS = 16
@@ -33,10 +33,11 @@ WORD = 32  # bits of the band's word
 
 
 def exploded(docs: DataFrame) -> DataFrame:
-    """doc_id, row, pos, rid, chars, line of every line that is long enough."""
+    """doc_id, row, pos, rid, chars, line of every line but short ones without a word."""
     rows = id_text(docs).withColumn("row", F.xxhash64("doc_id", "text"))
     lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return lines.withColumn("chars", F.length("line")).where(F.col("chars") >= MIN_CHARS).withColumn("rid", F.xxhash64("line"))
+    return lines.withColumn("chars", F.length("line")).where((F.col("chars") >= MIN_CHARS) | F.col("line").rlike(WORD_PATTERN)).withColumn(
+        "rid", F.xxhash64("line"))
 
 
 def mask(line: Column) -> Column:
@@ -118,7 +119,7 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
 
 def candidate_pairs(docs: DataFrame) -> DataFrame:
     """(a, b), a < b: different lines that share a key, differ in length by at most EDITS and in at most 2 * EDITS mask bits."""
-    rows = key_rows(exploded(docs))
+    rows = key_rows(exploded(docs).where(F.col("chars") >= MIN_CHARS))
     met = rows.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("indexed").alias("indexed"))
     shared = work_table(met.where("low < high AND indexed").select("key"), "shared-keys")
     members = rows.join(checked_broadcast(shared), "key").groupBy("key", "rid").agg(F.max("indexed").alias("indexed"), F.min("line").alias("line"))

@@ -426,6 +426,26 @@ def test_line_dedup(spark, docs, texts, empty):
     assert near and lines.dedup(empty).count() == 0
 
 
+def test_line_dedup_of_short_lines(spark):
+    """Equal lines of any length go if they hold a word; no exact copy of a document stays behind as a stub."""
+    rng = random.Random(6)
+    rows = [(i, "\n".join(rng.choice(["Les.", "}", " ", "", "\t\r", "ab\u00e9", words(rng, 9), words(rng, 2)]) for _ in range(rng.randint(1, 9)))) for i in range(40)]
+    rows += [(100 + i, t) for i, t in rows]
+    first = {}
+    for i, t in rows:
+        for p, line in enumerate(t.split("\n")):
+            first.setdefault(line, (i, p))
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    got = by_id(lines.dedup(table))
+    for i, t in rows:
+        def short(x):
+            return len(x) < lines.MIN_CHARS
+        kept = [x for p, x in enumerate(t.split("\n")) if short(x) and (not x.strip() or first[x] == (i, p))]
+        assert [x for x in got[i]["text"].split("\n") if short(x)] == (kept if kept or got[i]["text"] else [""])
+    left = by_id(corpus_pipeline.drop_repeated_lines(spark, table, FOLDER))
+    assert not any(i >= 100 and t.strip() for i, t in rows if i in left) and 0 in left
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(8)
     rows, labels = [], []
