@@ -2,9 +2,12 @@
 
 A window of ``K`` words is a closed syncmer if the least hash among its inner runs of ``S`` words stands at its first or its
 last place. Whether a window is chosen depends on its own words alone, so the same passage has the same anchors in every
-text and at every position. The fingerprint is the anchors' 32-bit hashes in text order as hexadecimal; a text of
-fewer than ``K`` words has one anchor, the hash of all its words; a text without words has the empty fingerprint.
-The likeness of two fingerprints is the share of anchors that both have among all that either has; 1 for two empty ones.
+text and at every position. A word of more than ``LONG_WORD`` code points counts as so many words of one code point, so text
+without blanks has anchors all along too. Among ``K`` - ``S`` windows in a row at least one is chosen, so 2 * ``K`` - ``S`` - 1
+words always have an anchor; texts of fewer than ``SHORT_WORDS`` words have the syncmers of their code
+points as well (blanks as one, ``K`` - 1 empty places on either side, so that the first code point alone makes an anchor).
+The fingerprint is the anchors' 32-bit hashes in text order, those of words first, as hexadecimal; it is empty for a text without
+words only. The likeness of two fingerprints is the share of anchors that both have among all that either has; 1 for two empty ones.
 
 All on Spark expressions. Documents in ascending doc_id are neighbours inside buckets of consecutive ids (a window
 function per bucket, with at most a few thousand rows on average); only the first document of each bucket travels to
@@ -21,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import SPACE_CLASS, id_text
 
 K, S = 8, 3
+LONG_WORD = 32
+SHORT_WORDS = 24
 BUCKET_ROWS = 4096
 
 
@@ -29,25 +34,44 @@ def short(hashed: Column) -> Column:
     return F.shiftright(hashed, 32).cast("int")
 
 
-def anchors(text: Column | str) -> Column:
-    """Anchor hashes in text order."""
-    words = F.array_remove(F.split(text, SPACE_CLASS), "")
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def pick(w: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), F.size(w) - (S - 1)), lambda i: F.xxhash64(F.slice(w, i, S)))
-        places = K - S + 1
 
-        def chosen(h: Column) -> Column:
-            def edge(i: Column) -> Column:
-                return F.least(*(F.get(h, i + k) for k in range(places))) == F.least(F.get(h, i), F.get(h, i + places - 1))
+def units(text: Column | str) -> Column:
+    """The words of a text, long ones as their code points."""
+    def cut(words: Column) -> Column:
+        pieces = F.flatten(F.transform(words, lambda w: F.when(F.length(w) > LONG_WORD, F.split(w, "")).otherwise(F.array(w))))
+        return F.when(F.exists(words, lambda w: F.length(w) > LONG_WORD), pieces).otherwise(words)
+
+    return bound(F.array_remove(F.split(text, SPACE_CLASS), ""), cut)
+
+
+def syncmers(w: Column) -> Column:
+    """Hashes of the chosen windows of an array of strings, in order."""
+    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (S - 1)), lambda i: F.xxhash64(F.slice(w, i, S)))
+    places = K - S + 1
+
+    def chosen(h: Column) -> Column:
+        def edge(i: Column) -> Column:
+            return F.least(*(F.get(h, i + k) for k in range(places))) == F.least(F.get(h, i), F.get(h, i + places - 1))
 
-            starts = F.filter(F.sequence(F.lit(0), F.size(w) - K), edge)
-            return F.transform(starts, lambda i: short(F.xxhash64(F.get(h, i), F.get(h, i + S), F.get(h, i + places - 1))))
+        starts = F.filter(F.sequence(F.lit(0), F.size(w) - K), edge)
+        return F.transform(starts, lambda i: short(F.xxhash64(F.get(h, i), F.get(h, i + S), F.get(h, i + places - 1))))
 
-        return F.when(F.size(w) == 0, F.array().cast("array<int>")).when(
-            F.size(w) < K, F.array(short(F.xxhash64(w)))).otherwise(F.get(F.transform(F.array(runs), chosen), F.lit(0)))
+    return F.when(F.size(w) < K, F.array().cast("array<int>")).otherwise(bound(runs, chosen))
+
+
+def anchors(text: Column | str) -> Column:
+    """Anchor hashes in text order: those of the words, then for short texts those of the code points."""
+    beside = F.array_repeat(F.lit(""), K - 1)
+
+    def pick(w: Column) -> Column:
+        letters = bound(F.concat(beside, F.split(F.array_join(w, " "), ""), beside), syncmers)
+        return F.concat(syncmers(w), F.when(F.size(w).between(1, SHORT_WORDS - 1), letters).otherwise(F.array().cast("array<int>")))
 
-    return F.get(F.transform(F.array(words), pick), F.lit(0))
+    return bound(units(text), pick)
 
 
 def fingerprint(found: Column | str) -> Column:

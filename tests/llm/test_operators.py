@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -199,6 +200,51 @@ def test_syncmers_do_not_depend_on_what_stands_around(spark):
     assert found[0] <= found[1] and 10 < len(found[0]) < 73
 
 
+def brute_anchors(text):
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def folded(parts):
+        h = 42
+        for part in parts:
+            h = xxhash.xxh64_intdigest(part, seed=h)
+        return signed(h)
+
+    def chosen(units):
+        k, s = syncmers.K, syncmers.S
+        runs = [folded(x.encode() for x in units[i : i + s]) for i in range(len(units) - s + 1)]
+        for i in range(len(units) - k + 1):
+            window = runs[i : i + k - s + 1]
+            if min(window) in (window[0], window[-1]):
+                yield folded(x.to_bytes(8, "little", signed=True) for x in (window[0], window[s], window[-1])) >> 32
+
+    found = [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+    units = [u for w in found for u in (w if len(w) > syncmers.LONG_WORD else [w])]
+    out = list(chosen(units))
+    if 0 < len(units) < syncmers.SHORT_WORDS:
+        out += chosen([""] * (syncmers.K - 1) + list(" ".join(found)) + [""] * (syncmers.K - 1))
+    return out
+
+
+def test_syncmers_of_short_texts(spark):
+    """Texts of 0 to 12 words, and texts without blanks: never an empty fingerprint for words, 1.0 for different texts or 0 for an edited one."""
+    rng = random.Random(14)
+    letters = "abcdefgh\u00e9\u00f6\u65e5\U0001F600"
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (1, 2, 3, 4, 7, 11, 12, 31, 32, 33, 34, 45, 300)]
+    texts += [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(n)) for n in range(13) for _ in range(12)]
+    texts += [" ".join("w%d" % rng.randrange(99) for _ in range(n)) + " " + "x".join(letters * 4) for n in (3, 22, 23, 24, 30)]
+    texts += ["\t ".join("w%d" % rng.randrange(99) for _ in range(n)) + "\n" for n in (22, 23, 24, 25)]
+    rows = list(enumerate(texts))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in table.select("doc_id", syncmers.anchors("text").alias("a")).collect():
+        assert r["a"] == brute_anchors(texts[r["doc_id"]]) and bool(r["a"]) == bool(texts[r["doc_id"]].split())
+    got = by_id(syncmers.compare_with_next(table))
+    for i, t in rows:
+        following = texts[(i + 1) % len(texts)]
+        assert (got[i]["near_next"] == 1) == (t == following or not t.split() and not following.split()), (t, following)
+        assert got[i]["near_edited"] > 0 or len(t) > 3 and not t.split()
+
+
 def test_context_tree_scores(spark, docs, texts, empty):
     training = F.col("doc_id") % 3 != 1
     got = by_id(ctw.score(docs.dropDuplicates(["doc_id"]), training))
