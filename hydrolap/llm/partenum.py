@@ -370,14 +370,17 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
             part = table.filter(pa.array(group == g))
             nodes, copies = part.column("node").to_numpy(), part.column("copies").to_numpy()
             sets = [np.frombuffer(s.as_buffer(), U) for s in part.column("shingles")]
-            left = part.column("block").to_numpy() == part.column("i")[0].as_py()
-            hit = linked(sets, left if 0 < left.sum() else np.ones(len(left), bool), percent)
+            i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
+            left = part.column("block").to_numpy() == i if i < j else np.ones(len(nodes), bool)
+            if i < j and (left.all() or not left.any()):  # one block is empty; pairs inside the other belong to its own cell
+                continue
+            hit = linked(sets, left, percent)
             label, links = stars(hit), hit @ copies
             at = np.flatnonzero(links)
             out["node"].append(nodes[at])
             out["head"].append(nodes[label[at]])
             out["links"].append(links[at])
-        return pa.table({k: pa.array(np.concatenate(v).astype(np.int64), pa.int64()) for k, v in out.items()})
+        return pa.table({k: pa.array(np.concatenate([np.empty(0, np.int64), *v]).astype(np.int64), pa.int64()) for k, v in out.items()})
 
     return alone.select(columns).unionByName(spread.select(columns)).groupBy("task", "i", "j").applyInArrow(run, VERIFIED)
 

@@ -409,6 +409,20 @@ def test_jaccard_join_in_blocks(spark, monkeypatch):
     assert {i: (r["component_id"], r["n_links"]) for i, r in got.items()} == {i: (label[i], degree[i]) for i in sets}
 
 
+def test_jaccard_join_of_few_large_sets(spark, monkeypatch):
+    """Where blocks follow the shingles, some blocks have no set; no pair is counted twice."""
+    monkeypatch.setattr(partenum, "BLOCK_SHINGLES", 100)
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(5000)}" for _ in range(90)]
+        texts += [" ".join([*base, f"v{rng.randrange(99)}{k}"]) for k in range(3)]
+    sets = shingle_sets(texts, 4)
+    label, degree = brute_components(sets, 85)
+    got = by_id(partenum.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85))
+    assert {i: (r["component_id"], r["n_links"]) for i, r in got.items()} == {i: (label[i], degree[i]) for i in sets}
+
+
 @pytest.mark.parametrize("percent", [85, 80])
 def test_similar_sets_share_signatures_in_enough_parts(percent):
     rng = np.random.default_rng(5)
