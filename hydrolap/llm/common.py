@@ -36,10 +36,15 @@ def checked_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def row_key(doc_id: Column, text_hash: Column) -> Column:
+    """One number for a doc_id and text; null doc_ids are told apart by text alone."""
+    return F.xxhash64(doc_id.cast("long"), text_hash)
+
+
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose (doc_id, text_hash) is in ``gone``; null doc_ids are told apart by text alone."""
     keys = work_table(gone.select(F.xxhash64("doc_id", "text_hash").alias("gone_key")).distinct(), "gone")
-    hashed = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    hashed = row_key(F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return docs.join(checked_broadcast(keys), hashed == F.col("gone_key"), "left_anti")
 
 

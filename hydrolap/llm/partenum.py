@@ -18,7 +18,7 @@ before they leave the task.
 
 Edge cases: a null or empty text, or one without words, has the empty set: linked with nothing, its own component;
 texts with fewer words than a shingle are one shingle of all words; equal rows link like equal texts; a null doc_id is a
-node without number: its component is that of its set's numbered documents, or null; an empty table gives an empty
+node without number, which links like others: its component is that of the numbered documents it is linked with, or null; an empty table gives an empty
 result; further columns are ignored.
 """
 
@@ -391,14 +391,15 @@ def join(docs: DataFrame, size: int, percent: int) -> DataFrame:
     nodes = work_table(found.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "nodes")
     candidates = components(work_table(candidate_edges(docs, nodes, size, percent), "candidates"), "candidates").select("node", F.col("label").alias("group"))
-    chosen = work_table(candidates.join(nodes.where("least IS NOT NULL"), "node"), "chosen")
-    wanted_bits = docs.sparkSession.sparkContext.broadcast(id_filter(chosen.select("least")))
+    chosen = work_table(candidates.join(nodes, "node"), "chosen")
+    nulls = bool(chosen.where("least IS NULL").limit(1).count())
+    wanted_bits = docs.sparkSession.sparkContext.broadcast(id_filter(chosen.where("least IS NOT NULL").select("least")))
 
     def fetch(batches: Iterator[pa.RecordBatch]):
         bits = np.unpackbits(np.frombuffer(wanted_bits.value, np.uint8)).astype(bool)
 
         def wanted(doc_id):
-            return doc_id is not None and bits[id_bits(np.asarray([doc_id]))[0]]
+            return nulls if doc_id is None else bits[id_bits(np.asarray([doc_id]))[0]]
 
         for rows in set_slices(batches, size, wanted):
             yield pa.RecordBatch.from_arrays(
@@ -406,7 +407,7 @@ def join(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 names=["doc_id", "seen", "shingles"])
 
     sets = id_text(docs).mapInArrow(fetch, "doc_id long, seen long, shingles binary")
-    members = work_table(chosen.join(sets, (F.col("least") == F.col("doc_id")) & (F.col("node") == F.col("seen"))).select(
+    members = work_table(chosen.join(sets, F.col("least").eqNullSafe(F.col("doc_id")) & (F.col("node") == F.col("seen"))).select(
         "group", "node", "copies", "n_shingles", "shingles").dropDuplicates(["node"]), "members")
     verified = work_table(verify(members, percent), "verified")
     labels = components(verified.select(F.col("node").alias("a"), F.col("head").alias("b")).where("a <> b"), "links")

@@ -423,6 +423,28 @@ def test_jaccard_join_of_few_large_sets(spark, monkeypatch):
     assert {i: (r["component_id"], r["n_links"]) for i, r in got.items()} == {i: (label[i], degree[i]) for i in sets}
 
 
+def test_near_duplicates_with_repeated_and_null_ids(spark):
+    rng = random.Random(10)
+    a, b, c, d = ([f"w{rng.randrange(5000)}" for _ in range(90)] for _ in range(4))
+
+    def near(base, k):
+        return " ".join([*base, f"end{k}"])
+
+    rows = [(1, near(a, 1)), (5, near(a, 2)), (5, near(b, 1)), (9, near(b, 2)), (None, near(b, 3)), (None, near(c, 1)), (None, near(c, 1)), (None, near(c, 2)),
+            (7, near(d, 1)), (7, near(d, 2)), (11, None), (12, ""), (None, None)]
+    left = Counter((r[0], (r[1] or "").split(" ")[0]) for r in corpus_pipeline.drop_near_duplicates(
+        spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect())
+    assert left == Counter([(1, a[0]), (5, b[0]), (None, c[0]), (7, d[0]), (11, ""), (12, ""), (None, "")])
+
+
+def test_jaccard_join_links_through_null_ids(spark):
+    base = [f"w{k}" for k in range(43)]  # 40 shingles; the cut ones have 37 and 36, 33 of them in common
+    rows = [(1, " ".join(base[3:])), (None, " ".join(base)), (2, " ".join(base[:-4])), (None, "quite another text of seven words")]
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["n_links"]) for r in partenum.join(
+        spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert got == {(1, 37): (1, 1), (None, 40): (1, 2), (2, 36): (1, 1), (None, 3): (None, 0)}
+
+
 @pytest.mark.parametrize("percent", [85, 80])
 def test_similar_sets_share_signatures_in_enough_parts(percent):
     rng = np.random.default_rng(5)
