@@ -10,8 +10,8 @@ The fingerprint is the anchors' 32-bit hashes in text order, those of words firs
 words only. The likeness of two fingerprints is the share of anchors that both have among all that either has; 1 for two empty ones.
 
 All on Spark expressions. Documents in ascending doc_id are neighbours inside buckets of consecutive ids (a window
-function per bucket, with at most a few thousand rows on average); only the first document of each bucket travels to
-the bucket before.
+function per bucket); a bucket of more than ``FULL`` rows is cut into equal widths of its own ids until none is left, or
+all its ids are equal. Only the first document of each bucket travels to the bucket before.
 
 Edge cases: null text counts as empty; a single document is its own next; equal doc_ids are ordered by text; a null
 doc_id sorts before all others; an empty table gives an empty result; further columns are ignored.
@@ -21,12 +21,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import SPACE_CLASS, id_text
+from .common import SPACE_CLASS, checked_broadcast, id_text, work_table
 
 K, S = 8, 3
 LONG_WORD = 32
 SHORT_WORDS = 24
 BUCKET_ROWS = 4096
+FULL = 4 * BUCKET_ROWS
+LOWEST = -(1 << 63)
 
 
 def short(hashed: Column) -> Column:
@@ -85,12 +87,25 @@ def likeness(a: str, b: str) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
+def with_buckets(docs: DataFrame) -> DataFrame:
+    """``docs`` with the number of their bucket, which is not above any doc_id in it; null doc_ids are in the lowest one."""
+    rows = docs.withColumn("bucket", F.lit(LOWEST))
+    while True:
+        spans = rows.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("n"))
+        width = F.floor((F.col("high").cast("decimal(20,0)") - F.col("low")) / F.ceil(F.col("n") / BUCKET_ROWS)).cast("long") + 1
+        cuts = work_table(spans.where((F.col("n") > FULL) & (F.col("low") < F.col("high"))).select("bucket", "low", width.alias("width")), "buckets")
+        if not cuts.limit(1).count():
+            return rows
+        # remainders first, so that differences of far ids cannot overflow
+        offset = F.pmod(F.pmod("doc_id", "width") - F.pmod("low", "width"), F.col("width"))
+        rows = rows.join(checked_broadcast(cuts), "bucket", "left").withColumn(
+            "bucket", F.coalesce(F.col("doc_id") - offset, F.col("bucket"))).drop("low", "width")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, anchors and the same of the document with the next doc_id; the last one's next is the first."""
-    span = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).first()
-    low, high, n = span["low"] or 0, span["high"] or 0, span["n"]
-    width = max(1, (high - low + 1) * BUCKET_ROWS // max(n, 1))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1))
+    docs = with_buckets(docs)
+    bucket = F.col("bucket")
     rows = docs.select(bucket.alias("bucket"), F.lit(0).alias("sentinel"), "doc_id", "text", anchors("text").alias("anchors"))
     heads = docs.groupBy(bucket.alias("bucket")).agg(F.min(F.struct("doc_id", "text")).alias("head"))
     order = Window.orderBy("next_bucket")  # one row per bucket

@@ -200,6 +200,18 @@ def test_syncmers_do_not_depend_on_what_stands_around(spark):
     assert found[0] <= found[1] and 10 < len(found[0]) < 73
 
 
+def test_syncmer_buckets_follow_the_ids(spark, monkeypatch):
+    """One far id does not put all others into one bucket, and neighbours are the same whatever the buckets."""
+    monkeypatch.setattr(syncmers, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(syncmers, "FULL", 64)
+    ids = [*range(3000), *(-(5**k) for k in range(20)), 2**63 - 1, -(2**63)]
+    table = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(None, "none")], "doc_id long, text string").repartition(4)
+    assert syncmers.with_buckets(table).groupBy("bucket").count().agg(F.max("count")).first()[0] <= 65
+    order = sorted(ids)
+    got = {r["doc_id"]: r["next_text"] for r in syncmers.with_next(table).collect()}
+    assert got == {None: f"text {order[0]}", order[-1]: "none", **{a: f"text {b}" for a, b in zip(order, order[1:])}}
+
+
 def brute_anchors(text):
     def signed(x):
         return x - (1 << 64) if x >> 63 else x
