@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_folder
-from . import bpe, chat, ctw, huffman, lines, packing, partenum, rules, syncmers, tokens, toxicity
+from . import bpe, chat, ctw, huffman, importance, lines, packing, partenum, rules, search, simhash, syncmers, tokens, toxicity
 from .common import fold, read_table, work_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,19 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.dedup(read_table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", "n_links", F.length("text").cast("long").alias("kept_chars"),
                         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op11_importance_resampling", importance.resample_sql())
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_ranked_search", search.search_sql())
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query("op13_simhash_pivots")
+def op13_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, folder, "documents"))
