@@ -64,6 +64,8 @@ REJECT_REASONS = {
     "CONV": ("varios", "Error de conversion de tipo"),
     "P07": ("fecha+municipio+sistema", "Rechazado por la BD: llave fecha+municipio+sistema repetida"),
 }
+# Ours: the route of rows that a stream delivers too late.
+LATE, LATE_REASON = "TARDE", ("fecha", "Llego cuando el plazo de su fecha ya habia cerrado")
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..domain import REJECT_REASONS, Domain
+from ..domain import LATE, LATE_REASON, REJECT_REASONS, Domain
 from ..functions import (
     is_missing, missing_to_category, month_agrees, normalise_place, null_if_missing, parse_date, risk_class, risk_group,
     safe_double,
@@ -15,12 +15,12 @@ from ..functions import (
 from ..functions.dates import iso_text
 from ..functions.once import with_columns_once
 from ..functions.text import strip
-from ..session import new_folder
+from ..session import drop_folder, store, work_folder, written
 from ..sources.readers import _exists
 from .dedup import first_rows, later_rows, mark_first
 from .quantiles import _match
 
-VALID, ACCEPTED, DUPLICATE, LOADED = "VALID", "ACCEPTED", "P07", "LOADED"
+VALID, ACCEPTED, DUPLICATE = "VALID", "ACCEPTED", "P07"
 
 
 @dataclass(frozen=True)
@@ -112,7 +112,7 @@ def with_reason(rejects: DataFrame, rule: Column) -> DataFrame:
     """Rule, field and text of the rejection."""
     def pick(i: int) -> Column:
         out = F.lit(None).cast("string")
-        for name, texts in REJECT_REASONS.items():
+        for name, texts in {**REJECT_REASONS, LATE: LATE_REASON}.items():
             out = F.when(rule == name, F.lit(texts[i])).otherwise(out)
         return out
 
@@ -122,9 +122,9 @@ def with_reason(rejects: DataFrame, rule: Column) -> DataFrame:
 def outcomes(raw: DataFrame, s: RawSchema, domain: Domain) -> DataFrame:
     """Every row with its end: ACCEPTED, P07 (later copy) or the rule that rejected it.
 
-    Rejected rows get a key of nulls and are never compared with each other.
+    Prepared rows are stored, as the choice of first copies reads the valid ones twice; rejected rows are never compared with each other.
     """
-    rows = prepare(raw, s, domain)
+    rows = written(prepare(raw, s, domain), "prepared")
     valid = mark_first(rows.where(F.col("route") == VALID), s.key, list(s.order))
     rejected = rows.where(F.col("route") != VALID).withColumn("is_first", F.lit(True))
     final = F.when(F.col("route") != VALID, F.col("route")).when(F.col("is_first"), ACCEPTED).otherwise(DUPLICATE)
@@ -154,7 +154,7 @@ def conversion_failures(rows: DataFrame, conversions: dict[str, str]) -> DataFra
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Folders of the destination, the review rows and the run log."""
+    """Folders of the destination, the review rows, the run log and the manifests of unfinished runs."""
 
     root: str
 
@@ -170,62 +170,108 @@ class Warehouse:
     def log(self) -> str:
         return f"{self.root}/log"
 
+    def manifest(self, batch: int, iteration: int) -> str:
+        return f"{self.root}/pending/lote_id={batch}/iteracion={iteration}"
+
 
 LOG_SCHEMA = (
     "log_id bigint, lote_id int, iteracion int, fecha_inicio timestamp, fecha_fin timestamp, recibidos bigint, "
     "aceptados bigint, duplicados bigint, revision bigint, ya_cargados bigint, estado string, observacion string"
 )
+MANIFEST_SCHEMA = "log_id bigint, fecha_inicio timestamp, observacion string"
+
+
+@dataclass(frozen=True)
+class Run:
+    """One run of a batch. What it stores lies in folders of its own, so that a retry replaces it."""
+
+    log_id: int
+    batch: int
+    iteration: int
+    started: dt.datetime
+    note: str
+
+    def accepted(self, warehouse: Warehouse) -> str:
+        return f"{warehouse.destination}/iteracion={self.iteration}/log_id={self.log_id}"
+
+    def review(self, warehouse: Warehouse) -> str:
+        return f"{warehouse.review}/lote_id={self.batch}/iteracion={self.iteration}"
+
+
+def begin(spark: SparkSession, warehouse: Warehouse, batch: int, iteration: int, note: str = "") -> Run:
+    """The unfinished run of this batch, or a new one: its manifest is written before anything else."""
+    path = warehouse.manifest(batch, iteration)
+    left = spark.read.schema(MANIFEST_SCHEMA).parquet(path).first() if _exists(spark, path) else None
+    if left is not None:
+        return Run(left["log_id"], batch, iteration, left["fecha_inicio"], left["observacion"])
+    started = dt.datetime.now(dt.timezone.utc)
+    run = Run(int(started.timestamp() * 1_000_000), batch, iteration, started, note)
+    spark.createDataFrame([(run.log_id, started, note)], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    return run
+
+
+def _logged(spark: SparkSession, warehouse: Warehouse, run: Run) -> bool:
+    return _exists(spark, warehouse.log) and bool(
+        spark.read.schema(LOG_SCHEMA).parquet(warehouse.log).where(F.col("log_id") == run.log_id).limit(1).count())
+
+
+def loaded_before(spark: SparkSession, warehouse: Warehouse, run: Run) -> DataFrame | None:
+    """Rows of the run's iteration in the destination, without those that this run stored before it failed."""
+    if not _exists(spark, f"{warehouse.destination}/iteracion={run.iteration}"):
+        return None
+    return spark.read.parquet(warehouse.destination).where((F.col("iteracion") == run.iteration) & (F.col("log_id") != run.log_id))
 
 
-def _clear(spark: SparkSession, path: str) -> None:
-    """Remove a partition's folder, whatever file system it is in."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+def _replace(df: DataFrame, path: str) -> int:
+    """Store rows in the run's folder in place of any earlier ones, and count what is there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
+def _append_log(spark: SparkSession, warehouse: Warehouse, line: tuple) -> None:
+    spark.createDataFrame([line], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(warehouse.log)
+
+
+def load_prepared(done: DataFrame, columns: list[str], warehouse: Warehouse, s: RawSchema, run: Run, folder: str) -> None:
+    """Store a run's prepared rows (read from a stored frame; ``columns``: the raw ones): review rows, then accepted rows, then its log line.
+
+    The choice of first copies follows a total order, so a retry chooses the same rows. Rows already loaded are found before
+    copies are: a re-run counts both copies as loaded. Counts in the log come from what is stored.
+    """
+    spark = done.sparkSession
+    fresh, before = done.where(F.col("route") == VALID), loaded_before(spark, warehouse, run)
+    received, valid = done.agg(F.count(F.lit(1)), F.count_if(F.col("route") == VALID)).first()
+    if before is not None:
+        _, fresh = split_loaded(fresh, before, s.key)
+    marked = store(mark_first(fresh, s.key, list(s.order)), f"{folder}/marked")
+    known = valid - marked.count()
+    copies = marked.where("NOT is_first").drop("is_first").withColumn("route", F.lit(DUPLICATE))
+    rejected = with_reason(done.where(F.col("route") != VALID).unionByName(copies), F.col("route")).select(
+        *columns, "regla_id", "campo_afectado", "motivo")
+    reviewed = _replace(rejected, run.review(warehouse))
+    duplicates = spark.read.schema(rejected.schema).parquet(run.review(warehouse)).where(F.col("regla_id") == DUPLICATE).count()
+    # The destination comes after the review rows: these were chosen against it as it was.
+    accepted = _replace(marked.where("is_first").drop("is_first", "route").withColumn("lote_id", F.lit(run.batch)), run.accepted(warehouse))
+    ended = dt.datetime.now(dt.timezone.utc)
+    _append_log(spark, warehouse, (run.log_id, run.batch, run.iteration, run.started, ended, received, accepted, duplicates,
+                                   reviewed - duplicates, known, "OK", run.note))
 
 
 def run_batch(raw: DataFrame, warehouse: Warehouse, s: RawSchema, domain: Domain, batch: int, iteration: int, note: str = "") -> None:
     """Load one batch. A second run of the same batch accepts nothing and leaves the same review rows.
 
-    Normalised rows are written once, by route, and everything else reads them; the choice of first
-    copies follows a total order, so a recomputed task chooses the same rows. Rows already loaded
-    are found before copies are: a re-run counts both copies as loaded.
+    A manifest marks the run as begun and goes when its log line is stored. If a run fails in between, the next call for the same batch
+    and iteration takes it up again under its number: whatever it had stored is replaced, and a run that had its log line is only closed.
+    Prepared rows are stored once, by route, in a work folder that is removed on success and on failure.
     """
     spark = raw.sparkSession
-    started = dt.datetime.now(dt.timezone.utc)
-    work = new_folder(spark, f"batch-{batch}-{iteration}")
-    rows = prepare(raw, s, domain)
-    rows.write.partitionBy("route").parquet(work)
-    done = spark.read.schema(rows.schema).parquet(work)
-    fresh = done.where(F.col("route") == VALID)
-    routes = {r["route"]: r["n"] for r in done.groupBy("route").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 5 rows
-    valid, received = routes.get(VALID, 0), sum(routes.values())
-    known = 0
-    if _exists(spark, f"{warehouse.destination}/iteracion={iteration}"):
-        loaded = spark.read.parquet(warehouse.destination).where(F.col("iteracion") == iteration)
-        already, fresh = split_loaded(fresh, loaded, s.key)
-        known = already.count()
-    copies = later_rows(fresh, s.key, list(s.order))
-    duplicates = copies.count() if valid > known else 0
-    accepted, review = valid - known - duplicates, received - valid
-
-    stamp = {"lote_id": F.lit(batch), "iteracion": F.lit(iteration)}
-    rejected = done.where(F.col("route") != VALID)
-    if duplicates:
-        rejected = rejected.unionByName(copies.withColumn("route", F.lit(DUPLICATE)))
-    if review or duplicates or _exists(spark, f"{warehouse.review}/lote_id={batch}/iteracion={iteration}"):
-        _clear(spark, f"{warehouse.review}/lote_id={batch}/iteracion={iteration}")
-    if review or duplicates:
-        (with_reason(rejected, F.col("route")).withColumns(stamp)
-         .select(*raw.columns, "regla_id", "campo_afectado", "motivo", "lote_id", "iteracion")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("lote_id", "iteracion").parquet(warehouse.review))
-    # The destination comes after the review rows: these were chosen against it as it was.
-    if accepted:
-        (first_rows(fresh, s.key, list(s.order)).drop("route").withColumns(stamp)
-         .write.mode("append").partitionBy("iteracion").parquet(warehouse.destination))
-    ended = dt.datetime.now(dt.timezone.utc)
-    line = (int(started.timestamp() * 1_000_000), batch, iteration, started, ended, received, accepted, duplicates, review, known, "OK", note)
-    spark.createDataFrame([line], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(warehouse.log)
+    run = begin(spark, warehouse, batch, iteration, note)
+    if not _logged(spark, warehouse, run):
+        with work_folder(spark, f"batch-{batch}-{iteration}") as folder:
+            rows = prepare(raw, s, domain)
+            rows.write.partitionBy("route").parquet(f"{folder}/rows")
+            load_prepared(spark.read.schema(rows.schema).parquet(f"{folder}/rows"), raw.columns, warehouse, s, run, folder)
+    drop_folder(spark, warehouse.manifest(batch, iteration))
 
 
 def control(log: DataFrame) -> DataFrame:
@@ -255,7 +301,7 @@ def real_load(log: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "ACCEPTED", "DUPLICATE", "LOADED", "RawSchema", "VALID", "WATER_CONVERSIONS", "Warehouse", "clean_records",
+    "ACCEPTED", "DUPLICATE", "LATE", "RawSchema", "VALID", "WATER_CONVERSIONS", "Warehouse", "clean_records",
     "compare_runs", "control", "conversion_failures", "convert", "failed", "first_rows", "later_rows", "normalise",
     "outcomes", "prepare", "real_load", "review_records", "route", "run_batch", "split_loaded", "typed", "with_reason",
 ]

@@ -17,7 +17,7 @@ def _repeated(df: DataFrame, key: list[str], order: list[str] = ()) -> DataFrame
 
 
 def mark_first(df: DataFrame, key: list[str], order: list[str], flag: str = "is_first") -> DataFrame:
-    """Flag the first row of each key in ``order`` (a total order).
+    """Flag the first row of each key in ``order`` (a total order). Reads ``df`` twice: give it a stored frame.
 
     Only keys that repeat are joined back, so a clean batch joins with almost nothing and a hot
     key is an ordinary skewed join instead of one window partition.
@@ -29,15 +29,19 @@ def mark_first(df: DataFrame, key: list[str], order: list[str], flag: str = "is_
 
 
 def first_rows(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    return mark_first(df, key, order).where("is_first").drop("is_first")
+    """The first row of each key in ``order``: one aggregate over one pass. Tasks choose among their own rows before the
+    shuffle, so a hot key arrives as one row a task."""
+    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(*order))
+    return df.groupBy(*[F.col(c).alias(f"_k_{c}") for c in key]).agg(first.alias("_row")).select("_row.*")
 
 
 def later_rows(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """All rows but the first of each key. Reads ``df`` twice: give it a stored frame."""
     return mark_first(df, key, order).where("NOT is_first").drop("is_first")
 
 
 def duplicate_members(df: DataFrame, key: list[str]) -> DataFrame:
-    """Every row whose key occurs more than once, first copies included."""
+    """Every row whose key occurs more than once, first copies included. Reads ``df`` twice: give it a stored frame."""
     copies = _repeated(df, key).drop("_n")
     return df.join(copies, _match(key, [f"_k_{c}" for c in key]), "left_semi")
 

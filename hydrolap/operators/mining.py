@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..domain import Domain
 from ..functions import count_if
+from ..session import store, work_folder, written
 from .ordered import hashed_rank, running_totals
 from .quantiles import exact_quantiles
 
@@ -106,7 +107,7 @@ def constant_model(df: DataFrame, label: str, digits: int | None = None) -> Data
 def feature_rank(df: DataFrame, features: list[str], label: str, digits: int | None = None) -> DataFrame:
     """Information gain ratio and Gini decrease of each feature cut at its quartiles."""
     long = df.select(label, *features).unpivot([label], features, "variable", "value").where("value IS NOT NULL")
-    cuts = exact_quantiles(long, "value", {"a": 0.25, "b": 0.5, "c": 0.75}, by=["variable"], few_groups=True).drop("n")
+    cuts = exact_quantiles(long, "value", {"a": 0.25, "b": 0.5, "c": 0.75}, by=["variable"]).drop("n")
     binned = long.join(F.broadcast(cuts), "variable").withColumn(  # one row per feature of a fixed list
         "bin", (F.col("value") > F.col("a")).cast("int") + (F.col("value") > F.col("b")).cast("int") + (F.col("value") > F.col("c")).cast("int"))
     cells = binned.groupBy("variable", "bin", label).agg(F.count(F.lit(1)).cast("double").alias("n"))
@@ -132,10 +133,12 @@ def histogram(df: DataFrame, column: str, low: float, width: float, by: list[str
     return df.where(F.col(column).isNotNull()).groupBy(*by, cell.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def box_stats(df: DataFrame, column: str, by: list[str], digits: int | None = None, few_groups: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, column: str, by: list[str], digits: int | None = None) -> DataFrame:
     """Least, quartiles, greatest and mean per group."""
-    q = exact_quantiles(df, column, {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, by=by, few_groups=few_groups).drop("n")
-    s = df.groupBy(*by).agg(F.min(column).alias("min"), F.max(column).alias("max"), F.avg(column).alias("media"), F.count(column).alias("n"))
+    with work_folder(df.sparkSession, "box") as folder:
+        rows = store(df.select(*by, column), folder)
+        q = exact_quantiles(rows, column, {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, by=by, stored=True).drop("n")
+        s = written(rows.groupBy(*by).agg(F.min(column).alias("min"), F.max(column).alias("max"), F.avg(column).alias("media"), F.count(column).alias("n")), "box-counts")
     return s.join(q, by).select(*by, "n", *[_round(F.col(c), digits).alias(c) for c in ("min", "q1", "mediana", "q3", "max", "media")])
 
 

@@ -10,6 +10,7 @@ from ..domain import MAX_LAG_DAYS, MISSING_MARKERS, QUALITY_THRESHOLDS, RECENCY_
 from ..functions import is_missing, parse_date, percentage, safe_double, strip
 from ..functions.dates import ISO_DATE
 from ..functions.numbers import DECIMAL_PATTERN, INTEGER_PATTERN
+from ..session import broadcast_if_small, store, work_folder, written
 from .dedup import duplicate_profile
 from .predicates import any_of, class_mismatch, class_orphan, date_parts_differ, misspelled_class, not_iso, outside, recent, untidy
 from .quantiles import _match, exact_quantiles, tukey_fences
@@ -144,15 +145,15 @@ def _numbers(df: DataFrame, columns: list[str], ids: list[str] = ()) -> DataFram
         list(ids), columns, "variable", "value").where("value IS NOT NULL")
 
 
-def fences(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact inclusive quartiles and Tukey limits per variable."""
-    return tukey_fences(exact_quantiles(_numbers(df, columns), "value", {"q1": 0.25, "q3": 0.75}, by=["variable"], few_groups=True))
+def fences(numbers: DataFrame, stored: bool = False, by: list[str] = ()) -> DataFrame:
+    """Exact inclusive quartiles and Tukey limits per variable of (variable, value)."""
+    return tukey_fences(exact_quantiles(numbers, "value", {"q1": 0.25, "q3": 0.75}, by=[*by, "variable"], stored=stored))
 
 
-def fences_row(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The limits of all variables side by side: one row."""
+def fences_row(df: DataFrame, columns: list[str], stored: bool = False, by: list[str] = ()) -> DataFrame:
+    """The limits of all variables side by side: one row, or one a group."""
     pick = lambda c, f: F.max(F.when(F.col("variable") == c, F.col(f)))
-    return fences(df, columns).agg(*[F.struct(pick(c, "low").alias("low"), pick(c, "high").alias("high")).alias(f"_f_{c}") for c in columns])
+    return fences(_numbers(df, columns, by), stored, by).groupBy(*by).agg(*[F.struct(pick(c, "low").alias("low"), pick(c, "high").alias("high")).alias(f"_f_{c}") for c in columns])
 
 
 def outlier(c: str) -> Column:
@@ -164,25 +165,30 @@ LEAST_VALUES = 5  # fixed value: variables with fewer are not judged
 
 
 def tukey_outliers(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
-    """Limits, outlier count and share, least and greatest value per variable with at least five values."""
-    rows = df.select(*columns).join(F.broadcast(fences_row(df, columns)))  # a global aggregate: one row
-    number = lambda c: safe_double(F.col(c).cast("string"))
-    fields = ["n", "li", "ls", "conteo", "min", "max"]
-    counts = rows.agg(*[
-        F.struct(F.count(number(c)).alias("n"), F.max(f"_f_{c}.low").alias("li"), F.max(f"_f_{c}.high").alias("ls"),
-                 F.count_if(outlier(c)).alias("conteo"), F.min(number(c)).alias("min"), F.max(number(c)).alias("max")).alias(c)
-        for c in columns])
-    return _long(counts, columns, fields).where(F.col("n") >= LEAST_VALUES).select(
+    """Limits, outlier count and share, least and greatest value per variable with at least five values.
+
+    The numbers are stored once; quartiles and counts read them from there.
+    """
+    with work_folder(df.sparkSession, "numbers") as folder:
+        numbers = store(_numbers(df, columns), folder)
+        limits = fences(numbers, stored=True).select("variable", "low", "high")
+        value = F.col("value")
+        counts = written(numbers.join(F.broadcast(limits), "variable").groupBy("variable").agg(  # a row per listed column
+            F.count(value).alias("n"), F.max("low").alias("li"), F.max("high").alias("ls"),
+            F.count_if((value < F.col("low")) | (value > F.col("high"))).alias("conteo"), F.min(value).alias("min"), F.max(value).alias("max")), "outliers")
+    return counts.where(F.col("n") >= LEAST_VALUES).select(
         "variable", "n", _round(F.col("li"), digits).alias("li"), _round(F.col("ls"), digits).alias("ls"), "conteo",
         _round(percentage(F.col("conteo"), F.col("n")), digits).alias("porcentaje"), "min", "max")
 
 
-def accuracy(df: DataFrame, columns: list[str], stored_class: str) -> DataFrame:
-    """Rows with an outlier in any of the variables or a misspelled class."""
-    rows = df.select(*columns, stored_class).join(F.broadcast(fences_row(df, columns)))
-    bad = any_of([*[outlier(c) for c in columns], misspelled_class(stored_class)])
-    return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("bad")).withColumn(
-        "score", percentage(F.col("total") - F.col("bad"), F.col("total")))
+def accuracy(df: DataFrame, columns: list[str], stored_class: str, stored: bool = False) -> DataFrame:
+    """Rows with an outlier in any of the variables or a misspelled class. ``stored``: ``df`` is a stored frame."""
+    with work_folder(df.sparkSession, "accuracy") as folder:
+        rows = df if stored else store(df.select(*columns, stored_class), folder)
+        bad = any_of([*[outlier(c) for c in columns], misspelled_class(stored_class)])
+        one = written(rows.select(*columns, stored_class).join(F.broadcast(fences_row(rows, columns, stored=True))).agg(  # a global aggregate: one row
+            F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("bad")), "accuracy-count")
+    return one.withColumn("score", percentage(F.col("total") - F.col("bad"), F.col("total")))
 
 
 # Recency
@@ -210,14 +216,22 @@ class Plan:
     accuracy_columns: tuple[str, ...]
     as_of: str
     text: TextColumns = TextColumns()
+    # Columns that make a row a copy of another; all where none is named.
+    key: tuple[str, ...] = ()
 
+    @property
+    def needed(self) -> list[str]:
+        t = self.text
+        return list(dict.fromkeys([*self.columns, *self.rules, *self.accuracy_columns, t.date, t.year, t.month, t.place, t.value, t.stored_class, t.scope, *self.key]))
 
-def scores(df: DataFrame, plan: Plan) -> DataFrame:
-    """Six dimensions in long form: dimension, total, bad, score.
 
-    Completeness, validity, consistency and recency are one aggregate over one scan; uniqueness
-    needs the copies and accuracy the quartiles, so they pass over the rows on their own.
+def scores(df: DataFrame, plan: Plan, by: list[str] = ()) -> DataFrame:
+    """Six dimensions in long form, for all rows or per group: ``by``, dimension, total, bad, desfase_dias, score.
+
+    The needed columns are stored once. Completeness, validity, consistency, recency and accuracy are one aggregate over them (beside the
+    rounds for the quartiles), uniqueness is a second one. ``by`` ranges over a closed list.
     """
+    by = list(by)
     at = F.lit(plan.as_of).cast("date")
     day = F.when(~not_iso(plan.text.date), parse_date(plan.text.date))
     rows = F.count(F.lit(1))
@@ -226,25 +240,35 @@ def scores(df: DataFrame, plan: Plan) -> DataFrame:
     judged = sum((v.isNotNull().cast("int") for v, _, _ in numbers), F.lit(0))
     wrong = sum((outside(v, lo, hi).cast("int") for v, lo, hi in numbers), F.lit(0))
     inconsistent = any_of(list(consistency_rules(plan.text).values()))
+    inaccurate = any_of([*[outlier(c) for c in plan.accuracy_columns], misspelled_class(plan.text.stored_class)])
     no_lag = F.lit(None).cast("int")
 
     def line(total: Column, bad: Column, lag: Column = no_lag) -> Column:
         return F.struct(total.cast("bigint").alias("total"), F.coalesce(bad.cast("bigint"), F.lit(0)).alias("bad"), lag.alias("desfase_dias"))
 
-    one = df.agg(
-        line(rows * len(plan.columns), F.sum(missing)).alias("Completitud"),
-        line(F.sum(judged), F.sum(wrong)).alias("Validez"),
-        line(rows, F.count_if(inconsistent)).alias("Consistencia"),
-        line(rows, F.count_if(~recent(day, at)), F.date_diff(at, F.max(day))).alias("Actualidad"),
-    )
-    out = _long(one, ["Completitud", "Validez", "Consistencia", "Actualidad"], ["total", "bad", "desfase_dias"], label="dimension")
-    for name, part in {
-        "Unicidad": uniqueness(df, list(plan.columns)),
-        "Exactitud": accuracy(df, list(plan.accuracy_columns), plan.text.stored_class),
-    }.items():
-        out = out.unionByName(part.select(
-            F.lit(name).alias("dimension"), F.col("total").cast("bigint").alias("total"), F.col("bad").cast("bigint").alias("bad"),
-            no_lag.alias("desfase_dias")))
+    with work_folder(df.sparkSession, "quality") as folder:
+        base = store(df.select(*by, *plan.needed), folder)
+        limits = fences_row(base, list(plan.accuracy_columns), stored=True, by=by)  # a global aggregate, or one row a group of a closed list
+        if by:
+            limited = base.join(F.broadcast(limits.withColumnsRenamed({c: f"_by_{c}" for c in by})), _match(by, [f"_by_{c}" for c in by]), "left")
+        else:
+            limited = base.join(F.broadcast(limits))
+        one = written(limited.groupBy(*by).agg(
+            line(rows * len(plan.columns), F.sum(missing)).alias("Completitud"),
+            line(F.sum(judged), F.sum(wrong)).alias("Validez"),
+            line(rows, F.count_if(inconsistent)).alias("Consistencia"),
+            line(rows, F.count_if(inaccurate)).alias("Exactitud"),
+            line(rows, F.count_if(~recent(day, at)), F.date_diff(at, F.max(day))).alias("Actualidad"),
+        ), "scores")
+        copies = base.groupBy(*by, *(plan.key or plan.columns)).agg(F.count(F.lit(1)).alias("n")).groupBy(*by).agg(
+            line(F.coalesce(F.sum("n"), F.lit(0)), F.sum(F.col("n") - 1)).alias("Unicidad"))
+        copies = written(copies, "copies")
+    out = None
+    for part in (one, copies):
+        names = [c for c in part.columns if c not in by]
+        lines = F.array(*[F.struct(F.lit(n).alias("dimension"), f"{n}.total", f"{n}.bad", f"{n}.desfase_dias") for n in names])
+        long = part.select(*by, F.inline(lines))
+        out = long if out is None else out.unionByName(long)
     return out.withColumn("score", percentage(F.col("total") - F.col("bad"), F.col("total")))
 
 
@@ -271,30 +295,38 @@ def compare_scores(before: DataFrame, after: DataFrame, digits: int | None = Non
         _round(F.col("despues") - F.col("antes"), digits).alias("delta"))
 
 
+def scores_before_and_after(before: DataFrame, after: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The scores of two frames, counted together as two groups of one stored frame."""
+    side = lambda df, name: df.select(F.lit(name).alias("_side"), *plan.needed)
+    both = scores(side(before, "a").unionByName(side(after, "b")), plan, by=["_side"])
+    return tuple(both.where(F.col("_side") == name).drop("_side") for name in "ab")
+
+
 # Profiles
 
 def numeric_profile(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, least, quartiles, greatest per variable."""
-    long = _numbers(df, columns)
-    q = exact_quantiles(long, "value", {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, by=["variable"], few_groups=True).drop("n")
-    s = long.groupBy("variable").agg(
-        F.count("value").alias("n"), F.avg("value").alias("media"), F.stddev_samp("value").alias("desv"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    with work_folder(df.sparkSession, "numbers") as folder:
+        numbers = store(_numbers(df, columns), folder)
+        q = exact_quantiles(numbers, "value", {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, by=["variable"], stored=True).drop("n")
+        s = written(numbers.groupBy("variable").agg(
+            F.count("value").alias("n"), F.avg("value").alias("media"), F.stddev_samp("value").alias("desv"),
+            F.min("value").alias("min"), F.max("value").alias("max")), "profile")
     return s.join(q, "variable").select("variable", "n", *[
         _round(F.col(c), digits).alias(c) for c in ("media", "desv", "min", "q1", "mediana", "q3", "max")])
 
 
-def group_median(df: DataFrame, column: str, by: list[str], few_groups: bool = False) -> DataFrame:
-    return exact_quantiles(df, column, {"mediana": 0.5}, by=by, few_groups=few_groups)
+def group_median(df: DataFrame, column: str, by: list[str]) -> DataFrame:
+    return exact_quantiles(df, column, {"mediana": 0.5}, by=by)
 
 
-def impute_median(df: DataFrame, columns: list[str], by: list[str], few_groups: bool = False) -> DataFrame:
-    """Fill nulls with the median of the row's group (0 for a group without values) and flag them."""
+def impute_median(df: DataFrame, columns: list[str], by: list[str], stored: bool = False) -> DataFrame:
+    """Fill nulls with the median of the row's group (0 for a group without values) and flag them. ``stored``: ``df`` is a stored frame."""
     long = df.select(*by, *columns).unpivot(by, columns, "variable", "value")
-    medians = exact_quantiles(long, "value", {"m": 0.5}, by=[*by, "variable"], few_groups=few_groups)
-    wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("variable") == c, F.col("m"))).alias(f"_m_{c}") for c in columns]) \
-        .withColumnsRenamed({c: f"_b_{c}" for c in by})
-    out = df.join(F.broadcast(wide) if few_groups else wide, _match(by, [f"_b_{c}" for c in by]), "left")
+    medians = exact_quantiles(long, "value", {"m": 0.5}, by=[*by, "variable"], stored=stored)
+    wide = written(medians.groupBy(*by).agg(*[F.max(F.when(F.col("variable") == c, F.col("m"))).alias(f"_m_{c}") for c in columns])
+                   .withColumnsRenamed({c: f"_b_{c}" for c in by}), "medians")
+    out = df.join(broadcast_if_small(wide), _match(by, [f"_b_{c}" for c in by]), "left")
     filled = {f"{c}_imputado": F.col(c).isNull() for c in columns}
     filled.update({c: F.coalesce(F.col(c), F.col(f"_m_{c}"), F.lit(0.0)) for c in columns})
     return out.withColumns(filled).drop(*[f"_b_{c}" for c in by], *[f"_m_{c}" for c in columns])

@@ -1,9 +1,14 @@
-"""Exact quantiles (linear interpolation) for groups of any size."""
+"""Exact quantiles (linear interpolation) for any number of groups of any size, by digits."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import broadcast_if_small, store, work_folder, written
+
+#: Values a digit can take after the first one.
+BASE = 2048
+
 
 def _match(left: list[str], right: list[str]) -> Column:
     out = F.lit(True)
@@ -12,72 +17,60 @@ def _match(left: list[str], right: list[str]) -> Column:
     return out
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: list[str] = (), accuracy: int = 100_000,
-    few_groups: bool = False,
-) -> DataFrame:
-    """One row per group: ``by``, ``n`` and a column per entry of ``probs``.
+def _first_digit(x: Column) -> Column:
+    """Sign and binary exponent: rises with the value, and values that share it lie within a factor of two."""
+    exponent = F.least(F.floor(F.log2(F.abs(x))), F.lit(1100)).cast("int") + 1101  # infinity gets a digit of its own
+    return F.when(x > 0, exponent).when(x < 0, -exponent).otherwise(0)
+
+
+def _next_digit(x: Column) -> Column:
+    """The cell's range cut into equal steps. Subtraction and division keep order, so digits never contradict the values."""
+    return F.floor((x - F.col("low")) / (F.col("high") - F.col("low")) * BASE).cast("int")
 
-    ``few_groups`` states that ``by`` ranges over closed lists (listed columns, months, regions):
-    the bands, one row per group, are then broadcast. Otherwise the join is left to AQE.
 
-    ``percentile`` keeps every distinct value of a group in one buffer. Here a bounded sketch
-    first finds a narrow value band around each rank; a second pass counts the values inside the
-    bands one by one and everything between them as a whole, so only the bands' distinct values
-    reach the per-group running count. The sketch decides how much work is done, never the
-    result: a rank outside its band raises.
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] = (), stored: bool = False) -> DataFrame:
+    """One row per group: ``by``, ``n`` and a column per entry of ``probs``. Nulls and NaN are left out.
+
+    Values are read from a stored frame (``stored`` states that ``df`` is one) in rounds. The first counts the sign and exponent of
+    every value, each further one the next digit of the values in cells that hold a wanted rank. Counts are merged before the
+    shuffle, so a round moves at most a few thousand cells a group and task, and never rows. A cell is done when its least
+    and greatest value are equal, at the latest after six rounds as a double has 52 bits behind the exponent.
     """
-    by = list(by)
-    names = sorted(probs, key=probs.get)
-    rows = df.select(*by, F.col(value).cast("double").alias("_x")).where("_x IS NOT NULL")
-    slack = 2.0 / accuracy
-    edges = [e for n in names for e in (max(0.0, probs[n] - slack), min(1.0, probs[n] + slack))]
-    bounds = rows.groupBy(*by).agg(
-        F.percentile_approx("_x", edges, accuracy).alias("_b"), F.count(F.lit(1)).alias("n")
-    ).withColumnsRenamed({c: f"_by_{c}" for c in by})
-    if by:
-        banded = rows.join(F.broadcast(bounds) if few_groups else bounds, _match(by, [f"_by_{c}" for c in by]))
-    else:
-        banded = rows.join(F.broadcast(bounds))  # a global aggregate: one row
-
-    x = F.col("_x")
-    code = None
-    for i in range(len(names)):
-        low, high = F.col("_b")[2 * i], F.col("_b")[2 * i + 1]
-        code = F.when(x < low, 2 * i) if code is None else code.when(x < low, 2 * i)
-        code = code.when(x <= high, 2 * i + 1)
-    code = code.otherwise(2 * len(names))
-    cells = (
-        banded.withColumn("_code", code)
-        .withColumn("_key", F.when(F.col("_code") % 2 == 1, x))
-        .groupBy(*by, "n", "_code", "_key")
-        .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    )
-    upto = Window.partitionBy(*by).orderBy("_code", "_key").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn("_to", F.sum("_c").over(upto)).withColumn("_from", F.col("_to") - F.col("_c"))
-
-    def at_rank(rank: Column) -> Column:
-        exact = (
-            F.when(F.col("_code") % 2 == 1, F.col("_lo"))
-            .when(rank == F.col("_from"), F.col("_lo"))
-            .when(rank == F.col("_to") - 1, F.col("_hi"))
-            .otherwise(F.raise_error(F.lit("quantile outside its band: raise the accuracy")).cast("double"))
-        )
-        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), exact))
-
-    aggregates = []
-    for n in names:
-        place = F.lit(probs[n]) * (F.col("n") - 1)
-        aggregates += [at_rank(F.floor(place)).alias(f"_l_{n}"), at_rank(F.ceil(place)).alias(f"_u_{n}")]
-    out = cells.groupBy(*by, "n").agg(*aggregates)
+    by, names = list(by), list(probs)
+    keys = [f"_g{i}" for i in range(len(by))] or ["_g0"]
+    group = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("_g0")]
+    place = lambda p, n: F.lit(p) * (n - 1)
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(place(p, F.col("n"))), F.ceil(place(p, F.col("n")))) for p in probs.values()])))
+    holds_rank = F.exists(ranks, lambda r: (r >= F.col("start")) & (r < F.col("stop")))
+
+    def cells(rows: DataFrame, digit: Column, cell: list[str], total: Column, start: Column) -> DataFrame:
+        """Cells that hold a wanted rank: least and greatest value, and the ranks ``start`` up to before ``stop`` that they cover."""
+        counted = rows.groupBy(*cell, digit.alias("digit")).agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("least"), F.max("x").alias("most"))
+        inside = Window.partitionBy(*cell)  # digits of one cell
+        stop = start + F.sum("rows").over(inside.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
+        found = counted.withColumns({"_n": total.over(inside) if total is not None else F.col("n"), "stop": stop})
+        return found.select(*keys, F.col("_n").alias("n"), F.col("least").alias("low"), F.col("most").alias("high"),
+                            (F.col("stop") - F.col("rows")).alias("start"), "stop").where(holds_rank)
+
+    with work_folder(df.sparkSession, "quantile-rows") as folder:
+        x = F.col(value).cast("double")
+        rows = df.select(*group, x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+        rows = rows if stored else store(rows, folder)
+        state = written(cells(rows, _first_digit(F.col("x")), keys, F.sum("rows"), F.lit(0)), "quantile-cells")
+        done = state.where("low = high")
+        while (open_cells := state.where("low < high")).count():
+            wanted = open_cells.select(*[F.col(k).alias(f"_c{k}") for k in keys], "n", "low", "high", "start")
+            inside = rows.join(broadcast_if_small(wanted), _match(keys, [f"_c{k}" for k in keys]) & F.col("x").between(F.col("low"), F.col("high")))
+            state = written(cells(inside, _next_digit(F.col("x")), [*keys, "n", "start"], None, F.col("start")), "quantile-cells")
+            done = done.unionByName(state.where("low = high"))
+
+    n = F.col("n")
+    at = lambda rank: F.max(F.when((F.col("start") <= rank) & (rank < F.col("stop")), F.col("low")))
+    ends = {m: (F.floor(place(p, n)), F.ceil(place(p, n))) for m, p in probs.items()}
+    out = done.groupBy(*keys, "n").agg(*[at(r).alias(f"_{side}_{m}") for m, two in ends.items() for side, r in zip("lu", two)])
     return out.select(
-        *by, "n",
-        *[
-            (F.col(f"_l_{n}") + (F.col(f"_u_{n}") - F.col(f"_l_{n}"))
-             * (F.lit(probs[n]) * (F.col("n") - 1) - F.floor(F.lit(probs[n]) * (F.col("n") - 1)))).alias(n)
-            for n in probs
-        ],
-    )
+        *[F.col(k).alias(c) for k, c in zip(keys, by)], "n",
+        *[(F.col(f"_l_{m}") + (F.col(f"_u_{m}") - F.col(f"_l_{m}")) * (place(probs[m], n) - F.floor(place(probs[m], n)))).alias(m) for m in names])
 
 
 def tukey_fences(quartiles: DataFrame, q1: str = "q1", q3: str = "q3") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..domain import TRADE
 from ..operators import cleaning as cl
 from ..operators.dedup import duplicate_members as members
-from ..session import new_folder
+from ..session import new_folder, written
 from .registry import query
 from .views import RAW_ORDER, Tables
 
@@ -49,22 +49,25 @@ def clean_records(t: Tables):
     return cl.clean_records(t.raw, SCHEMA, TRADE).select(*_KEYS, *_CLEAN_COLUMNS)
 
 
+def _valid(t: Tables):
+    return cl.prepare(t.raw, SCHEMA, TRADE).where(F.col("route") == cl.VALID)
+
+
 @query("dedup_accept", views="valid", sql=f"SELECT {_ID}, fecha, place, system FROM valid WHERE rn = 1")
 def dedup_accept(t: Tables):
-    valid = cl.prepare(t.raw, SCHEMA, TRADE).where(F.col("route") == cl.VALID)
-    return cl.first_rows(valid, SCHEMA.key, RAW_ORDER).select(*_KEYS, "fecha", "place", "system")
+    return cl.first_rows(_valid(t).select(*RAW_ORDER, "fecha", "place", "system"), SCHEMA.key, RAW_ORDER).select(*_KEYS, "fecha", "place", "system")
 
 
 @query("dedup_reject", views="valid", sql=f"SELECT {_ID}, fecha, place, system FROM valid WHERE rn > 1")
 def dedup_reject(t: Tables):
-    valid = cl.prepare(t.raw, SCHEMA, TRADE).where(F.col("route") == cl.VALID)
+    valid = written(_valid(t).select(*RAW_ORDER, "fecha", "place", "system"), "valid")
     return cl.later_rows(valid, SCHEMA.key, RAW_ORDER).select(*_KEYS, "fecha", "place", "system")
 
 
 @query("duplicate_members", views="valid", sql=f"""
 SELECT {_ID}, place FROM (SELECT *, count(*) OVER (PARTITION BY fecha, place, system, l_linenumber) AS n FROM valid) v WHERE n > 1""")
 def duplicate_members(t: Tables):
-    valid = cl.prepare(t.raw, SCHEMA, TRADE).where(F.col("route") == cl.VALID)
+    valid = written(_valid(t).select(*RAW_ORDER, "fecha", "place", "system"), "valid")
     return members(valid, SCHEMA.key).select(*_KEYS, "place")
 
 
@@ -98,8 +101,8 @@ _DEST = "SELECT fecha, place, system, l_linenumber FROM valid WHERE rn = 1 AND y
 
 
 def _split(t: Tables):
-    valid = cl.prepare(t.raw, SCHEMA, TRADE).where(F.col("route") == cl.VALID)
-    destination = cl.clean_records(t.raw, SCHEMA, TRADE).where(F.year("fecha") < 2000)
+    valid = written(_valid(t).select(*RAW_ORDER, "fecha", "place", "system"), "valid")
+    destination = cl.first_rows(valid, SCHEMA.key, RAW_ORDER).where(F.year("fecha") < 2000)
     return cl.split_loaded(valid, destination, SCHEMA.key)
 
 
@@ -121,8 +124,9 @@ JOIN (SELECT fecha, place FROM valid WHERE rn = 1) d ON d.place = upper(trim(s.p
 WHERE s.fecha_txt LIKE '%/%'""")
 def before_after_dates(t: Tables):
     """Staged rows next to the destination row they became, joined on computed keys."""
-    loaded = cl.clean_records(t.raw, SCHEMA, TRADE).select("fecha", "place").distinct()
-    staged = t.raw.where(F.contains("fecha_txt", F.lit("/"))).select(
+    raw = written(t.raw, "raw")
+    loaded = cl.clean_records(raw, SCHEMA, TRADE).select("fecha", "place").distinct()
+    staged = raw.where(F.contains("fecha_txt", F.lit("/"))).select(
         F.col("fecha_txt").alias("fecha_original"), cl.normalise_place("place_txt").alias("place"),
         F.when(F.col("fecha_txt").rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date("fecha_txt", "dd/MM/yyyy")).alias("fecha")).distinct()
     return staged.join(loaded, ["place", "fecha"]).select("fecha_original", F.col("fecha").alias("fecha_corregida"), "place")

@@ -1,11 +1,14 @@
 """Profiling, quality dimensions, treatment effects, problems and causes over the dirty view."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..domain import TRADE
 from ..functions import is_missing, normalise_place, parse_date, safe_double
 from ..operators import cleaning as cl, predicates as p, quality as ql
 from ..operators.dedup import duplicate_profile as profile
+from ..session import store, work_folder, written
 from .etl_queries import SCHEMA
 from .registry import query
 from .views import Tables
@@ -188,9 +191,9 @@ def quality_compliance(t: Tables):
         "completitud", ql.complies(F.lit("Completitud"), F.col("completitud"), F.lit(0)).alias("completitud_ok"))
 
 
-def _treated(t: Tables):
+def _treated(raw):
     """The loaded rows back as text columns, so that the same measures apply before and after."""
-    return cl.clean_records(t.raw, SCHEMA, TRADE).select(
+    return cl.clean_records(raw, SCHEMA, TRADE).select(
         F.col("fecha").cast("string").alias("fecha_txt"), F.year("fecha").cast("string").alias("anio_txt"), F.month("fecha").cast("string").alias("mes_txt"),
         F.initcap("place").alias("place_txt"), F.col("system").alias("system_txt"), F.col("irca_clean").alias("irca_txt"),
         F.col("risk_class").alias("class_txt"), "storage_txt", "rain_txt", "coverage_txt", "use_txt", "scope", "l_linenumber")
@@ -214,25 +217,15 @@ after AS (SELECT 'Completitud' AS dimension, 1e2 * (12 * count(*) - count(*) FIL
 SELECT dimension, round(b.s, 6) AS antes, round(a.s, 6) AS despues, round(a.s - b.s, 6) AS delta FROM before b JOIN after a USING (dimension)""")
 def quality_before_after(t: Tables):
     """Completeness after treatment counts every raw row: rain is imputed, the system gets a category, the index stays missing."""
-    key = ["fecha_txt", "place_txt", "system_txt", "l_linenumber"]
-    label = lambda name, one: one.select(F.lit(name).alias("dimension"), F.col("score").cast("double").alias("score"))
-    filled = ql.impute_median(t.raw.withColumn("rain", safe_double("rain_txt")), ["rain"], ["mes_txt", "scope"])  # raw texts: no bound on the groups
-    filled = filled.withColumns({"rain_txt": F.col("rain").cast("string"), "system_txt": F.coalesce(cl.null_if_missing("system_txt"), F.lit(TRADE.out_of_coverage))})
-    treated = _treated(t)
-    before = {
-        "Completitud": ql.completeness(t.raw, COLUMNS), "Unicidad": ql.uniqueness(t.raw, key), "Validez": ql.validity(t.raw, RULES),
-        "Consistencia": ql.consistency(t.raw, PLAN.text), "Exactitud": ql.accuracy(t.raw, ACCURACY, "class_txt")}
-    after = {
-        "Completitud": ql.completeness(filled, COLUMNS), "Unicidad": ql.uniqueness(treated, key), "Validez": ql.validity(treated, RULES),
-        "Consistencia": ql.consistency(treated, PLAN.text), "Exactitud": ql.accuracy(treated, ACCURACY, "class_txt")}
-    out = []
-    for side in (before, after):
-        tables = [label(n, one) for n, one in side.items()]
-        union = tables[0]
-        for table in tables[1:]:
-            union = union.unionByName(table)
-        out.append(union)
-    return ql.compare_scores(*out, D)
+    plan = replace(PLAN, key=("fecha_txt", "place_txt", "system_txt", "l_linenumber"))
+    with work_folder(t.spark, "before-after") as folder:
+        raw = store(t.raw, folder)
+        before, after = ql.scores_before_and_after(raw, _treated(raw), plan)
+        filled = ql.impute_median(raw.withColumn("rain", safe_double("rain_txt")), ["rain"], ["mes_txt", "scope"], stored=True)
+        filled = filled.withColumns({"rain_txt": F.col("rain").cast("string"), "system_txt": F.coalesce(cl.null_if_missing("system_txt"), F.lit(TRADE.out_of_coverage))})
+        complete = written(ql.completeness(filled, COLUMNS), "completeness").select(F.lit("Completitud").alias("dimension"), "score")
+    after = after.where(~F.col("dimension").isin("Completitud", "Actualidad")).select("dimension", "score").unionByName(complete)
+    return ql.compare_scores(before, after, D)
 
 
 _Q = "round(quantile_cont(v, {p}), 6)"
@@ -257,7 +250,7 @@ def tukey_outliers(t: Tables):
 
 @query("group_median", sql="SELECT mes, region, count(rain) AS n, quantile_cont(rain, 0.5) AS mediana FROM measure WHERE rain IS NOT NULL GROUP BY mes, region")
 def group_median(t: Tables):
-    return ql.group_median(t.measure, "rain", ["mes", "region"], few_groups=True)
+    return ql.group_median(t.measure, "rain", ["mes", "region"])
 
 
 @query("impute_group_median", sql="""
@@ -265,7 +258,7 @@ WITH m AS (SELECT mes, region, quantile_cont(rain, 0.5) AS r, quantile_cont(irca
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(rain, r, 0) AS rain, rain IS NULL AS rain_imputado, coalesce(irca, i, 0) AS irca, irca IS NULL AS irca_imputado
 FROM measure JOIN m USING (mes, region)""")
 def impute_group_median(t: Tables):
-    out = ql.impute_median(t.measure, ["rain", "irca"], ["mes", "region"], few_groups=True)
+    out = ql.impute_median(t.measure, ["rain", "irca"], ["mes", "region"])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "rain", "rain_imputado", "irca", "irca_imputado")
 
 

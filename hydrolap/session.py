@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+#: Rows up to which a narrow, counted table may be broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def build_session(app: str = "hydrolap", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -48,3 +53,35 @@ def stable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder, whatever file system it is in."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh shared folder that is removed at the end, also after a failure. Results must not read it lazily."""
+    path = new_folder(spark, name)
+    try:
+        yield path
+    finally:
+        drop_folder(spark, path)
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write rows to a folder and read them back: later passes do not compute them again, and a lost executor costs nothing."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``store`` in a fresh shared folder that stays."""
+    return store(df, new_folder(df.sparkSession, name))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a stored table that was counted; beyond the bound the join is left to AQE."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -49,21 +50,57 @@ def test_three_copies(spark):
     assert (got.rows, got.extra_rows, got.duplicate_groups, got.pct_extra, got.pct_groups) == (4, 2, 1, 50.0, 25.0)
 
 
-@pytest.mark.parametrize("accuracy", [50, 100_000])
-def test_quantiles_equal_brute_force(hot, accuracy):
-    """Also with a sketch so coarse that the bands hold many values."""
+PROBS = {"p0": 0.0, "q1": 0.25, "m": 0.5, "q3": 0.75, "p99": 0.99, "p1": 1.0}
+
+
+def test_quantiles_equal_brute_force(hot):
     df, rows = hot
     frame = pd.DataFrame(rows, columns=["k", "b", "o", "v"])
-    probs = {"p0": 0.0, "q1": 0.25, "m": 0.5, "q3": 0.75, "p99": 0.99, "p1": 1.0}
-    for r in exact_quantiles(df, "v", probs, by=["b"], accuracy=accuracy).collect():
+    for r in exact_quantiles(df, "v", PROBS, by=["b"]).collect():
         values = frame[frame.b == r.b].v
         assert r.n == len(values)
-        for name, q in probs.items():
+        for name, q in PROBS.items():
             assert r[name] == pytest.approx(np.quantile(values, q), abs=1e-12)
-    whole = exact_quantiles(df, "v", {"m": 0.5}, accuracy=accuracy).first()
+    whole = exact_quantiles(df, "v", {"m": 0.5}).first()
     assert whole.m == pytest.approx(np.quantile(frame.v, 0.5), abs=1e-12)
 
 
+def test_quantiles_of_hard_values(spark):
+    """Neighbouring doubles, all scales, both signs, zeros of both signs, one value a million times, infinities, NaN and null."""
+    rnd = random.Random(8)
+    neighbours = [1.0]
+    for _ in range(3000):
+        neighbours.append(float(np.nextafter(neighbours[-1], 2.0)))
+    scales = [s * rnd.random() * 2.0 ** rnd.randint(-1073, 1023) for _ in range(3000) for s in (1, -1)] + [5e-324, 1e-323, -5e-324, 0.0, -0.0]
+    groups = {"neighbours": neighbours, "scales": scales, "one": [7.25] * 5000 + [7.5], "infinite": [float("-inf"), 1.0, 2.0, 1.7976931348623157e308, float("inf")],
+              "below": [-x for x in neighbours], None: [3.0, 1.0, 2.0]}
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + [("one", float("nan")), ("one", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {r.g: r for r in exact_quantiles(df, "v", {**PROBS, "t": 1 / 3}, by=["g"]).collect()}
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        values = sorted(xs)
+        assert got[g].n == len(xs)
+        for name, q in {**PROBS, "t": 1 / 3}.items():
+            place = q * (len(xs) - 1)
+            low, high = values[int(np.floor(place))], values[int(np.ceil(place))]
+            want = low + (high - low) * (place - np.floor(place))
+            assert got[g][name] == want or (np.isnan(want) and np.isnan(got[g][name])), (g, name)
+
+
+def test_quantile_rounds_are_few(spark, monkeypatch):
+    """Numbers with two decimals are told apart in three rounds, and the row folder is removed."""
+    from hydrolap import session
+    from hydrolap.operators import quantiles
+
+    stored, dropped = [], []
+    monkeypatch.setattr(quantiles, "written", lambda df, name: stored.append(name) or session.written(df, name))
+    monkeypatch.setattr(session, "drop_folder", lambda spark, path, drop=session.drop_folder: dropped.append(path) or drop(spark, path))
+    df = spark.range(100_000).select((F.pmod(F.xxhash64("id"), F.lit(10_001)) / 100).alias("v"))
+    assert exact_quantiles(df, "v", {"m": 0.5}).first().m == pytest.approx(50, abs=1)
+    assert len(stored) <= 3 and len(dropped) == 1 and not os.path.exists(dropped[0].removeprefix("file:"))
+
+
 def test_quantiles_of_small_groups(spark):
     df = spark.createDataFrame([("one", 3.0), ("two", 1.0), ("two", 2.0), ("null", None)], "g string, v double")
     got = {r.g: (r.n, r.q) for r in exact_quantiles(df, "v", {"q": 0.25}, by=["g"]).collect()}

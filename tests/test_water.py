@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hydrolap.domain import WATER
 from hydrolap.operators import cleaning as cl, cube, indicators as ind, mining as mn, quality as ql, star as st
 from hydrolap.sources import RAW_COLUMNS, read_clean, read_or_empty, read_raw, write_csv
-from hydrolap.streaming.incremental import load_stream
+from hydrolap.streaming.incremental import load_stream, load_stream_within
 
 HEADER = list(RAW_COLUMNS)
 SCHEMA = cl.RawSchema(order=("row_id",), conversions=cl.WATER_CONVERSIONS)
@@ -97,6 +97,64 @@ def test_rerun_of_valid_copies_leaves_no_review_rows(spark, raw, tmp_path):
     assert spark.read.parquet(house.destination).count() == 1
 
 
+STEPS = ["manifest", "review", "destination", "log", "close"]
+
+
+@pytest.mark.parametrize("failing", STEPS)
+@pytest.mark.parametrize("late", [False, True])
+def test_failed_run_is_taken_up_again(spark, raw, tmp_path, monkeypatch, failing, late):
+    """A run that fails before or after any of its writes leaves no work folder, and the retry leaves what one clean run would."""
+    from pathlib import Path
+
+    from hydrolap import session
+
+    house, shared = cl.Warehouse(str(tmp_path / "house")), Path(session.shared_dir(spark).removeprefix("file:")) / "hydrolap"
+    cl.run_batch(raw.where("row_id < 2"), house, SCHEMA, WATER, 7, 3)  # another batch that shares a key
+    folders = lambda: {p.name for p in shared.glob("batch-1-*")}
+    earlier = folders()
+
+    class Lost(Exception):
+        pass
+
+    def fails(fn):
+        def call(*args, **kwargs):
+            result = fn(*args, **kwargs) if late else None
+            raise Lost
+            return result
+        return call
+
+    def fails_on(word):
+        def call(df, path, fn=cl._replace):
+            if word not in path:
+                return fn(df, path)
+            if late:
+                fn(df, path)
+            raise Lost
+        return call
+
+    with monkeypatch.context() as patch:
+        if failing == "manifest":
+            patch.setattr(cl, "begin", fails(cl.begin))
+        elif failing == "log":
+            patch.setattr(cl, "_append_log", fails(cl._append_log))
+        elif failing == "close":
+            patch.setattr(cl, "drop_folder", fails(cl.drop_folder))
+        else:
+            patch.setattr(cl, "_replace", fails_on(failing))
+        with pytest.raises(Lost):
+            cl.run_batch(raw, house, SCHEMA, WATER, 1, 3, "prueba")
+    assert folders() == earlier
+    closed = failing == "close" and late  # then the first call had done all, and the next one is a second run
+    cl.run_batch(raw, house, SCHEMA, WATER, 1, 3, "prueba")
+    lines = [tuple(r) for r in spark.read.parquet(house.log).where("lote_id = 1").orderBy("log_id")
+             .select("recibidos", "aceptados", "duplicados", "revision", "ya_cargados", "observacion").collect()]
+    assert lines == [(12, 4, 0, 6, 2, "prueba")] + ([(12, 0, 0, 6, 6, "prueba")] if closed else [])
+    assert spark.read.parquet(house.destination).count() == 5
+    assert spark.read.parquet(house.review).where("lote_id = 1").count() == 6
+    assert folders() == earlier and not list((tmp_path / "house").glob("pending/*/*"))
+    assert all(r.cuadra for r in cl.control(spark.read.parquet(house.log)).collect())
+
+
 def test_service_mix_denominators(clean):
     rows = clean.withColumn("service", F.when(F.col("row_id") == clean.agg(F.min("row_id")).first()[0], F.lit("Continuo")))
     known = ind.service_mix(rows, "anio", WATER).agg(F.sum("total")).first()[0]
@@ -124,6 +182,31 @@ def test_stream(spark, raw, tmp_path):
     assert tuple(totals) == (5, 1)
 
 
+def test_stream_with_late_and_repeated_rows(spark, tmp_path):
+    """Micro-batches of one file each: a repeated row, a row within the delay, a late row, a late copy and a bad row."""
+    day = lambda d, place, month=4: record(fecha=f"2024-{month:02d}-{d:02d}", mes=str(month), municipio=place)
+    files = [
+        [day(1, "Chia"), day(2, "Chia"), day(2, "chia ")],                       # a copy in the same micro-batch
+        [day(2, "CHIA"), day(10, "Chia")],                                       # a copy in another one; the watermark goes to 5 April
+        [day(6, "Sopo"), day(3, "Sopo"), day(1, "Chia"), day(9, "Sopo", 5)],     # in time, late, late copy, next month
+        [day(20, "Sopo"), record(fecha="2024-04-19", mes="5"), day(10, "Cota", 5)],  # late by the new watermark, no date, in time
+    ]
+    source, house = str(tmp_path / "in"), cl.Warehouse(str(tmp_path / "house"))
+    columns = [RAW_COLUMNS[c] for c in HEADER]
+    number = 0
+    for rows in files:
+        data = [tuple(r[c] for c in HEADER) + (number + i,) for i, r in enumerate(rows)]
+        number += len(rows)
+        frame = spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns) + ", row_id bigint")
+        frame.coalesce(1).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        load_stream_within(arriving, house, SCHEMA, WATER, 1, str(tmp_path / "state"), "5 days").awaitTermination(180)
+    assert {r.row_id for r in spark.read.parquet(house.destination).collect()} == {0, 1, 4, 5, 8, 11}
+    assert {(r.row_id, r.regla_id) for r in spark.read.parquet(house.review).collect()} == {(2, "P07"), (6, "TARDE"), (9, "TARDE"), (10, "P09")}
+    totals = spark.read.parquet(house.log).agg(*[F.sum(c) for c in ("recibidos", "aceptados", "duplicados", "revision", "ya_cargados")]).first()
+    assert tuple(totals) == (12, 6, 1, 3, 2)
+
+
 def test_star(spark, clean):
     star = st.build_star(clean, WATER, ["row_id"], place=F.translate("place", "@", "A"))
     assert star.geography.where("municipio = 'MADRID'").count() == 1
