@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
@@ -23,8 +22,7 @@ def strip(c: Column | str) -> Column:
 
 def is_missing(c: Column | str, markers: tuple[str, ...] = MISSING_MARKERS) -> Column:
     """True for null and for marker texts, trimmed and in any case."""
-    pattern = "(?i)^(" + "|".join(re.escape(m) for m in markers) + ")$"
-    return F.coalesce(strip(c).rlike(pattern), F.lit(True))
+    return F.coalesce(F.lower(strip(c)).isin(*[m.lower() for m in markers]), F.lit(True))
 
 
 def null_if_missing(c: Column | str, markers: tuple[str, ...] = MISSING_MARKERS) -> Column:

@@ -42,15 +42,22 @@ def surrogate_keys(names: DataFrame, order: str, key: str) -> DataFrame:
     return running_totals(names, [order]).withColumn(key, F.col("position").cast("int")).drop("position")
 
 
-def hashed_rank(df: DataFrame, by: str, identity: list[str | Column]) -> DataFrame:
-    """Add ``rank`` (from 1) inside each ``by`` group, in the order of the md5 of the identity.
+#: Rows of a group that are ranked in one window partition, about.
+SLICE_ROWS = 100_000
 
-    A group may hold any share of the rows: it is cut into 4,096 hash ranges, ranked inside each,
-    and shifted by the sizes of the ranges before.
+
+def hashed_rank(df: DataFrame, by: str, identity: list[str | Column], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``rank`` (from 1) inside each ``by`` group, in the order of the md5 of the identity. Groups are a closed list.
+
+    A group may hold any share of the rows: it is cut into hash ranges of about ``slice_rows``, as many as its size asks for,
+    ranked inside each, and shifted by the sizes of the ranges before.
     """
     ids = [F.col(c) if isinstance(c, str) else c for c in identity]
     hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", *[c.cast("string") for c in ids])))
-    hashed = hashed.withColumn("_slice", F.substring("_hash", 1, 3))
+    slices = F.greatest(F.ceil(F.count(F.lit(1)) / slice_rows), F.lit(1))
+    sizes = df.groupBy(F.col(by).alias("_by")).agg(slices.alias("_slices"))  # one row per class
+    part = F.floor(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint") * F.col("_slices") / F.lit(1 << 32))
+    hashed = hashed.join(F.broadcast(sizes), F.col(by).eqNullSafe(F.col("_by"))).withColumn("_slice", part).drop("_by", "_slices")
     before = Window.partitionBy(by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
         hashed.groupBy(by, "_slice").agg(F.count(F.lit(1)).alias("_n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -140,9 +141,13 @@ def consistency(df: DataFrame, t: TextColumns) -> DataFrame:
 
 # Accuracy
 
+def _number(df: DataFrame, column: str) -> Column:
+    """A column's values as doubles; text is parsed."""
+    return safe_double(column) if df.schema[column].dataType.typeName() == "string" else F.col(column).cast("double")
+
+
 def _numbers(df: DataFrame, columns: list[str], ids: list[str] = ()) -> DataFrame:
-    return df.select(*ids, *[safe_double(F.col(c).cast("string")).alias(c) for c in columns]).unpivot(
-        list(ids), columns, "variable", "value").where("value IS NOT NULL")
+    return df.select(*ids, *[_number(df, c).alias(c) for c in columns]).unpivot(list(ids), columns, "variable", "value").where("value IS NOT NULL")
 
 
 def fences(numbers: DataFrame, stored: bool = False, by: list[str] = ()) -> DataFrame:
@@ -157,7 +162,8 @@ def fences_row(df: DataFrame, columns: list[str], stored: bool = False, by: list
 
 
 def outlier(c: str) -> Column:
-    value = safe_double(F.col(c).cast("string"))
+    """Whether a number lies beyond its limits; ``_f_<column>`` holds these."""
+    value = F.col(c)
     return F.coalesce((value < F.col(f"_f_{c}.low")) | (value > F.col(f"_f_{c}.high")), F.lit(False))
 
 
@@ -181,12 +187,12 @@ def tukey_outliers(df: DataFrame, columns: list[str], digits: int | None = None)
         _round(percentage(F.col("conteo"), F.col("n")), digits).alias("porcentaje"), "min", "max")
 
 
-def accuracy(df: DataFrame, columns: list[str], stored_class: str, stored: bool = False) -> DataFrame:
-    """Rows with an outlier in any of the variables or a misspelled class. ``stored``: ``df`` is a stored frame."""
+def accuracy(df: DataFrame, columns: list[str], stored_class: str) -> DataFrame:
+    """Rows with an outlier in any of the variables or a misspelled class."""
     with work_folder(df.sparkSession, "accuracy") as folder:
-        rows = df if stored else store(df.select(*columns, stored_class), folder)
+        rows = store(df.select(*[_number(df, c).alias(c) for c in columns], stored_class), folder)
         bad = any_of([*[outlier(c) for c in columns], misspelled_class(stored_class)])
-        one = written(rows.select(*columns, stored_class).join(F.broadcast(fences_row(rows, columns, stored=True))).agg(  # a global aggregate: one row
+        one = written(rows.join(F.broadcast(fences_row(rows, columns, stored=True))).agg(  # a global aggregate: one row
             F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("bad")), "accuracy-count")
     return one.withColumn("score", percentage(F.col("total") - F.col("bad"), F.col("total")))
 
@@ -228,41 +234,47 @@ class Plan:
 def scores(df: DataFrame, plan: Plan, by: list[str] = ()) -> DataFrame:
     """Six dimensions in long form, for all rows or per group: ``by``, dimension, total, bad, desfase_dias, score.
 
-    The needed columns are stored once. Completeness, validity, consistency, recency and accuracy are one aggregate over them (beside the
-    rounds for the quartiles), uniqueness is a second one. ``by`` ranges over a closed list.
+    Every row is judged once and stored with its verdicts, its numbers and the columns that make it a copy. Five dimensions are
+    one aggregate over that (beside the rounds for the quartiles), uniqueness is a second one. ``by`` ranges over a closed list.
     """
     by = list(by)
     at = F.lit(plan.as_of).cast("date")
-    day = F.when(~not_iso(plan.text.date), parse_date(plan.text.date))
-    rows = F.count(F.lit(1))
-    missing = sum((is_missing(c).cast("int") for c in plan.columns[1:]), is_missing(plan.columns[0]).cast("int"))
-    numbers = [(safe_double(c), lo, hi) for c, (lo, hi) in plan.rules.items()]
-    judged = sum((v.isNotNull().cast("int") for v, _, _ in numbers), F.lit(0))
-    wrong = sum((outside(v, lo, hi).cast("int") for v, lo, hi in numbers), F.lit(0))
-    inconsistent = any_of(list(consistency_rules(plan.text).values()))
-    inaccurate = any_of([*[outlier(c) for c in plan.accuracy_columns], misspelled_class(plan.text.stored_class)])
-    no_lag = F.lit(None).cast("int")
+    t = plan.text
+    day = F.when(~not_iso(t.date), parse_date(t.date))
+    numbers = {c: safe_double(F.col(c).cast("string")) for c in dict.fromkeys([*plan.rules, *plan.accuracy_columns])}
+    key = list(plan.key or plan.columns)
+    verdicts = {
+        "_missing": sum((is_missing(c).cast("int") for c in plan.columns), F.lit(0)),
+        "_judged": sum((numbers[c].isNotNull().cast("int") for c in plan.rules), F.lit(0)),
+        "_wrong": sum((outside(numbers[c], lo, hi).cast("int") for c, (lo, hi) in plan.rules.items()), F.lit(0)),
+        "_inconsistent": any_of(list(consistency_rules(t).values())),
+        "_misspelled": misspelled_class(t.stored_class),
+        "_day": day,
+    }
+    rows, no_lag = F.count(F.lit(1)), F.lit(None).cast("int")
 
     def line(total: Column, bad: Column, lag: Column = no_lag) -> Column:
         return F.struct(total.cast("bigint").alias("total"), F.coalesce(bad.cast("bigint"), F.lit(0)).alias("bad"), lag.alias("desfase_dias"))
 
     with work_folder(df.sparkSession, "quality") as folder:
-        base = store(df.select(*by, *plan.needed), folder)
-        limits = fences_row(base, list(plan.accuracy_columns), stored=True, by=by)  # a global aggregate, or one row a group of a closed list
+        judged = df.select(*by, *key, *[c.alias(f"_n_{n}") for n, c in numbers.items()], *[c.alias(n) for n, c in verdicts.items()])
+        base = store(judged, folder)
+        measured = [f"_n_{c}" for c in plan.accuracy_columns]
+        limits = fences_row(base, measured, stored=True, by=by)  # a global aggregate, or one row a group of a closed list
         if by:
             limited = base.join(F.broadcast(limits.withColumnsRenamed({c: f"_by_{c}" for c in by})), _match(by, [f"_by_{c}" for c in by]), "left")
         else:
             limited = base.join(F.broadcast(limits))
+        inaccurate = any_of([*[outlier(c) for c in measured], F.col("_misspelled")])
         one = written(limited.groupBy(*by).agg(
-            line(rows * len(plan.columns), F.sum(missing)).alias("Completitud"),
-            line(F.sum(judged), F.sum(wrong)).alias("Validez"),
-            line(rows, F.count_if(inconsistent)).alias("Consistencia"),
+            line(rows * len(plan.columns), F.sum("_missing")).alias("Completitud"),
+            line(F.sum("_judged"), F.sum("_wrong")).alias("Validez"),
+            line(rows, F.count_if("_inconsistent")).alias("Consistencia"),
             line(rows, F.count_if(inaccurate)).alias("Exactitud"),
-            line(rows, F.count_if(~recent(day, at)), F.date_diff(at, F.max(day))).alias("Actualidad"),
+            line(rows, F.count_if(~recent(F.col("_day"), at)), F.date_diff(at, F.max("_day"))).alias("Actualidad"),
         ), "scores")
-        copies = base.groupBy(*by, *(plan.key or plan.columns)).agg(F.count(F.lit(1)).alias("n")).groupBy(*by).agg(
-            line(F.coalesce(F.sum("n"), F.lit(0)), F.sum(F.col("n") - 1)).alias("Unicidad"))
-        copies = written(copies, "copies")
+        copies = written(base.groupBy(*by, *key).agg(F.count(F.lit(1)).alias("n")).groupBy(*by).agg(
+            line(F.coalesce(F.sum("n"), F.lit(0)), F.sum(F.col("n") - 1)).alias("Unicidad")), "copies")
     out = None
     for part in (one, copies):
         names = [c for c in part.columns if c not in by]
@@ -347,21 +359,68 @@ def calendar_gap_days(df: DataFrame, day: str, by: list[str]) -> DataFrame:
     return every.join(days, [*by, day], "left_anti")
 
 
-def zero_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Named conditions with the number of rows that meet them."""
-    counts = df.agg(*[F.struct(F.count_if(F.coalesce(c, F.lit(False))).alias("registros")).alias(n) for n, c in checks.items()])
-    return _long(counts, list(checks), ["registros"], label="prueba")
+@dataclass(frozen=True)
+class ZeroCheck:
+    """A check that should find nothing: rows that meet ``condition``, or what a whole-table ``count`` (one row, ``registros``) finds."""
+
+    variable: str
+    name: str
+    dimension: str
+    condition: Column | None = None
+    count: Callable[[DataFrame], DataFrame] | None = None
+
+
+def days_without_rows(day: Column) -> Callable[[DataFrame], DataFrame]:
+    """Days between the first and the last readable date on which no row stands."""
+    return lambda df: calendar_gaps(df.select(day.alias("_day")).where("_day IS NOT NULL"), "_day").select(F.coalesce("dias_sin_datos", F.lit(0)).cast("bigint").alias("registros"))
+
+
+def zero_checks(df: DataFrame, checks: list[ZeroCheck]) -> DataFrame:
+    """variable, prueba, registros, dimension of every check. Row conditions are one aggregate; the rows are stored once for all."""
+    rows = [c for c in checks if c.condition is not None]
+    with work_folder(df.sparkSession, "checks") as folder:
+        base = store(df, folder)
+        found = _counted(base, {f"c{i}": c.condition for i, c in enumerate(checks) if c in rows}, {f"c{i}": c.count for i, c in enumerate(checks) if c not in rows})
+    about = F.create_map(*[x for i, c in enumerate(checks) for x in (F.lit(f"c{i}"), F.struct(
+        F.lit(c.variable).alias("variable"), F.lit(c.name).alias("prueba"), F.lit(c.dimension).alias("dimension")))])
+    return found.withColumn("_a", F.element_at(about, F.col("id"))).select("_a.variable", "_a.prueba", "registros", "_a.dimension")
+
+
+def _counted(base: DataFrame, conditions: dict[str, Column], counts: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """id, registros, total: rows that meet each condition, from one aggregate, and what each count over all rows finds. Stored: a few rows."""
+    one = base.agg(
+        F.count(F.lit(1)).alias("total"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(i) for i, c in conditions.items()])
+    out = one.select(F.inline(F.array(*[F.struct(F.lit(i).alias("id"), F.col(i).alias("registros"), "total") for i in conditions])))
+    total = base.agg(F.count(F.lit(1)).alias("total"))
+    for i, count in counts.items():
+        out = out.unionByName(count(base).select(F.lit(i).alias("id"), F.coalesce("registros", F.lit(0)).cast("bigint").alias("registros")).join(F.broadcast(total)))  # two one-row aggregates
+    return written(out, "counted")
 
 
 # Problems and causes
 
 @dataclass(frozen=True)
 class Problem:
+    """Rows that meet ``condition`` have it; a problem of the table as a whole has a ``count`` instead: rows -> one row with ``registros``."""
+
     id: str
     variable: str
     dimension: str
     impact: str
-    condition: Column
+    condition: Column | None = None
+    count: Callable[[DataFrame], DataFrame] | None = None
+
+
+def extra_copies(columns: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Rows beyond the first of equal ones."""
+    return lambda df: duplicate_profile(df, columns).select(F.col("extra_rows").alias("registros"))
+
+
+def lagging_part(part: Column, day: Column) -> Callable[[DataFrame], DataFrame]:
+    """All rows of a part of the table whose last date lies before that of the whole; 0 if it keeps up."""
+    inside = F.coalesce(part, F.lit(False))
+    return lambda df: df.agg(F.count_if(inside).alias("n"), F.max(F.when(inside, day)).alias("a"), F.max(day).alias("z")).select(
+        F.when((F.col("a") < F.col("z")) | (F.col("a").isNull() & F.col("z").isNotNull()), F.col("n")).otherwise(0).alias("registros"))
 
 
 # Problem -> (root cause, secondary cause).
@@ -393,18 +452,28 @@ TREATMENTS = {
 }
 
 
-def problem_inventory(df: DataFrame, problems: list[Problem], digits: int | None = None) -> DataFrame:
-    """Affected rows of every problem, from one scan."""
-    counts = df.agg(*[
-        F.struct(F.count_if(F.coalesce(p.condition, F.lit(False))).alias("registros"), F.count(F.lit(1)).alias("total")).alias(p.id)
-        for p in problems])
+def problem_inventory(df: DataFrame, problems: list[Problem], digits: int | None = None, fenced: list[str] = ()) -> DataFrame:
+    """Affected rows of every problem. The rows are stored once: all conditions are one aggregate over them, each whole-table count another.
+
+    ``fenced`` names columns whose Tukey limits conditions need: ``outlier(beyond(c))`` is then such a condition.
+    """
+    with work_folder(df.sparkSession, "problems") as folder:
+        base = store(df.select("*", *[safe_double(F.col(c).cast("string")).alias(beyond(c)) for c in fenced]), folder)
+        if fenced:
+            base = base.join(F.broadcast(fences_row(base, [beyond(c) for c in fenced], stored=True)))  # a global aggregate: one row
+        counts = _counted(base, {p.id: p.condition for p in problems if p.condition is not None}, {p.id: p.count for p in problems if p.condition is None})
     about = F.create_map(*[x for p in problems for x in (F.lit(p.id), F.struct(
         F.lit(p.variable).alias("variable"), F.lit(p.dimension).alias("dimension"), F.lit(p.impact).alias("impacto")))])
-    return _long(counts, [p.id for p in problems], ["registros", "total"], label="id").withColumn("_a", F.element_at(about, F.col("id"))).select(
+    return counts.withColumn("_a", F.element_at(about, F.col("id"))).select(
         "id", F.col("_a.variable").alias("variable"), "registros", _round(percentage(F.col("registros"), F.col("total")), digits).alias("porcentaje"),
         F.col("_a.dimension").alias("dimension"), F.col("_a.impacto").alias("impacto"))
 
 
+def beyond(column: str) -> str:
+    """Name of the parsed numbers of a fenced column."""
+    return f"_n_{column}"
+
+
 def cause_table(spark: SparkSession, causes: dict[str, tuple[str, str]] = CAUSES) -> DataFrame:
     return spark.createDataFrame([(i, a, b) for i, (a, b) in causes.items()], "id string, causa_raiz string, causa_secundaria string")
 

@@ -132,6 +132,22 @@ def compare_periods(t: Tables):
     return cube.compare_periods(t.measure, {"region": "EUROPE", "anio": "2001"}, [1998, 1999], [2000, 2001], TRADE, DIGITS)
 
 
+_EARLIER = {"region": "EUROPE", "anio": ["1999", "2000"], "sistema": "BUILDING"}
+
+
+@query("dice_earlier", sql=f"""
+WITH b AS ({_CMP.replace("anio IN (2000, 2001) THEN '2000-2001' ELSE '1998-1999'", "anio IN (1999, 2000) THEN '1999-2000' ELSE '1997-1998'").replace("BETWEEN 1998 AND 2001", "BETWEEN 1997 AND 2000 AND system = 'BUILDING'")})
+SELECT periodo, mediciones, municipios, round(irca_promedio, 6) AS irca_promedio, round(pct_riesgo_alto, 6) AS pct_riesgo_alto,
+ round(pct_continuo, 6) AS pct_continuo, round(pct_interrumpido, 6) AS pct_interrumpido, round(almacenamiento, 6) AS almacenamiento FROM b
+UNION ALL SELECT 'Cambio', y.mediciones - x.mediciones, y.municipios - x.municipios, round(y.irca_promedio - x.irca_promedio, 6),
+ round(y.pct_riesgo_alto - x.pct_riesgo_alto, 6), round(y.pct_continuo - x.pct_continuo, 6),
+ round(y.pct_interrumpido - x.pct_interrumpido, 6), round(y.almacenamiento - x.almacenamiento, 6)
+FROM b x JOIN b y ON x.periodo = '1997-1998' AND y.periodo = '1999-2000'""")
+def dice_earlier(t: Tables):
+    """The chosen years next to as many before them, under the same other filters."""
+    return cube.dice(t.measure, _EARLIER, "trimestre", TRADE, digits=DIGITS).earlier
+
+
 @query("selection_vs_context", sql=f"""
 SELECT 'seleccion' AS alcance, {_M} FROM measure WHERE {_DICE_SQL} UNION ALL SELECT 'contexto', {_M} FROM measure""")
 def selection_vs_context(t: Tables):

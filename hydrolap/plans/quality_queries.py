@@ -4,14 +4,14 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from ..domain import TRADE
+from ..domain import RECENCY_MONTHS, TRADE
 from ..functions import is_missing, normalise_place, parse_date, safe_double
 from ..operators import cleaning as cl, predicates as p, quality as ql
 from ..operators.dedup import duplicate_profile as profile
 from ..session import store, work_folder, written
 from .etl_queries import SCHEMA
 from .registry import query
-from .views import Tables
+from .views import ORDER, Tables
 
 D = 6
 COLUMNS = ["fecha_txt", "anio_txt", "mes_txt", "place_txt", "system_txt", "irca_txt", "class_txt", "storage_txt", "rain_txt",
@@ -277,55 +277,77 @@ def calendar_gap_days(t: Tables):
     return ql.calendar_gap_days(t["events"].withColumn("d", F.col("ts").cast("date")), "d", ["user_id"])
 
 
-@query("zero_checks", views="raw", sql=f"""
-SELECT prueba, registros FROM (SELECT
- count(*) FILTER (WHERE {_NUM.format(c='storage_txt')} < 0) AS "almacenamiento negativo", count(*) FILTER (WHERE {_NUM.format(c='irca_txt')} > 100) AS "irca sobre 100",
- count(*) FILTER (WHERE {_NUM.format(c='rain_txt')} < 0) AS "lluvia negativa", count(*) FILTER (WHERE {_NUM.format(c='coverage_txt')} > 100) AS "cobertura sobre 100",
- count(*) FILTER (WHERE {_NUM.format(c='use_txt')} < 0) AS "consumo negativo",
- count(*) FILTER (WHERE {_ISO} AND TRY_CAST(fecha_txt AS DATE) IS NOT NULL AND (year(TRY_CAST(fecha_txt AS DATE)) <> CAST(anio_txt AS INTEGER)
-  OR month(TRY_CAST(fecha_txt AS DATE)) <> CAST(mes_txt AS INTEGER))) AS "fecha contra anio y mes" FROM raw) c
-UNPIVOT (registros FOR prueba IN (COLUMNS(*)))""")
+_ZERO = [
+    ("storage_txt", "almacenamiento negativo", "Validez", f"{_NUM.format(c='storage_txt')} < 0"),
+    ("irca_txt", "irca sobre 100", "Validez", f"{_NUM.format(c='irca_txt')} > 100"),
+    ("rain_txt", "lluvia negativa", "Validez", f"{_NUM.format(c='rain_txt')} < 0"),
+    ("rain_txt", "fuera de -10 a 50", "Validez", f"{_NUM.format(c='rain_txt')} < -10 OR {_NUM.format(c='rain_txt')} > 50"),
+    ("coverage_txt", "cobertura sobre 100", "Validez", f"{_NUM.format(c='coverage_txt')} > 100"),
+    ("use_txt", "consumo negativo", "Validez", f"{_NUM.format(c='use_txt')} < 0"),
+    ("fecha_txt / anio_txt / mes_txt", "fecha contra anio y mes", "Consistencia", f"""{_ISO} AND TRY_CAST(fecha_txt AS DATE) IS NOT NULL
+  AND (year(TRY_CAST(fecha_txt AS DATE)) <> CAST(anio_txt AS INTEGER) OR month(TRY_CAST(fecha_txt AS DATE)) <> CAST(mes_txt AS INTEGER))"""),
+]
+_DAY = f"CASE WHEN {_ISO} THEN TRY_CAST(fecha_txt AS DATE) END"
+
+
+@query("zero_checks", views="raw", sql=" UNION ALL ".join(
+    f"SELECT '{v}' AS variable, '{n}' AS prueba, count(*) FILTER (WHERE {c}) AS registros, '{d}' AS dimension FROM raw" for v, n, d, c in _ZERO) + f"""
+UNION ALL SELECT 'fecha_txt', 'dias sin registros', CAST(max(d) - min(d) AS BIGINT) + 1 - count(DISTINCT d), 'Actualidad' FROM (SELECT {_DAY} AS d FROM raw) x""")
 def zero_checks(t: Tables):
     n = lambda c: safe_double(c)
-    return ql.zero_checks(t.raw, {
-        "almacenamiento negativo": n("storage_txt") < 0, "irca sobre 100": n("irca_txt") > 100, "lluvia negativa": n("rain_txt") < 0,
-        "cobertura sobre 100": n("coverage_txt") > 100, "consumo negativo": n("use_txt") < 0,
-        "fecha contra anio y mes": p.date_parts_differ("fecha_txt", "anio_txt", "mes_txt")})
+    day = F.when(~p.not_iso("fecha_txt"), parse_date("fecha_txt"))
+    conditions = [n("storage_txt") < 0, n("irca_txt") > 100, n("rain_txt") < 0, p.outside(n("rain_txt"), -10, 50), n("coverage_txt") > 100,
+                  n("use_txt") < 0, p.date_parts_differ("fecha_txt", "anio_txt", "mes_txt")]
+    checks = [ql.ZeroCheck(v, name, d, c) for (v, name, d, _), c in zip(_ZERO, conditions)]
+    return ql.zero_checks(t.raw.select(*COLUMNS), [*checks, ql.ZeroCheck("fecha_txt", "dias sin registros", "Actualidad", count=ql.days_without_rows(day))])
 
 
 def _problems() -> list[ql.Problem]:
     rules = ql.consistency_rules(PLAN.text)
     irca = safe_double("irca_txt")
+    day = F.when(~p.not_iso("fecha_txt"), parse_date("fecha_txt"))
     return [
         ql.Problem("P01", "rain_txt", "Completitud", "Medio", is_missing("rain_txt")),
         ql.Problem("P03", "irca_txt", "Completitud", "Alto", is_missing("irca_txt")),
         ql.Problem("P04", "system_txt", "Completitud", "Medio", is_missing("system_txt")),
         ql.Problem("P05", "scope", "Completitud", "Bajo", F.col("scope") == "Global"),
+        ql.Problem("P07", "(fila completa)", "Unicidad", "Alto", count=ql.extra_copies([*ORDER, *COLUMNS])),
         ql.Problem("P08", "irca_txt", "Validez", "Alto", p.outside(irca, 0, 100)),
         ql.Problem("P09", "fecha_txt", "Consistencia", "Alto", rules["fecha"]),
         ql.Problem("P10", "place_txt", "Consistencia", "Alto", rules["lugar"]),
         ql.Problem("P11", "irca_txt / class_txt", "Consistencia", "Alto", rules["incoherente"]),
         ql.Problem("P12", "class_txt", "Consistencia", "Medio", rules["huerfano"]),
         ql.Problem("P16", "class_txt", "Exactitud", "Bajo", p.misspelled_class("class_txt")),
+        ql.Problem("P17", "irca_txt", "Exactitud", "Medio", ql.outlier(ql.beyond("irca_txt"))),
+        ql.Problem("P18", "coverage_txt", "Exactitud", "Bajo", ql.outlier(ql.beyond("coverage_txt"))),
+        ql.Problem("P19", "use_txt", "Exactitud", "Bajo", ql.outlier(ql.beyond("use_txt"))),
+        ql.Problem("P20", "fecha_txt", "Actualidad", "Medio", ~p.recent(day, F.lit(AS_OF).cast("date"), RECENCY_MONTHS)),
+        ql.Problem("P21", "fecha_txt / scope", "Actualidad", "Medio", count=ql.lagging_part(F.col("scope") == "Global", day)),
     ]
 
 
 _ABOUT = """(VALUES ('P01', 'rain_txt', 'Completitud', 'Medio'), ('P03', 'irca_txt', 'Completitud', 'Alto'), ('P04', 'system_txt', 'Completitud', 'Medio'),
- ('P05', 'scope', 'Completitud', 'Bajo'), ('P08', 'irca_txt', 'Validez', 'Alto'), ('P09', 'fecha_txt', 'Consistencia', 'Alto'),
+ ('P05', 'scope', 'Completitud', 'Bajo'), ('P07', '(fila completa)', 'Unicidad', 'Alto'), ('P08', 'irca_txt', 'Validez', 'Alto'), ('P09', 'fecha_txt', 'Consistencia', 'Alto'),
  ('P10', 'place_txt', 'Consistencia', 'Alto'), ('P11', 'irca_txt / class_txt', 'Consistencia', 'Alto'), ('P12', 'class_txt', 'Consistencia', 'Medio'),
- ('P16', 'class_txt', 'Exactitud', 'Bajo')) i(id, variable, dimension, impacto)"""
+ ('P16', 'class_txt', 'Exactitud', 'Bajo'), ('P17', 'irca_txt', 'Exactitud', 'Medio'), ('P18', 'coverage_txt', 'Exactitud', 'Bajo'),
+ ('P19', 'use_txt', 'Exactitud', 'Bajo'), ('P20', 'fecha_txt', 'Actualidad', 'Medio'), ('P21', 'fecha_txt / scope', 'Actualidad', 'Medio')) i(id, variable, dimension, impacto)"""
 _INV = f"""SELECT i.id, i.variable, c.registros, round(1e2 * c.registros / (SELECT count(*) FROM raw), 6) AS porcentaje, i.dimension, i.impacto FROM {_ABOUT} JOIN (
  SELECT 'P01' AS id, count(*) AS registros FROM raw WHERE {_MISSING.format(c='rain_txt')} UNION ALL SELECT 'P03', count(*) FROM raw WHERE {_MISSING.format(c='irca_txt')}
  UNION ALL SELECT 'P04', count(*) FROM raw WHERE {_MISSING.format(c='system_txt')} UNION ALL SELECT 'P05', count(*) FROM raw WHERE scope = 'Global'
  UNION ALL SELECT 'P08', count(*) FROM raw WHERE {_NUM.format(c='irca_txt')} < 0 OR {_NUM.format(c='irca_txt')} > 100
  UNION ALL SELECT unnest(['P09', 'P10', 'P11', 'P12']), unnest([count(*) FILTER (WHERE a), count(*) FILTER (WHERE b), count(*) FILTER (WHERE c), count(*) FILTER (WHERE d)]) FROM ({_MASKS}) m
+ UNION ALL SELECT 'P07', extra_rows FROM ({_DUP}) u
+ UNION ALL SELECT unnest(['P17', 'P18', 'P19']), unnest([{', '.join(f'count(*) FILTER (WHERE {_out(i, c)})' for i, c in enumerate(ACCURACY))}]) FROM raw, {_fences()}
+ UNION ALL SELECT 'P20', bad FROM ({_rec('')}) r
+ UNION ALL SELECT 'P21', CASE WHEN g < z OR (g IS NULL AND z IS NOT NULL) THEN n ELSE 0 END FROM (SELECT count(*) FILTER (WHERE scope = 'Global') AS n,
+  max({_DAY}) FILTER (WHERE scope = 'Global') AS g, max({_DAY}) AS z FROM raw) l
  UNION ALL SELECT 'P16', count(*) FROM raw WHERE class_txt LIKE 'Inviabile%') c ON c.id = i.id"""
 _CAUSES = "(VALUES " + ", ".join(f"('{i}', '{a}', '{b}')" for i, (a, b) in ql.CAUSES.items()) + ") k(id, causa_raiz, causa_secundaria)"
 _TREAT = "(VALUES " + ", ".join(f"('{i}', '{a}')" for i, a in ql.TREATMENTS.items()) + ") r(id, tipo_accion)"
 
 
 def _inventory(t: Tables):
-    return ql.problem_inventory(t.raw, _problems(), D)
+    return ql.problem_inventory(t.raw.select(*ORDER, *COLUMNS), _problems(), D, fenced=ACCURACY)
 
 
 @query("problem_inventory", views="raw", sql=_INV)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hydrolap.operators import dedup
 from hydrolap.operators.mining import auc, roc_points, stratified_folds
-from hydrolap.operators.ordered import running_totals, surrogate_keys
+from hydrolap.operators.ordered import hashed_rank, running_totals, surrogate_keys
 from hydrolap.operators.quantiles import exact_quantiles
 
 
@@ -129,6 +129,17 @@ def test_folds_are_balanced(spark):
     assert {(r.y, r["count"]) for r in sizes} == {(0, 80), (1, 20)}
 
 
+@pytest.mark.parametrize("slice_rows", [1, 3, 40, 10_000])
+def test_hashed_rank_for_any_number_of_slices(spark, slice_rows):
+    import hashlib
+
+    rows = [(i, None if i % 50 == 0 else "big" if i % 10 else "small") for i in range(300)]
+    got = {(r.y, r.i): r["rank"] for r in hashed_rank(spark.createDataFrame(rows, "i int, y string"), "y", ["i"], slice_rows).collect()}
+    for y in ("big", "small", None):
+        ids = sorted((i for i, z in rows if z == y), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+        assert [got[y, i] for i in ids] == list(range(1, len(ids) + 1))
+
+
 def test_auc_with_ties(spark):
     rnd = random.Random(5)
     rows = [(int(rnd.random() < 0.4), rnd.randrange(20) / 20) for _ in range(400)]

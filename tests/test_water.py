@@ -165,7 +165,18 @@ def test_service_mix_denominators(clean):
 def test_earlier_block_of_a_dice(clean):
     cut = cube.dice(clean, {"anio": ["2024"], "region": "Regional"}, "departamento", WATER)
     assert {r.periodo for r in cut.earlier.collect()} <= {"2023", "2024", "Cambio"}
-    assert cube.dice(clean, {"anio": ["2023"], "region": "Regional"}, "departamento", WATER).earlier is None
+    assert cube.dice(clean, {"anio": ["2023"], "region": "Regional"}, "departamento", WATER).earlier.count() == 0
+    assert cube.dice(clean, {"anio": ["2022", "2024"], "region": "Regional"}, "departamento", WATER).earlier is None
+
+
+def test_building_a_dice_runs_no_job(spark, clean):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("dice", "dice")
+    try:
+        cube.dice(clean, {"anio": ["2024"], "region": "Regional"}, "departamento", WATER, "sistema", "servicio")
+        assert not tracker.getJobIdsForGroup("dice")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_stream(spark, raw, tmp_path):
