@@ -2,35 +2,98 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Pipeline
+import numpy as np
+import pandas as pd
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import stable
-from .mining import stratified_folds
+from ..session import stable, work_folder
+from .mining import assign_centroid, stratified_folds
 
-# Settings of the published workflows. Spark caps the depth at 30.
-TREE = {"maxDepth": 5, "minInstancesPerNode": 10, "seed": 7}
-FOREST = {"numTrees": 100, "maxDepth": 30, "seed": 7}
+# Settings of the published workflows. Spark caps the depth at 30. ``*_STOPS``: a node of fewer rows, or in which
+# one class has that share, is not split; Spark's learners lack both stops.
+TREE, TREE_STOPS = {"maxDepth": 5, "minInstancesPerNode": 10, "seed": 7}, {"min_parent": 20, "majority": 0.95}
+FOREST, FOREST_STOPS = {"numTrees": 100, "maxDepth": 30, "seed": 7}, {"min_parent": 5}
+LOGIT_C = 1.0
 FOLDS, CLUSTERS, RESTARTS, ITERATIONS = 10, 3, 10, 300
 
 
-def tree() -> Estimator:
-    return DecisionTreeClassifier(labelCol="label", **TREE)
+@dataclass(frozen=True)
+class Learner:
+    """``make`` gives the estimator for a number of training rows; stops prune what it has grown."""
 
+    make: Callable[[int], Estimator]
+    min_parent: int = 0
+    majority: float | None = None
 
-def forest(trees: int = FOREST["numTrees"]) -> Estimator:
-    return RandomForestClassifier(labelCol="label", **{**FOREST, "numTrees": trees})
+    @property
+    def prunes(self) -> bool:
+        return bool(self.min_parent or self.majority)
 
 
-def logistic(reg: float = 0.01) -> Estimator:
-    return LogisticRegression(labelCol="label", elasticNetParam=0.0, regParam=reg)
+def tree() -> Learner:
+    return Learner(lambda rows: DecisionTreeClassifier(labelCol="label", **TREE), **TREE_STOPS)
+
+
+def forest(trees: int = FOREST["numTrees"]) -> Learner:
+    return Learner(lambda rows: RandomForestClassifier(labelCol="label", **{**FOREST, "numTrees": trees}), **FOREST_STOPS)
+
+
+def logistic(c: float = LOGIT_C) -> Learner:
+    """Ridge penalty as the inverse of C: the mean loss of Spark's objective makes that 1 / (C n)."""
+    return Learner(lambda rows: LogisticRegression(labelCol="label", elasticNetParam=0.0, regParam=1.0 / (c * max(rows, 1)), standardization=False))
+
+
+@dataclass(frozen=True)
+class Trees:
+    """Nodes of all trees side by side; ``feature`` is -1 at a leaf, ``value`` the share of the positive class there."""
+
+    roots: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """Mean share of the leaves that each row reaches."""
+        at = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
+        row = np.arange(len(x))[:, None]
+        while (inner := self.feature[at] >= 0).any():
+            below = x[row, np.maximum(self.feature[at], 0)] <= self.threshold[at]
+            at = np.where(inner, np.where(below, self.left[at], self.right[at]), at)
+        return self.value[at].mean(1)
+
+
+def grown_trees(spark: SparkSession, model, learner: Learner) -> Trees:
+    """The trees of a fitted model, cut where a stop holds. Growing is greedy, so what stays is what growing with the stops would have given.
+
+    Nodes come from the model's stored form: a few thousand rows, bounded by trees and training rows.
+    """
+    with work_folder(spark, "model") as folder:
+        model.write().session(spark).overwrite().save(folder)
+        nodes = spark.read.parquet(f"{folder}/data")
+        nodes = nodes.select("treeID", "nodeData.*") if "treeID" in nodes.columns else nodes.withColumn("treeID", F.lit(0))
+        nodes = nodes.select("treeID", "id", "impurityStats", "rawCount", "leftChild", "rightChild", "split.featureIndex",
+                             F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold")).toPandas().sort_values(["treeID", "id"], ignore_index=True)
+    start = nodes.groupby("treeID")["id"].transform("size").groupby(nodes["treeID"]).first().cumsum().shift(fill_value=0)
+    first = nodes["treeID"].map(start).to_numpy()  # ids count from 0 in each tree
+    stats = np.asarray(nodes["impurityStats"].tolist(), float)
+    share = stats / stats.sum(1, keepdims=True)
+    leaf = (nodes["leftChild"].to_numpy() < 0) | (nodes["rawCount"].to_numpy() < learner.min_parent)
+    if learner.majority:
+        leaf |= share.max(1) >= learner.majority
+    return Trees(start.to_numpy(), np.where(leaf, -1, nodes["featureIndex"].to_numpy()), nodes["threshold"].fillna(0.0).to_numpy(),
+                 first + nodes["leftChild"].to_numpy(), first + nodes["rightChild"].to_numpy(), share[:, 1])
 
 
 def vectors(features: list[str], scale: bool = False) -> list:
@@ -42,8 +105,18 @@ def vectors(features: list[str], scale: bool = False) -> list:
     return stages
 
 
-def _score(model, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).withColumn("score", vector_to_array("probability")[1]).withColumn("prediction", F.col("prediction").cast("int"))
+def _score(fitted: PipelineModel, learner: Learner, rows: DataFrame) -> DataFrame:
+    """``score``: probability of the positive class; ``prediction``: 1 if above one half. Pruned trees are walked for a batch of rows at once."""
+    if not learner.prunes:
+        return fitted.transform(rows).withColumn("score", vector_to_array("probability")[1]).withColumn("prediction", F.col("prediction").cast("int"))
+    trees = grown_trees(rows.sparkSession, fitted.stages[-1], learner)
+
+    @F.pandas_udf("double")
+    def walk(features: pd.Series) -> pd.Series:
+        return pd.Series(trees.scores(np.stack(features.to_numpy())) if len(features) else [], dtype=float)
+
+    prepared = PipelineModel(stages=fitted.stages[:-1]).transform(rows)
+    return prepared.withColumn("score", walk(vector_to_array("features"))).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
 
 def labelled(days: DataFrame, features: list[str]) -> DataFrame:
@@ -53,14 +126,17 @@ def labelled(days: DataFrame, features: list[str]) -> DataFrame:
         *[F.col(c).cast("double").alias(f"f_{c}") for c in features])
 
 
-def cross_validate(days: DataFrame, features: list[str], learner: Estimator, k: int = FOLDS, parallel: int = 4) -> DataFrame:
+def cross_validate(days: DataFrame, features: list[str], learner: Learner, k: int = FOLDS, parallel: int = 4) -> DataFrame:
     """Out-of-fold predictions of every day: fecha, label, score, prediction, fold. Folds are fitted side by side."""
     names = [f"f_{c}" for c in features]
     rows = stable(stratified_folds(labelled(days, features), "label", ["fecha"], k))
 
+    sizes = {r["fold"]: r["n"] for r in rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
+
     def fold(i: int) -> DataFrame:
-        model = Pipeline(stages=[*vectors(names), learner.copy()]).fit(rows.where(F.col("fold") != i))
-        return _score(model, rows.where(F.col("fold") == i)).select("fecha", "anio", "label", "score", "prediction", "fold")
+        training = sum(sizes.values()) - sizes.get(i, 0)
+        model = Pipeline(stages=[*vectors(names), learner.make(training)]).fit(rows.where(F.col("fold") != i))
+        return _score(model, learner, rows.where(F.col("fold") == i)).select("fecha", "anio", "label", "score", "prediction", "fold")
 
     with ThreadPool(parallel) as pool:
         parts = pool.map(fold, range(k))
@@ -70,12 +146,13 @@ def cross_validate(days: DataFrame, features: list[str], learner: Estimator, k:
     return out
 
 
-def holdout(days: DataFrame, features: list[str], learner: Estimator, last_train_year: int) -> DataFrame:
+def holdout(days: DataFrame, features: list[str], learner: Learner, last_train_year: int) -> DataFrame:
     """Train on the early years, predict the later ones."""
     names = [f"f_{c}" for c in features]
     rows = stable(labelled(days, features))
-    model = Pipeline(stages=[*vectors(names), learner]).fit(rows.where(F.col("anio") <= last_train_year))
-    return _score(model, rows.where(F.col("anio") > last_train_year)).select("fecha", "anio", "label", "score", "prediction")
+    early = rows.where(F.col("anio") <= last_train_year)
+    model = Pipeline(stages=[*vectors(names), learner.make(early.count())]).fit(early)
+    return _score(model, learner, rows.where(F.col("anio") > last_train_year)).select("fecha", "anio", "label", "score", "prediction")
 
 
 def kmeans(days: DataFrame, features: list[str], k: int = CLUSTERS, restarts: int = RESTARTS, parallel: int = 4):
@@ -124,3 +201,27 @@ def silhouette_rows(clustered: DataFrame) -> DataFrame:
     a, b = own["d"], other
     value = F.when(own["n"] == 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
     return with_means.withColumn("silhouette", value).drop("_v", "_q", "_c", "_m")
+
+
+# What must hold of any clustering, as rows
+
+def cluster_checks(clustered: DataFrame, centres: list) -> DataFrame:
+    """Rows, sum of the clusters' sizes, clusters, and rows that lie nearer to another centre than to their own: one row."""
+    width = len(centres[0])
+    names = [f"x{i}" for i in range(width)]
+    table = clustered.sparkSession.createDataFrame([(i, *map(float, c)) for i, c in enumerate(centres)], ", ".join(["nearest int", *[f"{n} double" for n in names]]))
+    rows = clustered.select("cluster", vector_to_array("features").alias("v")).select("cluster", *[F.col("v")[i].alias(n) for i, n in enumerate(names)])
+    judged = assign_centroid(rows, table, names, "nearest").join(
+        F.broadcast(table.select(F.col("nearest").alias("cluster"), F.array(*names).alias("own"))), "cluster", "left")  # k rows
+    distance = sum((F.pow(F.col(n) - F.col("own")[i], F.lit(2.0)) for i, n in enumerate(names)), F.lit(0.0))
+    per_cluster = judged.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(distance <= F.col("distancia") + 1e-9, F.lit(False))).alias("far"))
+    return clustered.agg(F.count(F.lit(1)).alias("dias")).join(F.broadcast(per_cluster.agg(  # two one-row aggregates
+        F.coalesce(F.sum("n"), F.lit(0)).alias("suma"), F.count(F.lit(1)).alias("grupos"), F.coalesce(F.sum("far"), F.lit(0)).alias("en_otro"))))
+
+
+def silhouette_checks(clustered: DataFrame) -> DataFrame:
+    """Rows, rows whose silhouette lies in [-1, 1], and whether its mean is above 0: one row."""
+    value = F.col("silhouette")
+    return silhouette_rows(clustered).agg(
+        F.count(F.lit(1)).alias("dias"), F.count_if(value.between(-1.0, 1.0)).alias("en_rango"), F.coalesce(F.avg(value) > 0, F.lit(False)).alias("media_positiva"))

@@ -161,9 +161,15 @@ def cluster_profile(t: Tables):
     return mn.cluster_profile(_assigned(t), NAMES, "restriccion", "Si", digits=D)
 
 
+LEARNED = ["almacenamiento_pct", "precipitacion_mm", "cobertura_pct", "mes"]  # the year and consumption describe a day, they are no features
+
+
+def _scored_days(t: Tables, learner):
+    return ml.cross_validate(_days(t), LEARNED, learner)
+
+
 def _quality(t: Tables, learner):
-    scored = ml.cross_validate(_days(t), [*NAMES, "mes", "anio"], learner)
-    clipped = scored.withColumn("score", F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("score"))))
+    clipped = _scored_days(t, learner).withColumn("score", F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("score"))))
     return mn.classification_metrics(clipped, D).join(F.broadcast(mn.auc(clipped, D)))
 
 
@@ -182,6 +188,33 @@ def ml_logit(t: Tables):
     return _quality(t, ml.logistic())
 
 
+_COUNTS = f"""SELECT count(*) AS dias, count(*) FILTER (WHERE restriccion = 'Si') AS positivos, count(*) AS en_rango, count(*) AS segun_puntaje,
+ least(count(*), 10) AS pliegues FROM ({_DAYS}) d WHERE restriccion IS NOT NULL"""
+
+
+def _counts(t: Tables, learner):
+    """What must hold of any learner's out-of-fold predictions: every day once, with its own label, a probability and the class it implies."""
+    rows = _scored_days(t, learner)
+    return rows.agg(
+        F.count_distinct("fecha").alias("dias"), F.sum("label").alias("positivos"), F.count_if(F.col("score").between(0.0, 1.0)).alias("en_rango"),
+        F.count_if((F.col("score") > 0.5) == (F.col("prediction") == 1)).alias("segun_puntaje"), F.count_distinct("fold").alias("pliegues"))
+
+
+@query("ml_tree_counts", sql=_COUNTS)
+def ml_tree_counts(t: Tables):
+    return _counts(t, ml.tree())
+
+
+@query("ml_forest_counts", sql=_COUNTS)
+def ml_forest_counts(t: Tables):
+    return _counts(t, ml.forest())
+
+
+@query("ml_logit_counts", sql=_COUNTS)
+def ml_logit_counts(t: Tables):
+    return _counts(t, ml.logistic())
+
+
 @query("ml_kmeans")
 def ml_kmeans(t: Tables):
     rows, _ = ml.kmeans(_days(t), NAMES)
@@ -192,3 +225,15 @@ def ml_kmeans(t: Tables):
 def ml_silhouette(t: Tables):
     rows, _ = ml.kmeans(_days(t), NAMES)
     return ml.silhouette_rows(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
+
+
+@query("kmeans_checks", sql=f"SELECT count(*) AS dias, count(*) AS suma, 3::BIGINT AS grupos, 0::BIGINT AS en_otro FROM ({_DAYS}) d WHERE restriccion IS NOT NULL")
+def kmeans_checks(t: Tables):
+    rows, model = ml.kmeans(_days(t), NAMES)
+    return ml.cluster_checks(rows, model.clusterCenters())
+
+
+@query("silhouette_checks", sql=f"SELECT count(*) AS dias, count(*) AS en_rango, TRUE AS media_positiva FROM ({_DAYS}) d WHERE restriccion IS NOT NULL")
+def silhouette_checks(t: Tables):
+    rows, _ = ml.kmeans(_days(t), NAMES)
+    return ml.silhouette_checks(rows)
