@@ -45,7 +45,8 @@ def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose (doc_id, text_hash) is in ``gone``; null doc_ids are told apart by text alone."""
     keys = work_table(gone.select(F.xxhash64("doc_id", "text_hash").alias("gone_key")).distinct(), "gone")
     hashed = row_key(F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return docs.join(checked_broadcast(keys), hashed == F.col("gone_key"), "left_anti")
+    rows = docs.select(F.struct("*").alias("source"), hashed.alias("row_key"))  # names of further columns cannot clash
+    return rows.join(checked_broadcast(keys), F.col("row_key") == F.col("gone_key"), "left_anti").select("source.*")
 
 
 def fold(key: Column, folds: int) -> Column:
