@@ -308,8 +308,37 @@ def id_filter(ids: DataFrame) -> bytes:
     return words.astype(">i8").tobytes()
 
 
+def may_link(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Boolean mask of the sets that can be similar to another one, none of them missed.
+
+    Similar sets share at least the given share of each one's shingles. So with shingles in one order for all, the rarest
+    first, the first shingles of both beyond the rest of that size have one in common; shingles that many sets share come last and do not count.
+    """
+    n = np.asarray([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    values, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((column, often[column], owner))
+    place = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
+    early = order[place <= np.repeat(n - -(-percent * n // 100), n)]
+    met = np.bincount(column[early], minlength=len(values)) > 1
+    out = np.zeros(len(sets), bool)
+    out[owner[early[met[column[early]]]]] = True
+    return out
+
+
 def linked(sets: list[np.ndarray], left: np.ndarray, percent: int) -> np.ndarray:
     """Boolean matrix of similar pairs; ``left``: mask of the first block's members, or all True for pairs inside one block."""
+    hit = np.zeros((len(sets), len(sets)), bool)
+    at = np.flatnonzero(may_link(sets, percent))
+    if len(at) > 1:
+        hit[np.ix_(at, at)] = shared_enough([sets[i] for i in at], percent)
+    if not left.all():
+        hit &= left[:, None] != left[None, :]
+    return hit
+
+
+def shared_enough(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Boolean matrix of similar pairs by exact intersections."""
     n = np.asarray([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), n)
     values, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -329,8 +358,6 @@ def linked(sets: list[np.ndarray], left: np.ndarray, percent: int) -> np.ndarray
     union = n[:, None] + n[None, :] - both
     hit = 100 * both >= percent * union
     np.fill_diagonal(hit, False)
-    if not left.all():
-        hit &= left[:, None] != left[None, :]
     return hit
 
 
@@ -364,10 +391,13 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
     columns = ["task", "i", "j", "group", "node", "copies", "shingles", "block"]
 
     def run(table: pa.Table) -> pa.Table:
-        group = table.column("group").to_numpy()
+        table = table.sort_by("group")
+        ends = np.flatnonzero(np.diff(table.column("group").to_numpy())) + 1
         out = {"node": [], "head": [], "links": []}
-        for g in np.unique(group):
-            part = table.filter(pa.array(group == g))
+        for low, high in zip([0, *ends], [*ends, table.num_rows]):
+            part = table.slice(low, high - low)
+            if not part.num_rows:
+                continue
             nodes, copies = part.column("node").to_numpy(), part.column("copies").to_numpy()
             sets = [np.frombuffer(s.as_buffer(), U) for s in part.column("shingles")]
             i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()

@@ -12,8 +12,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from hydrolap.llm import importance, queries, search, simhash
-from hydrolap.llm.common import work_table
+import corpus_pipeline
+from hydrolap.llm import importance, partenum, queries, search, simhash
+from hydrolap.llm.common import without_rows, work_table
 from tools.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -223,6 +224,40 @@ def test_majority_in_parts(monkeypatch):
     assert simhash.majority(hashes).tolist() == want
 
 
+def test_verification_finds_exactly_the_similar_sets():
+    """Also the filter before it: sets that share only what many share are not compared."""
+    rng = random.Random(1)
+    for _ in range(150):
+        universe, sets = rng.choice([20, 60, 400]), []
+        for _ in range(rng.randint(1, 12)):
+            some = set(rng.choice(sets).tolist()) if sets and rng.random() < 0.5 else set(rng.sample(range(universe), rng.randint(1, min(universe, 40))))
+            for _ in range(rng.randint(0, 3)):
+                some ^= {rng.randrange(universe)}
+            sets.append(np.asarray(sorted(some or {1}), np.uint64))
+        left = np.asarray([rng.random() < 0.5 for _ in sets]) if rng.random() < 0.5 else np.ones(len(sets), bool)
+        for percent in (80, 85, 100):
+            got = partenum.linked(sets, left, percent)
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets):
+                    both = len(np.intersect1d(a, b))
+                    close = i != j and 100 * both >= percent * (len(a) + len(b) - both) and (left.all() or left[i] != left[j])
+                    assert got[i, j] == close
+    passage = np.arange(50, dtype=np.uint64)
+    others = [np.concatenate([passage, rng.randrange(1 << 40) + np.arange(200, dtype=np.uint64) * 7919]).astype(np.uint64) for _ in range(2000)]
+    assert partenum.may_link(others, 80).sum() < 20
+
+
+def test_near_duplicate_stage_keeps_clashing_columns(spark):
+    rows = [(1, "a b c d e f g h", "x", "y", "z"), (1, "a b c d e f g h", "x", "y", "w"), (2, "a b c d e f g h", "x", "y", "z"), (3, "other words of another text", "x", "y", "z"), (4, None, "x", "y", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_key string, again_key string, row_key string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+    gone = spark.createDataFrame([(3, "other words of another text")], "doc_id long, text string").select("doc_id", F.xxhash64("text").alias("text_hash"))
+    left = without_rows(docs, gone)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 1, 2, 4]
+
+
 @pytest.mark.parametrize("name", ["op11_importance_resampling", "op12_ranked_search"])
 def test_queries_equal_their_twins(spark, name):
     assert compare(queries.QUERIES[name](spark, FOLDER), connect(FOLDER), queries.ORACLES[name]) is None
