@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,12 +17,12 @@ from .common import id_text
 # Unicode white space as the split pattern of byte-level BPE sees it.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{BLANK}]+(?![^{BLANK}])| ?[^{BLANK}]+|[{BLANK}]+")
-UNEVEN = re.compile(r"\s\s|[^\S \n]")
+WHITE = re.compile(r"\s")
 
 LETTERS = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
 MARKS = frozenset(",.!?;:")
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 500_000  # a generation
 
 
 def tokenizer_json(path: str) -> str:
@@ -29,16 +31,28 @@ def tokenizer_json(path: str) -> str:
 
 
 class Memo(dict):
-    """Chunk -> ids as little-endian unsigned 32-bit bytes. Emptied when full, so a worker's memory is bounded."""
+    """Key -> ``work(key)`` in two generations of ``entries`` each, so a worker's memory is bounded.
 
-    def __init__(self, encode):
-        self.encode = encode
+    When the younger is full it becomes the older and the older goes; what is asked for again moves back, so frequent keys stay.
+    """
+
+    def __init__(self, work, entries: int):
+        self.work, self.entries, self.older = work, entries, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= MEMO_ENTRIES:
+    def __missing__(self, key):
+        value = self.older.get(key)
+        self.put(key, self.work(key) if value is None else value)
+        return self[key]
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.entries:
+            self.older = dict(self)
             self.clear()
-        ids = self[chunk] = self.encode(chunk)
-        return ids
+        self[key] = value
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class ChunkEncoder:
@@ -61,13 +75,13 @@ class ChunkEncoder:
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # fixed values: bytes that stand for themselves
         hidden = [b for b in range(256) if b not in visible]
         self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
-        self.bare = Memo(self.chunk)
-        self.after_blank = Memo(self.part)
+        self.bare = Memo(self.chunk, MEMO_ENTRIES)
+        self.after_blank = Memo(self.part, MEMO_ENTRIES)
 
     def word(self, text: str) -> bytes:
         """A run of letters, with the blank before it or not, is one word of the split: the library's model takes it as it is."""
-        named = text.encode().decode("latin-1").translate(self.byte_names)
-        return np.asarray([t.id for t in self.model.tokenize(named)], "<u4").tobytes()
+        named = (text if text.isascii() else text.encode().decode("latin-1")).translate(self.byte_names)
+        return packed([t.id for t in self.model.tokenize(named)])
 
     def chunk(self, text: str) -> bytes:
         if LETTERS.fullmatch(text):
@@ -76,10 +90,14 @@ class ChunkEncoder:
             return self.bare[text[:-1]] + self.bare[text[-1]]
         return self.whole(text)
 
-    def part(self, text: str) -> bytes:
-        """What stands behind a blank, or a line end and what follows it."""
+    def part(self, text: str) -> bytes | None:
+        """What stands behind a blank, or a line end and what follows it; None if white space is not single blanks and line ends."""
+        if WHITE.search(text, 1) or text in ("", "\n"):
+            return None
         if text[0] == "\n":
-            return self.bare["\n"] + (self.bare[text[1:]] if len(text) > 1 else b"")
+            return self.bare["\n"] + self.bare[text[1:]]
+        if text[0].isspace():
+            return None
         if LETTERS.fullmatch(text):
             return self.word(" " + text)
         if text[-1] in MARKS and LETTERS.fullmatch(text[:-1]):
@@ -87,19 +105,26 @@ class ChunkEncoder:
         return self.whole(" " + text)
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
-        if not text or text[0].isspace() or text[-1].isspace() or UNEVEN.search(text):
+        first, *rest = text.replace("\n", " \n").split(" ")
+        found = None if not first or WHITE.search(first) else [self.bare[first], *map(self.after_blank.__getitem__, rest)]
+        if found is None or None in found:  # white space is uneven
             return b"".join(map(self.bare.__getitem__, CHUNK.findall(text)))
-        first, *rest = text.replace("\n", " \n").split(" ")  # single blanks and line ends only
-        return self.bare[first] + b"".join(map(self.after_blank.__getitem__, rest))
+        return b"".join(found)
+
+
+@functools.lru_cache(maxsize=2)
+def worker_encoder(definition: str) -> ChunkEncoder:
+    """One encoder a worker process: its memo is kept from task to task."""
+    return ChunkEncoder(definition)
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], definition: str, end_id: int) -> Iterator[tuple[int | None, np.ndarray]]:
-    encoder = ChunkEncoder(definition)
+    encoder = worker_encoder(definition)
     end = np.asarray([end_id], "<u4").tobytes()
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1)):
