@@ -14,19 +14,20 @@ are encoded each; an empty table gives an empty result; further columns are igno
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import id_text
-from .tokens import BLANK, tokenizer_json
+from .tokens import BLANK, Memo, tokenizer_json
 
 SLICE_CHARS = 4_000_000
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 500_000  # a generation
 
 
 class TrieBpe:
@@ -39,7 +40,7 @@ class TrieBpe:
         self.rank = {pair: i for i, pair in enumerate(pairs)}
         self.longest = max(len(t) for t in self.vocab)
         self._whole: dict[str, bool] = {}
-        self._pair: dict[tuple[str, str], bool] = {}
+        self._pair = Memo(lambda pair: self.merge(self.symbols(pair[0]) + self.symbols(pair[1])) == [*pair], MEMO_ENTRIES)
 
     def symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and len(token) > len(self.end):
@@ -64,20 +65,12 @@ class TrieBpe:
             known = self._whole[text] = text in self.vocab and self.merge(self.symbols(text)) == [text]
         return known
 
-    def fits(self, left: str, right: str) -> bool:
-        known = self._pair.get((left, right))
-        if known is None:
-            if len(self._pair) >= MEMO_ENTRIES:
-                self._pair.clear()
-            known = self._pair[left, right] = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
-        return known
-
     def last_token(self, path: str, mark: str, lasts: list[str]) -> str:
         """Last token of the prefix ``path`` (closed by ``mark``); ``lasts[d]`` is that of its first d symbols."""
-        n = len(path)
+        n, vocab = len(path), self.vocab
         for k in range(max(0, n - self.longest), n):
-            token = path[k:] + mark
-            if token in self.vocab and self.is_token(token) and (k == 0 or self.fits(lasts[k], token)):
+            token = path[k:] + mark if mark else path[k:]
+            if token in vocab and self.is_token(token) and (k == 0 or self._pair[lasts[k], token]):
                 return token
         raise ValueError(f"no token ends {path!r}")
 
@@ -125,7 +118,8 @@ class TextCodec:
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # fixed values: bytes that stand for themselves
         hidden = [b for b in range(256) if b not in visible]
         self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
-        self.memo: dict[str, tuple[int, str, str]] = {}
+        self.words = Memo(lambda word: self.encoded([word])[word], MEMO_ENTRIES)  # number of ids, ids as text, decoded text
+        self.chunks = Memo(lambda chunk: self.joined(map(self.words.__getitem__, self.words_of(chunk))), MEMO_ENTRIES)
 
     def bytes_of(self, word: str) -> str:
         """A character for each byte, as byte-level tokenizers write them."""
@@ -146,15 +140,25 @@ class TextCodec:
                 out += [w for w, _ in self.parts.pre_tokenizer.pre_tokenize_str(self.parts.normalizer.normalize_str(piece))]
         return out
 
+    def encoded(self, words: Iterable[str]) -> dict[str, tuple[int, str, str]]:
+        """One trie over ``words``."""
+        known = self.bpe.encode_words({w for w in words if w not in self.special})
+        out = {w: [self.bpe.vocab[t] for t in tokens] for w, tokens in known.items()} | {w: [self.special[w]] for w in words if w in self.special}
+        return {w: (len(ids), " ".join(map(str, ids)), self.decode(ids)) for w, ids in out.items()}
+
+    @staticmethod
+    def joined(parts: Iterable[tuple[int, str, str]]) -> tuple[int, str, str]:
+        found = [x for x in parts if x[0]]
+        return found[0] if len(found) == 1 else (sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found]))
+
     def learn(self, chunks: set[str]) -> None:
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        fresh = {c: self.words_of(c) for c in chunks if c not in self.memo}
-        known = self.bpe.encode_words({w for words in fresh.values() for w in words if w not in self.special})
+        """Words that no memo holds are encoded together, so that they share a trie."""
+        fresh = {c: self.words_of(c) for c in chunks if c not in self.chunks and c not in self.chunks.older}
+        unknown = {w for words in fresh.values() for w in words if w not in self.words and w not in self.words.older}
+        for word, value in self.encoded(unknown).items():
+            self.words.put(word, value)
         for chunk, words in fresh.items():
-            tokens = [t for w in words for t in ([w] if w in self.special else known[w])]
-            ids = [self.special[t] if t in self.special else self.bpe.vocab[t] for t in tokens]
-            self.memo[chunk] = len(ids), " ".join(map(str, ids)), self.decode(ids)
+            self.chunks.put(chunk, self.words[words[0]] if len(words) == 1 else self.joined(map(self.words.__getitem__, words)))
 
     def decode(self, ids: list[int]) -> str:
         """The definition names no decoder: tokens in order, one blank between."""
@@ -164,9 +168,13 @@ class TextCodec:
         """(number of ids, ids as text, decoded text) of each text; white space only separates words."""
         self.learn({c for t in texts for c in blanks(t)})
         for t in texts:
-            found = [self.memo[c] for c in blanks(t)]
-            found = [x for x in found if x[0]]
-            yield sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+            yield self.joined(map(self.chunks.__getitem__, blanks(t)))
+
+
+@functools.lru_cache(maxsize=2)
+def worker_codec(definition: str) -> TextCodec:
+    """One codec a worker process: its memos are kept from task to task."""
+    return TextCodec(definition)
 
 
 ODD = re.compile("[\x1c-\x1f]")
@@ -203,7 +211,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str, keep_text: bool = True) ->
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * keep_text
 
     def run(batches):
-        codec = TextCodec(shared.value)
+        codec = worker_codec(shared.value)
         for batch in batches:
             for ids, texts in slices(batch):
                 rows = [(n, sha256(a), sha256(b), *((a, b) if keep_text else ())) for n, a, b in codec.digest(texts)]
