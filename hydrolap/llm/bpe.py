@@ -27,7 +27,7 @@ from .common import id_text
 from .tokens import BLANK, Memo, tokenizer_json
 
 SLICE_CHARS = 4_000_000
-MEMO_ENTRIES = 500_000  # a generation
+MEMO_ENTRIES = 350_000  # a generation
 
 
 class TrieBpe:
