@@ -93,6 +93,30 @@ def test_token_files_round_trip(spark, docs, texts, empty):
     assert huffman.read_files(spark, path).count() == 0
 
 
+def test_encoder_with_full_memos_and_uneven_white_space(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 5)
+    encoder = tokens.ChunkEncoder(tokens.tokenizer_json(public_tokenizers.path("byte_bpe_50k.json")))
+    parts = ["a", "Wort", "été", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\u3000", "'s", "12", "don't", "<|endoftext|>", ",", "x."]
+    draw = random.Random(5)
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 12)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(len(encoder.bare), len(encoder.after_blank), len(encoder.after_blank.older)) <= 5
+
+
+def test_codec_with_full_memos(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 5)
+    definition = bpe.tokenizer_json(public_tokenizers.path("word_bpe_49k.json"))
+    codec, library = bpe.TextCodec(definition), Tokenizer.from_str(definition)
+    library.no_truncation()
+    library.no_padding()
+    draw = random.Random(6)
+    texts = [" ".join("".join(draw.choice("aeinrst,.'É1") for _ in range(draw.randint(1, 6))) for _ in range(draw.randint(0, 9))) for _ in range(300)]
+    for text, (n, ids, decoded) in zip(texts, codec.digest(texts)):
+        found = library.encode(text, add_special_tokens=False).ids
+        assert (n, ids, decoded) == (len(found), " ".join(map(str, found)), library.decode(found, skip_special_tokens=False))
+
+
 def test_length_limited_codes():
     rng = np.random.default_rng(2)
     for n, limit in ((1, 20), (2, 20), (300, 9), (5000, 13), (50_000, 20)):
