@@ -7,8 +7,9 @@ Join. A line of length L is split into EDITS + 1 segments of almost equal length
 the shorter one unchanged in the longer one, near its place; which places must be probed follows from the difference in
 length and from the edits left on either side. Segments and probed substrings meet by their 64-bit hash with length and
 segment number. Only hashes that two different lines have are looked at again; their lines meet in cells of bounded
-size, where a parity mask of symbol counts (an edit flips two bits at most) sorts out most pairs, and the rest is verified
-with a banded bit-parallel edit distance. All on Spark expressions.
+size, where a parity mask of symbol counts (an edit flips two bits at most) sorts out most pairs. Lines that have a candidate left
+meet again with their texts, and a banded bit-parallel edit distance verifies them there: a cell gives one row per line,
+the first place of a linked line and the number of links, never one per pair. All on Spark expressions.
 
 Equal lines are one node from the start, so repeated lines cost one row; every occurrence finds its verdict by the hash of the line.
 
@@ -27,7 +28,8 @@ from .common import WORD_PATTERN, checked_broadcast, id_text, work_table
 
 EDITS = 2
 MIN_CHARS = 16
-CELL = 512
+CELL = 512  # lines of either kind in a cell
+CELL_CHARS = 1 << 22  # and their code points, on average
 SYMBOLS = " etaonirshdlcumwfgypbvk.,"  # one bit of the mask each
 WORD = 32  # bits of the band's word
 
@@ -117,49 +119,80 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     return F.get(F.transform(F.array(pair), compare), F.lit(0))
 
 
-def candidate_pairs(docs: DataFrame) -> DataFrame:
-    """(a, b), a < b: different lines that share a key, differ in length by at most EDITS and in at most 2 * EDITS mask bits."""
+def close(r: Column, p: Column) -> Column:
+    """Whether an indexed line and a probing one can be linked: lengths differ by at most EDITS, masks in at most 2 * EDITS bits."""
+    return (r["rid"] != p["rid"]) & (p["chars"] - r["chars"]).between(0, EDITS) & (F.bit_count(r["mask"].bitwiseXOR(p["mask"])) <= 2 * EDITS)
+
+
+def cells(members: DataFrame, side: Column) -> DataFrame:
+    """(key, index, probes): the members of a key in two arrays; every indexed one meets every other one in exactly one row.
+
+    ``side``: into how many parts an aggregate over a key's members cuts them; a row holds one part of either kind.
+    """
+    crowded = work_table(members.groupBy("key").agg(side.cast("int").alias("side")).where("side > 1"), "crowded")
+    line = F.struct(*(c for c in members.columns if c != "key"))
+    placed = members.join(checked_broadcast(crowded), "key", "left").select(
+        "key", line.alias("line"), "indexed", F.coalesce("side", F.lit(1)).alias("side")).withColumn("own", F.pmod(F.xxhash64("line.rid"), "side").cast("int"))
+
+    def spot(i: Column, j: Column, index: Column, probe: Column) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"), index.alias("index"), probe.alias("probe"))
+
+    own, yes, no = F.col("own"), F.lit(True), F.lit(False)
+    others = F.filter(F.sequence(F.lit(0), F.col("side") - 1), lambda o: o != own)
+    away = F.flatten(F.transform(others, lambda o: F.array(spot(own, o, F.col("indexed"), no), spot(o, own, no, yes))))
+    at_home = F.array(spot(own, own, F.col("indexed"), yes))
+    spots = placed.select("key", "line", F.inline(F.when(F.col("side") == 1, at_home).otherwise(F.concat(at_home, away)))).where("index OR probe")
+    met = spots.groupBy("key", "i", "j").agg(
+        F.collect_list(F.when(F.col("index"), F.col("line"))).alias("index"), F.collect_list(F.when(F.col("probe"), F.col("line"))).alias("probes"))
+    return met.where((F.size("index") > 0) & (F.size("probes") > 0)).select("key", "index", "probes")
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """(key, rid, indexed): lines that meet one they are ``close`` to under the key. One row per line and key, none per pair."""
     rows = key_rows(exploded(docs).where(F.col("chars") >= MIN_CHARS))
     met = rows.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("indexed").alias("indexed"))
     shared = work_table(met.where("low < high AND indexed").select("key"), "shared-keys")
     members = rows.join(checked_broadcast(shared), "key").groupBy("key", "rid").agg(F.max("indexed").alias("indexed"), F.min("line").alias("line"))
     members = work_table(members.select("key", "rid", "indexed", F.length("line").alias("chars"), mask(F.col("line")).alias("mask")), "members")
-    cells = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key", F.ceil(F.col("n") / CELL).cast("int").alias("side"))
-    placed = members.join(cells, "key").select(
-        "key", "indexed", "side", F.pmod(F.xxhash64("rid"), "side").cast("int").alias("own"), F.struct("rid", "chars", "mask").alias("line"))
-    others = F.explode(F.sequence(F.lit(0), F.col("side") - 1))
-    index = placed.where("indexed").withColumn("other", others).select("key", F.col("own").alias("i"), F.col("other").alias("j"), "line", F.lit(True).alias("indexed"))
-    probes = placed.withColumn("other", others).select("key", F.col("other").alias("i"), F.col("own").alias("j"), "line", F.lit(False).alias("indexed"))
-    met = index.unionByName(probes).groupBy("key", "i", "j").agg(
-        F.collect_list(F.when(F.col("indexed"), F.col("line"))).alias("index"), F.collect_list(F.when(~F.col("indexed"), F.col("line"))).alias("probes"))
+    probing = F.filter("probes", lambda p: F.exists("index", lambda r: close(r, p)))
+    indexed = F.filter("index", lambda r: F.exists("probes", lambda p: close(r, p)))
+    found = cells(members, F.ceil(F.count(F.lit(1)) / CELL)).select("key", F.explode(F.concat(probing, indexed)).alias("line"))
+    return work_table(found.select("key", "line.rid", "line.indexed").distinct(), "candidates")
 
-    def near(p: Column) -> Column:
-        hits = F.filter("index", lambda r: (r["rid"] != p["rid"]) & (p["chars"] - r["chars"]).between(0, EDITS)
-                        & (F.bit_count(r["mask"].bitwiseXOR(p["mask"])) <= 2 * EDITS))
-        return F.transform(hits, lambda r: F.struct(F.least(r["rid"], p["rid"]).alias("a"), F.greatest(r["rid"], p["rid"]).alias("b")))
 
-    return met.select(F.inline(F.flatten(F.transform("probes", near)))).distinct()
+def links(docs: DataFrame) -> DataFrame:
+    """(rid, least, links) of the lines with another line within EDITS edits: the first place (doc_id, row, pos) where one stands, and how many there are.
 
+    Lines are compared inside the cells and counted there, so no row is made for a pair. Two lines that meet under several keys
+    are compared under the least of them only: each line brings all keys it has.
+    """
+    met = candidates(docs)
+    wanted = work_table(met.select("rid").distinct(), "wanted")
+    texts = work_table(exploded(docs).join(checked_broadcast(wanted), "rid").groupBy("rid").agg(
+        F.min("line").alias("line"), F.min("chars").alias("chars"), F.min(F.struct("doc_id", "row", "pos")).alias("first")), "texts")
+    keys = key_rows(texts).groupBy("rid").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("own"))
+    lines = work_table(texts.join(keys, "rid").withColumn("mask", mask(F.col("line"))), "compared")
+    members = met.join(lines, "rid").withColumn("before", F.filter("own", lambda k: k < F.col("key"))).drop("own")
+    side = F.ceil(F.greatest(F.count(F.lit(1)) / CELL, F.sum("chars") / CELL_CHARS))
 
-def links(docs: DataFrame) -> DataFrame:
-    """(a, b) of all different lines within EDITS edits."""
-    pairs = work_table(candidate_pairs(docs), "pairs")
-    wanted = work_table(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "wanted")
-    texts = work_table(exploded(docs).select("rid", "line").join(checked_broadcast(wanted), "rid").groupBy("rid").agg(F.min("line").alias("line")), "texts")
-    both = pairs.join(texts.select(F.col("rid").alias("a"), F.col("line").alias("a_line")), "a").join(
-        texts.select(F.col("rid").alias("b"), F.col("line").alias("b_line")), "b")
-    return work_table(both.where(within(F.col("a_line"), F.col("b_line"))).select("a", "b"), "links")
+    def linked(r: Column, p: Column) -> Column:
+        return F.when(close(r, p) & ~F.arrays_overlap(r["before"], p["keys"]), within(r["line"], p["line"])).otherwise(False)
+
+    def verdict(line: Column, hits: Column) -> Column:
+        return F.struct(line["rid"].alias("rid"), F.array_min(F.transform(hits, lambda x: x["first"])).alias("least"), F.size(hits).cast("long").alias("links"))
+
+    # lines of one length meet twice, once in either role; a longer line only probes, so the shorter one looks for it as well
+    by_probe = F.transform("probes", lambda p: verdict(p, F.filter("index", lambda r: linked(r, p))))
+    by_index = F.transform("index", lambda r: verdict(r, F.filter("probes", lambda p: (p["chars"] > r["chars"]) & linked(r, p))))
+    found = cells(work_table(members, "compared-members"), side).select(F.inline(F.filter(F.concat(by_probe, by_index), lambda v: v["links"] > 0)))
+    return work_table(found.groupBy("rid").agg(F.min("least").alias("least"), F.sum("links").alias("links")), "links")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, text without its repeated lines, n_lines, n_removed, n_links (lines linked to the document's lines), and ``source``, the row as it came."""
     lines = exploded(docs)
     nodes = work_table(lines.groupBy("rid").agg(F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("times")), "lines")
-    found = links(docs)
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = both.join(nodes.select(F.col("rid").alias("b"), "first"), "b").groupBy(F.col("a").alias("rid")).agg(
-        F.min("first").alias("least"), F.count(F.lit(1)).alias("links"))
-    judged = nodes.join(linked, "rid", "left").select(
+    judged = nodes.join(links(docs), "rid", "left").select(
         "rid", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("least") < F.col("first"), F.lit(False)).alias("late"), "times")
     concerned = work_table(judged.where("links > 0 OR times > 1").select("rid", "first", "links", "late"), "verdicts")
     hits = lines.select("doc_id", "row", "pos", "rid").join(checked_broadcast(concerned), "rid")

@@ -564,6 +564,37 @@ def test_line_dedup_of_short_lines(spark):
     assert not any(i >= 100 and t.strip() for i, t in rows if i in left) and 0 in left
 
 
+def test_line_links_in_cells(spark, monkeypatch):
+    """Verdicts and numbers of links against brute force: a group of near copies in several cells, lines of 400 code points and more, repeated lines."""
+    monkeypatch.setattr(lines, "CELL", 3)
+    rng = random.Random(12)
+
+    def edited(line, n):
+        line = list(line)
+        for _ in range(n):
+            at = rng.randrange(len(line))
+            line[at : at + rng.randint(0, 1)] = rng.choice([[], ["q"], ["\u00e9"]])
+        return "".join(line)
+
+    base, long = words(rng, 9), words(rng, 90)
+    assert len(long) > 400
+    pool = [base, *(edited(base, rng.randint(1, 2)) for _ in range(24)), long, *(edited(long, rng.randint(1, 3)) for _ in range(4)), *(words(rng, 6) for _ in range(12))]
+    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 5)))) for i in range(40)]
+    places = [((i, p), x) for i, t in rows for p, x in enumerate(t.split("\n"))]
+    first = {}
+    for place, x in places:
+        first.setdefault(x, place)
+    pairs = spark.createDataFrame([(a, b) for a in first for b in first if a != b and abs(len(a) - len(b)) <= 2], "a string, b string")
+    near = {(r["a"], r["b"]) for r in pairs.where(F.levenshtein("a", "b") <= 2).collect()}
+    linked = {a: [b for x, b in near if x == a] for a in first}
+    assert sum(len(a) > 400 for a, _ in near) and max(map(len, linked.values())) > 10
+    got = by_id(lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    for i, t in rows:
+        mine = t.split("\n")
+        kept = [x for p, x in enumerate(mine) if first[x] == (i, p) and not any(first[y] < first[x] for y in linked[x])]
+        assert got[i]["text"] == "\n".join(kept) and got[i]["n_links"] == sum(len(linked[x]) for x in mine)
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(8)
     rows, labels = [], []
