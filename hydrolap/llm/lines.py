@@ -28,8 +28,8 @@ from .common import WORD_PATTERN, checked_broadcast, id_text, work_table
 
 EDITS = 2
 MIN_CHARS = 16
-CELL = 512  # lines of either kind in a cell
-CELL_CHARS = 1 << 22  # and their code points, on average
+CELL = 512  # lines of either kind in a cell, by their masks
+TEXT_CELL, CELL_CHARS = 128, 1 << 22  # the same with texts, and their code points on average
 SYMBOLS = " etaonirshdlcumwfgypbvk.,"  # one bit of the mask each
 WORD = 32  # bits of the band's word
 
@@ -74,7 +74,8 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     """Whether two lines are at most ``edits`` apart: the bit-vector algorithm of Hyyrö (2003) on a diagonal band.
 
     ``long`` has at least as many characters as ``short``. The highest bit of a word stands for the lowest row of the band, each
-    column moves the band one row on. Words have 32 bits inside a 64-bit integer, so sums cannot overflow.
+    column moves the band one row on. Words have 32 bits inside a 64-bit integer, so sums cannot overflow. What both lines begin or
+    end with is cut off first, which does not change the distance.
     """
     full = (1 << WORD) - 1
     top = WORD - 1
@@ -114,9 +115,23 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
         distance = F.aggregate(F.sequence(F.lit(0), m - 1), start, column, lambda s: s["d"])
         return F.when(n - m > edits, F.lit(False)).when(m == 0, F.lit(True)).otherwise(distance <= edits)
 
+    def cut(pair: Column) -> Column:
+        """The lines reversed, without what both begin with; done twice they are the right way round and lack what both end with, too."""
+        at = same_start(pair["long"], pair["short"])
+        return F.struct(*(F.reverse(F.substring(pair[c], at + 1, F.length(pair[c]))).alias(c) for c in ("long", "short")))
+
     a_long = F.length(a) >= F.length(b)
-    pair = F.struct(F.split(F.when(a_long, a).otherwise(b), "").alias("long"), F.split(F.when(a_long, b).otherwise(a), "").alias("short"))
-    return F.get(F.transform(F.array(pair), compare), F.lit(0))
+    pair = F.struct(F.when(a_long, a).otherwise(b).alias("long"), F.when(a_long, b).otherwise(a).alias("short"))
+    middle = F.transform(F.transform(F.array(pair), cut), cut)
+    return F.get(F.transform(F.transform(middle, lambda x: F.struct(F.split(x["long"], "").alias("long"), F.split(x["short"], "").alias("short"))), compare), F.lit(0))
+
+
+def same_start(a: Column, b: Column) -> Column:
+    """How many code points two lines have in common at their start, by halving steps."""
+    n = F.least(F.length(a), F.length(b))
+    steps = F.transform(F.sequence(F.floor(F.log2(n + 1)).cast("int"), F.lit(0)), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= n) & (F.substring(a, at + 1, step) == F.substring(b, at + 1, step)), at + step).otherwise(at))
 
 
 def close(r: Column, p: Column) -> Column:
@@ -152,8 +167,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     rows = key_rows(exploded(docs).where(F.col("chars") >= MIN_CHARS))
     met = rows.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("indexed").alias("indexed"))
     shared = work_table(met.where("low < high AND indexed").select("key"), "shared-keys")
-    members = rows.join(checked_broadcast(shared), "key").groupBy("key", "rid").agg(F.max("indexed").alias("indexed"), F.min("line").alias("line"))
-    members = work_table(members.select("key", "rid", "indexed", F.length("line").alias("chars"), mask(F.col("line")).alias("mask")), "members")
+    members = rows.join(checked_broadcast(shared), "key").select("key", "rid", "indexed", "chars", mask(F.col("line")).alias("mask"))
+    members = work_table(members.groupBy("key", "rid").agg(*(f(c).alias(c) for f, c in ((F.max, "indexed"), (F.min, "chars"), (F.min, "mask")))), "members")
     probing = F.filter("probes", lambda p: F.exists("index", lambda r: close(r, p)))
     indexed = F.filter("index", lambda r: F.exists("probes", lambda p: close(r, p)))
     found = cells(members, F.ceil(F.count(F.lit(1)) / CELL)).select("key", F.explode(F.concat(probing, indexed)).alias("line"))
@@ -173,7 +188,7 @@ def links(docs: DataFrame) -> DataFrame:
     keys = key_rows(texts).groupBy("rid").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("own"))
     lines = work_table(texts.join(keys, "rid").withColumn("mask", mask(F.col("line"))), "compared")
     members = met.join(lines, "rid").withColumn("before", F.filter("own", lambda k: k < F.col("key"))).drop("own")
-    side = F.ceil(F.greatest(F.count(F.lit(1)) / CELL, F.sum("chars") / CELL_CHARS))
+    side = F.ceil(F.greatest(F.count(F.lit(1)) / TEXT_CELL, F.sum("chars") / CELL_CHARS))
 
     def linked(r: Column, p: Column) -> Column:
         return F.when(close(r, p) & ~F.arrays_overlap(r["before"], p["keys"]), within(r["line"], p["line"])).otherwise(False)
@@ -191,11 +206,13 @@ def links(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, text without its repeated lines, n_lines, n_removed, n_links (lines linked to the document's lines), and ``source``, the row as it came."""
     lines = exploded(docs)
-    nodes = work_table(lines.groupBy("rid").agg(F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("times")), "lines")
-    judged = nodes.join(links(docs), "rid", "left").select(
-        "rid", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("least") < F.col("first"), F.lit(False)).alias("late"), "times")
-    concerned = work_table(judged.where("links > 0 OR times > 1").select("rid", "first", "links", "late"), "verdicts")
-    hits = lines.select("doc_id", "row", "pos", "rid").join(checked_broadcast(concerned), "rid")
+    repeated = lines.groupBy("rid").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("rid")
+    linked = links(docs)
+    concerned = work_table(repeated.unionByName(linked.select("rid")).distinct(), "concerned")
+    places = work_table(lines.select("doc_id", "row", "pos", "rid").join(checked_broadcast(concerned), "rid"), "places")
+    judged = places.groupBy("rid").agg(F.min(F.struct("doc_id", "row", "pos")).alias("first")).join(linked, "rid", "left").select(
+        "rid", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("least") < F.col("first"), F.lit(False)).alias("late"))
+    hits = places.join(checked_broadcast(work_table(judged, "verdicts")), "rid")
     gone = F.col("late") | ~F.struct("doc_id", "row", "pos").eqNullSafe(F.col("first"))
     by_row = hits.groupBy("row", "pos").agg(F.max(gone).alias("gone"), F.max("links").alias("links")).groupBy("row").agg(
         F.collect_list(F.when(F.col("gone"), F.col("pos"))).alias("removed"), F.sum("links").alias("n_links"))

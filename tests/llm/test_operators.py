@@ -567,6 +567,7 @@ def test_line_dedup_of_short_lines(spark):
 def test_line_links_in_cells(spark, monkeypatch):
     """Verdicts and numbers of links against brute force: a group of near copies in several cells, lines of 400 code points and more, repeated lines."""
     monkeypatch.setattr(lines, "CELL", 3)
+    monkeypatch.setattr(lines, "TEXT_CELL", 2)
     rng = random.Random(12)
 
     def edited(line, n):
