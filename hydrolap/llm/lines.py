@@ -162,32 +162,30 @@ def cells(members: DataFrame, side: Column) -> DataFrame:
     return met.where((F.size("index") > 0) & (F.size("probes") > 0)).select("key", "index", "probes")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(key, rid, indexed): lines that meet one they are ``close`` to under the key. One row per line and key, none per pair."""
-    rows = key_rows(exploded(docs).where(F.col("chars") >= MIN_CHARS))
-    met = rows.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("indexed").alias("indexed"))
-    shared = work_table(met.where("low < high AND indexed").select("key"), "shared-keys")
-    members = rows.join(checked_broadcast(shared), "key").select("key", "rid", "indexed", "chars", mask(F.col("line")).alias("mask"))
-    members = work_table(members.groupBy("key", "rid").agg(*(f(c).alias(c) for f, c in ((F.max, "indexed"), (F.min, "chars"), (F.min, "mask")))), "members")
-    probing = F.filter("probes", lambda p: F.exists("index", lambda r: close(r, p)))
-    indexed = F.filter("index", lambda r: F.exists("probes", lambda p: close(r, p)))
-    found = cells(members, F.ceil(F.count(F.lit(1)) / CELL)).select("key", F.explode(F.concat(probing, indexed)).alias("line"))
-    return work_table(found.select("key", "line.rid", "line.indexed").distinct(), "candidates")
-
-
 def links(docs: DataFrame) -> DataFrame:
     """(rid, least, links) of the lines with another line within EDITS edits: the first place (doc_id, row, pos) where one stands, and how many there are.
 
     Lines are compared inside the cells and counted there, so no row is made for a pair. Two lines that meet under several keys
-    are compared under the least of them only: each line brings all keys it has.
+    are compared under the least of them only: each line brings all keys it has. Texts join in for lines with a shared key, and
+    go into cells for those that are ``close`` to another one under it.
     """
-    met = candidates(docs)
-    wanted = work_table(met.select("rid").distinct(), "wanted")
-    texts = work_table(exploded(docs).join(checked_broadcast(wanted), "rid").groupBy("rid").agg(
-        F.min("line").alias("line"), F.min("chars").alias("chars"), F.min(F.struct("doc_id", "row", "pos")).alias("first")), "texts")
-    keys = key_rows(texts).groupBy("rid").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("own"))
-    lines = work_table(texts.join(keys, "rid").withColumn("mask", mask(F.col("line"))), "compared")
-    members = met.join(lines, "rid").withColumn("before", F.filter("own", lambda k: k < F.col("key"))).drop("own")
+    rows = work_table(key_rows(exploded(docs).where(F.col("chars") >= MIN_CHARS)).select("key", "rid", "indexed"), "key-rows")
+    met = rows.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("indexed").alias("indexed"))
+    shared = work_table(met.where("low < high AND indexed").select("key"), "shared-keys")
+    sharing = work_table(rows.join(checked_broadcast(shared), "key").groupBy("key", "rid").agg(F.max("indexed").alias("indexed")), "sharing")
+    wanted = work_table(sharing.select("rid").distinct(), "wanted")
+    texts = exploded(docs).join(checked_broadcast(wanted), "rid").groupBy("rid").agg(
+        F.min("line").alias("line"), F.min("chars").alias("chars"), F.min(F.struct("doc_id", "row", "pos")).alias("first"))
+    texts = work_table(texts.withColumn("mask", mask(F.col("line"))), "texts")
+    members = work_table(sharing.join(texts.select("rid", "chars", "mask"), "rid"), "members")
+    probing = F.filter("probes", lambda p: F.exists("index", lambda r: close(r, p)))
+    indexed = F.filter("index", lambda r: F.exists("probes", lambda p: close(r, p)))
+    near = cells(members, F.ceil(F.count(F.lit(1)) / CELL)).select("key", F.explode(F.concat(probing, indexed)).alias("line"))
+    near = work_table(near.select("key", "line.rid", "line.indexed").distinct(), "candidates")
+
+    compared = texts.join(near.select("rid").distinct(), "rid", "left_semi")
+    keys = key_rows(compared).groupBy("rid").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("own"))
+    members = near.join(texts, "rid").join(keys, "rid").withColumn("before", F.filter("own", lambda k: k < F.col("key"))).drop("own")
     side = F.ceil(F.greatest(F.count(F.lit(1)) / TEXT_CELL, F.sum("chars") / CELL_CHARS))
 
     def linked(r: Column, p: Column) -> Column:
@@ -196,11 +194,17 @@ def links(docs: DataFrame) -> DataFrame:
     def verdict(line: Column, hits: Column) -> Column:
         return F.struct(line["rid"].alias("rid"), F.array_min(F.transform(hits, lambda x: x["first"])).alias("least"), F.size(hits).cast("long").alias("links"))
 
-    # lines of one length meet twice, once in either role; a longer line only probes, so the shorter one looks for it as well
-    by_probe = F.transform("probes", lambda p: verdict(p, F.filter("index", lambda r: linked(r, p))))
-    by_index = F.transform("index", lambda r: verdict(r, F.filter("probes", lambda p: (p["chars"] > r["chars"]) & linked(r, p))))
-    found = cells(work_table(members, "compared-members"), side).select(F.inline(F.filter(F.concat(by_probe, by_index), lambda v: v["links"] > 0)))
-    return work_table(found.groupBy("rid").agg(F.min("least").alias("least"), F.sum("links").alias("links")), "links")
+    # a probing line with the indexed ones that are linked to it
+    hits = F.transform("probes", lambda p: F.struct(p.alias("line"), F.filter("index", lambda r: linked(r, p)).alias("hits")))
+    judged = cells(work_table(members, "compared-members"), side).select("index", F.filter(hits, lambda h: F.size(h["hits"]) > 0).alias("found"))
+    judged = work_table(judged.where(F.size("found") > 0).select(
+        F.transform("index", lambda r: F.struct(r["rid"].alias("rid"), r["chars"].alias("chars"))).alias("index"),
+        F.transform("found", lambda h: verdict(h["line"], h["hits"])).alias("by_probe"),
+        F.transform("found", lambda h: F.struct(h["line"]["chars"].alias("chars"), h["line"]["first"].alias("first"), F.transform(h["hits"], lambda r: r["rid"]).alias("rids"))).alias("found")), "judged")
+    # lines of one length meet twice, once in either role; a longer line only probes, so the shorter one takes its verdict from there
+    by_index = F.transform("index", lambda r: verdict(r, F.filter("found", lambda h: (h["chars"] > r["chars"]) & F.array_contains(h["rids"], r["rid"]))))
+    verdicts = judged.select(F.inline(F.filter(F.concat("by_probe", by_index), lambda v: v["links"] > 0)))
+    return work_table(verdicts.groupBy("rid").agg(F.min("least").alias("least"), F.sum("links").alias("links")), "links")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
