@@ -264,10 +264,27 @@ def subtrees(counts: DataFrame) -> DataFrame:
     return near.mapInArrow(run, "top boolean, key long, n long, numbers binary")
 
 
+def summed(parts: DataFrame) -> DataFrame:
+    """The parts (key, n, numbers) of the rows of depth TOP, one row a key: at most 256 ** (TOP + 1), however many parts there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        keys, n, numbers = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 8))
+        for batch in batches:
+            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            n = np.concatenate([n, batch.column(1).to_numpy()])
+            numbers = np.concatenate([numbers, unpacked(batch.column(2), "<f8")])
+            order = np.argsort(keys, kind="stable")
+            keys, n, numbers = merged(keys[order], n[order], numbers[order])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), packed(numbers)], names=["key", "n", "numbers"])
+
+    # by the whole key, so the parts of a context's bytes lie apart, and in a fixed order, as they are sums of doubles
+    return parts.repartition("key").sortWithinPartitions("key", "n", "numbers").mapInArrow(run, "key long, n long, numbers binary")
+
+
 def string_values(counts: DataFrame) -> DataFrame:
     """(key, value, times): log10 probability of the last byte of every byte string after the bytes before it."""
     found = work_table(subtrees(counts), "subtrees")
-    rows = found.where("top").select("key", "n", "numbers").toArrow()
+    rows = work_table(summed(found.where("top").select("key", "n", "numbers")), "top").toArrow()
     keys, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
     order = np.argsort(keys, kind="stable")
     keys, n, below = merged(keys[order], n[order], unpacked(rows.column("numbers"), "<f8")[order])
