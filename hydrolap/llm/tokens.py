@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import functools
 import os
 import re
@@ -20,9 +21,9 @@ CHUNK = re.compile(f"[{BLANK}]+(?![^{BLANK}])| ?[^{BLANK}]+|[{BLANK}]+")
 WHITE = re.compile(r"\s")
 
 LETTERS = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
-MARKS = frozenset(",.!?;:")
+LETTERS_MARKS = re.compile(f"({LETTERS.pattern})([!-&(-/:-@[-`{{-~]+)")  # no apostrophe: the split pattern ties some letters to it
 
-MEMO_ENTRIES = 500_000  # a generation
+MEMO_ENTRIES = 200_000  # a generation
 
 
 def tokenizer_json(path: str) -> str:
@@ -51,8 +52,34 @@ class Memo(dict):
         self[key] = value
 
 
+class SeenTwice(Memo):
+    """Keeps what is asked for twice. What was asked for once waits in two generations of a quarter of the entries, so rare keys, of
+    which texts have most, drive out no frequent ones and hold little memory."""
+
+    def __init__(self, work, entries: int):
+        super().__init__(work, entries)
+        self.once, self.once_older = {}, {}
+
+    def __missing__(self, key):
+        for held in (self.older, self.once, self.once_older):
+            value = held.get(key)
+            if value is not None:
+                self.put(key, value)
+                return value
+        value = self.work(key)
+        if len(self.once) >= self.entries // 4:
+            self.once, self.once_older = {}, self.once
+        self.once[key] = value
+        return value
+
+
+@functools.lru_cache(maxsize=64)
+def packer(n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}I")
+
+
 def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return packer(len(ids)).pack(*ids)
 
 
 class ChunkEncoder:
@@ -74,35 +101,34 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # fixed values: bytes that stand for themselves
         hidden = [b for b in range(256) if b not in visible]
-        self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
-        self.bare = Memo(self.chunk, MEMO_ENTRIES)
-        self.after_blank = Memo(self.part, MEMO_ENTRIES)
+        byte_names = {b: 256 + i for i, b in enumerate(hidden)}
+        self.byte_names = "".join(chr(byte_names.get(b, b)) for b in range(256))
+        self.bare = SeenTwice(self.chunk, MEMO_ENTRIES)
+        self.after_blank = SeenTwice(self.part, MEMO_ENTRIES)
 
     def word(self, text: str) -> bytes:
         """A run of letters, with the blank before it or not, is one word of the split: the library's model takes it as it is."""
-        named = (text if text.isascii() else text.encode().decode("latin-1")).translate(self.byte_names)
+        named, _ = codecs.charmap_decode(text.encode(), "strict", self.byte_names)
         return packed([t.id for t in self.model.tokenize(named)])
 
     def chunk(self, text: str) -> bytes:
         if LETTERS.fullmatch(text):
             return self.word(text)
-        if text[-1] in MARKS and LETTERS.fullmatch(text[:-1]):
-            return self.bare[text[:-1]] + self.bare[text[-1]]
+        if found := LETTERS_MARKS.fullmatch(text):
+            return self.bare[found[1]] + self.bare[found[2]]
         return self.whole(text)
 
     def part(self, text: str) -> bytes | None:
         """What stands behind a blank, or a line end and what follows it; None if white space is not single blanks and line ends."""
+        if LETTERS.fullmatch(text):
+            return self.word(" " + text)
+        if found := LETTERS_MARKS.fullmatch(text):
+            return self.after_blank[found[1]] + self.bare[found[2]]
         if WHITE.search(text, 1) or text in ("", "\n"):
             return None
         if text[0] == "\n":
             return self.bare["\n"] + self.bare[text[1:]]
-        if text[0].isspace():
-            return None
-        if LETTERS.fullmatch(text):
-            return self.word(" " + text)
-        if text[-1] in MARKS and LETTERS.fullmatch(text[:-1]):
-            return self.after_blank[text[:-1]] + self.bare[text[-1]]
-        return self.whole(" " + text)
+        return None if text[0].isspace() else self.whole(" " + text)
 
     def whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -111,10 +137,13 @@ class ChunkEncoder:
         if any(s in text for s in self.special):
             return self.whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")
-        found = None if not first or WHITE.search(first) else [self.bare[first], *map(self.after_blank.__getitem__, rest)]
-        if found is None or None in found:  # white space is uneven
-            return b"".join(map(self.bare.__getitem__, CHUNK.findall(text)))
-        return b"".join(found)
+        if first and not WHITE.search(first):
+            found = [self.bare[first], *map(self.after_blank.__getitem__, rest)]
+            try:
+                return b"".join(found)
+            except TypeError:  # None: white space is uneven
+                pass
+        return b"".join(map(self.bare.__getitem__, CHUNK.findall(text)))
 
 
 @functools.lru_cache(maxsize=2)

@@ -104,6 +104,26 @@ def test_encoder_with_full_memos_and_uneven_white_space(monkeypatch):
     assert max(len(encoder.bare), len(encoder.after_blank), len(encoder.after_blank.older)) <= 5
 
 
+def test_encoder_keeps_frequent_words_only(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 80)
+    encoder = tokens.ChunkEncoder(tokens.tokenizer_json(public_tokenizers.path("byte_bpe_50k.json")))
+    frequent = [f"word{chr(97 + i)}" for i in range(20)]
+    for k in range(30):
+        rare = ["rare" + chr(97 + k % 26) * (1 + k // 26) + chr(97 + i) for i in range(15)]
+        text = " ".join(["a", *frequent, *rare])
+        assert encoder.encode(text) == encoder.whole(text)
+    for memo in (encoder.bare, encoder.after_blank):
+        assert len(memo) + len(memo.older) <= len(frequent) + 1
+        assert len(memo.once) + len(memo.once_older) <= 2 * 80 // 4
+    assert set(frequent) <= set(encoder.after_blank)
+
+
+@pytest.mark.parametrize("text", ["one&&& two%%%, three*** é$$ it's (x) a'b!! don't,", "a&&&'s b!'ll", "x<|> y|>z <|endoftext|>&&& q", "\na!! b\n\nc&& d"])
+def test_encoder_cuts_marks_behind_letters(text):
+    encoder = tokens.ChunkEncoder(tokens.tokenizer_json(public_tokenizers.path("byte_bpe_50k.json")))
+    assert encoder.encode(text) == encoder.whole(text)
+
+
 def test_codec_with_full_memos(monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_ENTRIES", 5)
     definition = bpe.tokenizer_json(public_tokenizers.path("word_bpe_49k.json"))
