@@ -208,6 +208,19 @@ def digests(docs: DataFrame, size: int) -> DataFrame:
 
 
 ROW = "y long, x long, part long"
+HASH_BITS = 40  # of a signature that holds the number of its part
+
+
+def with_part(signature: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures that hold the number of their part (equal ones have equal parts) and zeros; numbers that need more bits stay beside
+    their signature, plus one. The number stands in the high bytes, next to the zeros: together they take little room in a shuffle."""
+    band, no = part >> 32, part & 0xFFFFFFFF
+    fits = (band < 1 << 7) & (no < 1 << 16)
+    return np.where(fits, signature & (1 << HASH_BITS) - 1 | (band << 16 | no) << HASH_BITS, signature), np.where(fits, 0, part + 1)
+
+
+def part_of(signature: np.ndarray, beside: np.ndarray) -> np.ndarray:
+    return np.where(beside > 0, beside - 1, signature >> HASH_BITS + 16 << 32 | signature >> HASH_BITS & 0xFFFF)
 
 
 def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -224,7 +237,7 @@ def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
             if not found:
                 continue
             sig = np.concatenate([x for _, x, _ in found]).view(np.int64)
-            part = np.concatenate([x for _, _, x in found])
+            sig, part = with_part(sig, np.concatenate([x for _, _, x in found]))
             node = np.repeat(np.asarray([x for x, _, _ in found], np.int64), [len(x) for _, x, _ in found])
             every = sig, node, part
             order = np.argsort(sig, kind="stable")
@@ -243,8 +256,9 @@ def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
         for batch in batches:
             y, x, part = (batch.column(c).to_numpy() for c in range(3))
             known = part < 0
-            out = [(y[known], x[known], ~part[known])]
-            s, node, p = x[~known], y[~known], part[~known]
+            out = [(y[known], x[known], part_of(y[known], ~part[known]))]
+            s, node = x[~known], y[~known]
+            p = part_of(s, part[~known])
             if len(s):
                 if held is not None:
                     s, node, p = (np.concatenate([[h], v]) for h, v in zip(held[:3], (s, node, p)))

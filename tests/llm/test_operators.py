@@ -516,6 +516,28 @@ def test_similar_sets_share_signatures_in_enough_parts(percent):
             assert any((shared >> 32 == no).sum() >= n for no, n in needed.items())
 
 
+def test_signatures_hold_their_parts(spark, monkeypatch):
+    part = np.asarray([0, 5, 3 << 32 | 7, 127 << 32 | 65535, 128 << 32, 1 << 32 | 65536, 900 << 32 | 70000], np.int64)
+    signature = np.asarray([-1, 1, -(1 << 63), (1 << 63) - 1, -5, 12345678901, 7], np.int64)
+    held, beside = partenum.with_part(signature, part)
+    assert partenum.part_of(held, beside).tolist() == part.tolist()
+    assert (beside[:4] == 0).all() and ((held[:4] ^ signature[:4]) << 64 - partenum.HASH_BITS == 0).all() and (held[4:] == signature[4:]).all()
+    rows = [(i, words(random.Random(i // 2), 60) + f" w{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = partenum.shingle_sets([t.encode().lower() for _, t in rows], 3)
+    want = Counter()
+    for s in sets:
+        sig, place = partenum.signatures(s, 70)
+        want.update({(int(x), int(p)) for x, p in zip(sig.view(np.int64), place)})
+    want = sum(n for n in want.values() if n > 1)
+    rows_of = lambda: partenum.shared_signatures(docs, 3, 70).distinct().collect()
+    narrow = rows_of()
+    monkeypatch.setattr(partenum, "with_part", lambda signature, part: (signature, part + 1))
+    wide = rows_of()
+    assert len(narrow) == len(wide) == want
+    assert sorted((r["node"], r["part"]) for r in narrow) == sorted((r["node"], r["part"]) for r in wide)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     assert {r["node"]: r["label"] for r in components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
