@@ -14,7 +14,9 @@ are encoded each; an empty table gives an empty result; further columns are igno
 
 from __future__ import annotations
 
+import codecs
 import functools
+import gc
 import hashlib
 import json
 import re
@@ -39,7 +41,8 @@ class TrieBpe:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {pair: i for i, pair in enumerate(pairs)}
         self.longest = max(len(t) for t in self.vocab)
-        self._whole: dict[str, bool] = {}
+        self._whole: dict[str, bool | None] = dict.fromkeys(self.vocab)  # None: not asked for yet
+        self.size = functools.cache(lambda token: len(self.symbols(token)))  # of tokens of the vocabulary only
         self._pair = Memo(lambda pair: self.merge(self.symbols(pair[0]) + self.symbols(pair[1])) == [*pair], MEMO_ENTRIES)
 
     def symbols(self, token: str) -> list[str]:
@@ -60,17 +63,18 @@ class TrieBpe:
 
     def is_token(self, text: str) -> bool:
         """In the vocabulary and the encoding of its own string."""
-        known = self._whole.get(text)
+        known = self._whole.get(text, False)
         if known is None:
-            known = self._whole[text] = text in self.vocab and self.merge(self.symbols(text)) == [text]
+            known = self._whole[text] = self.merge(self.symbols(text)) == [text]
         return known
 
     def last_token(self, path: str, mark: str, lasts: list[str]) -> str:
         """Last token of the prefix ``path`` (closed by ``mark``); ``lasts[d]`` is that of its first d symbols."""
-        n, vocab = len(path), self.vocab
+        n, whole, closed = len(path), self._whole, path + mark
         for k in range(max(0, n - self.longest), n):
-            token = path[k:] + mark if mark else path[k:]
-            if token in vocab and self.is_token(token) and (k == 0 or self._pair[lasts[k], token]):
+            token = closed[k:]
+            known = whole.get(token, False)
+            if known is not False and (known or self.is_token(token)) and (k == 0 or self._pair[lasts[k], token]):
                 return token
         raise ValueError(f"no token ends {path!r}")
 
@@ -79,7 +83,10 @@ class TrieBpe:
         for word in words:
             node = root
             for c in word[:-1]:
-                node = node.setdefault(c, {})
+                below = node.get(c)
+                if below is None:
+                    below = node[c] = {}
+                node = below
             node.setdefault(word[-1] + self.end, True) if self.end else node.setdefault(word[-1], {}).setdefault("", True)
         out: dict[str, list[str]] = {}
         lasts = [""]
@@ -95,10 +102,10 @@ class TrieBpe:
                     continue
                 word = path + (edge[: -len(self.end)] if self.end else "")
                 token = self.last_token(word, self.end, lasts) if self.end else lasts[-1]
-                tokens, at = [token], len(word) - len(self.symbols(token))
+                tokens, at = [token], len(word) - self.size(token)
                 while at > 0:
                     tokens.append(lasts[at])
-                    at -= len(self.symbols(lasts[at]))
+                    at -= self.size(lasts[at])
                 out[word] = tokens[::-1]
         return out
 
@@ -117,13 +124,14 @@ class TextCodec:
         self.names = {i: t for t, i in (*self.bpe.vocab.items(), *self.special.items())}
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # fixed values: bytes that stand for themselves
         hidden = [b for b in range(256) if b not in visible]
-        self.byte_names = {b: 256 + i for i, b in enumerate(hidden)}
+        byte_names = {b: 256 + i for i, b in enumerate(hidden)}
+        self.byte_names = "".join(chr(byte_names.get(b, b)) for b in range(256))
         self.words = Memo(lambda word: self.encoded([word])[word], MEMO_ENTRIES)  # number of ids, ids as text, decoded text
         self.chunks = Memo(lambda chunk: self.joined(map(self.words.__getitem__, self.words_of(chunk))), MEMO_ENTRIES)
 
     def bytes_of(self, word: str) -> str:
         """A character for each byte, as byte-level tokenizers write them."""
-        return word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_names)
+        return word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.byte_names)[0]
 
     def words_of(self, chunk: str) -> list[str]:
         """Added tokens stay as they are; the rest is normalized and split into byte-level words."""
@@ -142,14 +150,23 @@ class TextCodec:
 
     def encoded(self, words: Iterable[str]) -> dict[str, tuple[int, str, str]]:
         """One trie over ``words``."""
-        known = self.bpe.encode_words({w for w in words if w not in self.special})
+        collecting = gc.isenabled()
+        gc.disable()  # a trie is many objects and no cycles: the collector would go through all of them again and again
+        try:
+            known = self.bpe.encode_words({w for w in words if w not in self.special})
+        finally:
+            if collecting:
+                gc.enable()
         out = {w: [self.bpe.vocab[t] for t in tokens] for w, tokens in known.items()} | {w: [self.special[w]] for w in words if w in self.special}
         return {w: (len(ids), " ".join(map(str, ids)), self.decode(ids)) for w, ids in out.items()}
 
     @staticmethod
     def joined(parts: Iterable[tuple[int, str, str]]) -> tuple[int, str, str]:
         found = [x for x in parts if x[0]]
-        return found[0] if len(found) == 1 else (sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found]))
+        if len(found) < 2:
+            return found[0] if found else (0, "", "")
+        n, ids, texts = zip(*found)
+        return sum(n), " ".join(ids), " ".join(texts)
 
     def learn(self, chunks: set[str]) -> None:
         """Words that no memo holds are encoded together, so that they share a trie."""

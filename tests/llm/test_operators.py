@@ -1,5 +1,6 @@
 """Each operator on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns, against plain Python."""
 
+import gc
 import hashlib
 import math
 import random
@@ -137,6 +138,18 @@ def test_codec_with_full_memos(monkeypatch):
         assert (n, ids, decoded) == (len(found), " ".join(map(str, found)), library.decode(found, skip_special_tokens=False))
 
 
+def test_codec_pauses_the_collector_for_a_trie(monkeypatch):
+    definition = bpe.tokenizer_json(WORD_BPE)
+    codec, library = bpe.TextCodec(definition), Tokenizer.from_str(definition)
+    seen, walk = [], codec.bpe.encode_words
+    monkeypatch.setattr(codec.bpe, "encode_words", lambda words: seen.append(gc.isenabled()) or walk(words))
+    text = "river&&& éÉß-haus don't été! x</w> <|endoftext|> 'S a</w>b ńŕ"
+    found = library.encode(text, add_special_tokens=False).ids
+    assert list(codec.digest([text, "", " \n"])) == [(len(found), " ".join(map(str, found)), library.decode(found, skip_special_tokens=False)), (0, "", ""), (0, "", "")]
+    assert seen and not any(seen) and gc.isenabled()
+    assert set(codec.bpe._whole) == set(codec.bpe.vocab)
+
+
 def test_length_limited_codes():
     rng = np.random.default_rng(2)
     for n, limit in ((1, 20), (2, 20), (300, 9), (5000, 13), (50_000, 20)):
