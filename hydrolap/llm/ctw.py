@@ -42,7 +42,8 @@ DEPTH = 5
 TOP = 2
 HOT_WORDS = 1 << 17
 HOT_STRINGS = 1 << 21
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
+OWNER_BITS = 15  # of the index of a text in its slice; 8 * (DEPTH + 1) more hold a byte string
 FLUSH = 500_000
 SUBTREE_ROWS = 1 << 18
 
@@ -56,23 +57,27 @@ def word_hash(word: bytes) -> int:
 
 def grams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(byte strings of DEPTH + 1 bytes as integers, index of the text) for every coded byte of every text."""
-    data = np.frombuffer(b"".join(b"\0" * DEPTH + raw + b"\0" for raw in raws), np.uint8)
+    data = bytes(DEPTH) + bytes(DEPTH + 1).join(raws) + bytes(9)
     n = np.fromiter((len(raw) + 1 for raw in raws), np.int64, len(raws))
     owner = np.repeat(np.arange(len(raws)), n)
     at = np.arange(len(owner)) + DEPTH * owner  # start of each string in ``data``
-    keys = np.zeros(len(at), U)
-    for k in range(DEPTH + 1):
-        keys = keys << U(8) | data[at + k]
-    return keys, owner
+    windows = np.ndarray(len(data) - 8, ">u8", data, strides=(1,)).astype(U)  # the eight bytes from each place on
+    return windows[at] >> U(8 * (7 - DEPTH)), owner
 
 
 def nearest_first(strings: np.ndarray) -> np.ndarray:
     """Byte strings with the context bytes turned round, so that sorting puts contexts with the same nearest bytes side by side."""
-    strings = strings.astype(np.int64)
-    out = np.zeros(len(strings), np.int64)
-    for k in range(1, DEPTH + 1):
-        out = out << 8 | strings >> 8 * k & 255
-    return out << 8 | strings & 255
+    strings = strings.astype(U)
+    turned = (strings >> U(8)).byteswap() >> U(8 * (8 - DEPTH))
+    return (turned << U(8) | strings & U(255)).astype(np.int64)
+
+
+def string_counts(strings: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct byte strings, how often each is in training texts (``learned`` for each of ``strings``) and in all."""
+    marked = np.sort(strings << 1 | learned)  # sorted as they are: far cheaper than an order to sort by
+    first = np.flatnonzero(np.diff(marked, prepend=-1))
+    times, marked = np.diff(first, append=len(marked)), marked[first]
+    return merged(marked >> 1, times * (marked & 1), times)
 
 
 def raw_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
@@ -82,7 +87,7 @@ def raw_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[b
             ids.append(doc_id.as_py())
             raws.append(text.as_py().encode().lower())  # bytes: A-Z only
             size += len(raws[-1])
-            if size > SLICE_BYTES:
+            if size > SLICE_BYTES or len(ids) == 1 << OWNER_BITS:
                 yield ids, raws
                 ids, raws, size = [], [], 0
     if ids:
@@ -95,7 +100,7 @@ def corpus_counts(docs: DataFrame, is_training: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         words: Counter = Counter()
-        keys, counts, documents = np.empty(0, np.int64), np.empty((0, 2), np.int64), 0
+        held, documents = (np.empty(0, np.int64),) * 3, 0
 
         def out(kind, k, n, times):
             return pa.RecordBatch.from_arrays(
@@ -113,16 +118,15 @@ def corpus_counts(docs: DataFrame, is_training: Column) -> DataFrame:
             if len(words) > FLUSH:
                 yield flush_words()
             strings, owner = grams(raws)
-            new, at = np.unique(nearest_first(strings), return_inverse=True)
-            n = np.stack([np.bincount(at, np.asarray(learned, float)[owner], len(new)), np.bincount(at, minlength=len(new))], 1).astype(np.int64)
-            keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.concatenate([counts, n])
-            counts = np.stack([np.bincount(at, counts[:, k], len(keys)) for k in range(2)], 1).astype(np.int64)
-            if len(keys) > 4 * FLUSH:
-                yield out(GRAM, keys, counts[:, 0], counts[:, 1])
-                keys, counts = np.empty(0, np.int64), np.empty((0, 2), np.int64)
+            new = string_counts(nearest_first(strings), np.asarray(learned, bool)[owner])
+            columns = [np.concatenate(c) for c in zip(held, new)]
+            order = np.argsort(columns[0], kind="stable")  # merges two sorted runs
+            held = merged(*(c[order] for c in columns))
+            if len(held[0]) > 4 * FLUSH:
+                yield out(GRAM, *held)
+                held = (np.empty(0, np.int64),) * 3
         yield flush_words()
-        yield out(GRAM, keys, counts[:, 0], counts[:, 1])
+        yield out(GRAM, *held)
         yield out(DOCUMENT, [0], [documents], [documents])
 
     rows = docs.select(F.coalesce(is_training, F.lit(False)).alias("training"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -311,32 +315,29 @@ def least_hot(values: DataFrame) -> int:
     return int(fitting[-1]) if len(fitting) else 1 << 62
 
 
-class HotStrings:
-    """Values of the frequent byte strings. Nearly all are found in a table of fixed size at the place of their hash, the rest among the sorted ones."""
-
-    SLOTS = 22
+def look_up(held: tuple[np.ndarray, np.ndarray], strings: np.ndarray) -> np.ndarray:
+    """Values of the frequent byte strings (sorted keys, values), not-a-number for strings that are not held."""
+    keys, values = held
+    if not len(keys):
+        return np.full(len(strings), np.nan)
+    at = np.minimum(np.searchsorted(keys, strings), len(keys) - 1)
+    return np.where(keys[at] == strings, values[at], np.nan)
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.slot_keys, self.slot_values = np.full(1 << self.SLOTS, -1, np.int64), np.zeros(1 << self.SLOTS)
-        place = self.place(keys)
-        self.slot_keys[place] = keys  # where two keys meet, both arrays keep the last one
-        self.slot_values[place] = values
 
-    def place(self, strings: np.ndarray) -> np.ndarray:
-        return (strings.astype(U) * U(0x9E3779B97F4A7C15) >> U(64 - self.SLOTS)).astype(np.int64)
+def text_scores(raws: list[bytes], held: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's sum of the values of its frequent byte strings, its number of other ones, and these, text after text.
 
-    def look_up(self, strings: np.ndarray) -> np.ndarray:
-        """Values, not-a-number for strings that are not held."""
-        place = self.place(strings)
-        out = self.slot_values[place]
-        rest = np.flatnonzero(self.slot_keys[place] != strings)
-        if not len(self.keys):
-            out[:] = np.nan
-        elif len(rest):
-            at = np.minimum(np.searchsorted(self.keys, strings[rest]), len(self.keys) - 1)
-            out[rest] = np.where(self.keys[at] == strings[rest], self.values[at], np.nan)
-        return out
+    Strings are sorted together with the index of their text: each different one is looked up once, and in order.
+    """
+    strings, owner = grams(raws)
+    marked = np.sort(nearest_first(strings) << OWNER_BITS | owner)
+    strings, owner = marked >> OWNER_BITS, marked & (1 << OWNER_BITS) - 1
+    first = np.flatnonzero(np.diff(strings, prepend=-1))
+    values = np.repeat(look_up(held, strings[first]), np.diff(first, append=len(strings)))
+    rare = np.isnan(values)
+    scores = np.bincount(owner, np.where(rare, 0, values), len(raws))
+    strings, owner = strings[rare], owner[rare]
+    return scores, np.bincount(owner, minlength=len(raws)), strings[np.argsort(owner, kind="stable")]
 
 
 class HotWords(dict):
@@ -363,15 +364,10 @@ def score_rows(docs: DataFrame, hot_strings: tuple[np.ndarray, np.ndarray], hot:
 
     def run(batches: Iterator[pa.RecordBatch]):
         held, counts = shared.value
-        cache, words = HotStrings(*held), HotWords(counts)
+        words = HotWords(counts)
         row = TaskContext.get().partitionId() << 40
         for ids, raws in raw_slices(batches):
-            strings, owner = grams(raws)
-            strings = nearest_first(strings)
-            values = cache.look_up(strings)
-            rare = np.isnan(values)
-            scores = np.bincount(owner, np.where(rare, 0, values), len(raws))
-            ends = np.cumsum(np.bincount(owner[rare], minlength=len(raws)))
+            scores, n_rare, rare = text_scores(raws, held)
             out = []
             for doc_id, raw, total in zip(ids, raws, scores):
                 found = raw.split()
@@ -386,7 +382,7 @@ def score_rows(docs: DataFrame, hot_strings: tuple[np.ndarray, np.ndarray], hot:
                         logs += n * value
                 out.append((row, doc_id, len(found) + 1, known, logs, float(total), rest, times))
                 row += 1
-            left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(strings[rare]))
+            left = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_rare)]), pa.int32()), pa.array(rare))
             yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*out), kinds)), left], names=[x.split()[0] for x in SCORED.split(", ")])
 
     return id_text(docs).mapInArrow(run, SCORED)

@@ -5,11 +5,14 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -387,6 +390,40 @@ def test_context_tree_holds_every_context(spark, monkeypatch, hot):
         assert math.isclose(got[i]["score"], tree.log10(ctw.grams([r])[0]).sum(), rel_tol=1e-5)
 
 
+def test_context_tree_tasks_hold_little_memory(spark, docs, monkeypatch):
+    """Two tasks share an executor with the JVM; what a task holds at once must not exceed a fraction of its memory."""
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    monkeypatch.setattr(ctw, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh\u00e9") for _ in range(6)) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(3000)]
+    keys = np.unique(ctw.nearest_first(ctw.grams([t.encode() for t in texts[:1500]])[0]))[::2]
+    count = ctw.corpus_counts(docs, F.lit(True))
+    score = ctw.score_rows(docs, (keys, -np.ones(len(keys))), {}, 1)
+    for run, first in ((count, [True] * len(texts)), (score, list(range(len(texts))))):
+        batch = pa.RecordBatch.from_arrays([pa.array(first), pa.array(texts)], names=["first", "text"])
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= len(texts) and peak < 150e6, peak
+
+
+def test_context_tree_slices_are_bounded_by_texts(monkeypatch):
+    """The index of a text in its slice has a fixed number of bits, however short the texts are."""
+    monkeypatch.setattr(ctw, "OWNER_BITS", 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(21)), pa.array(["", "ab", "\u00e9"] * 7)], names=["doc_id", "text"])
+    slices = list(ctw.raw_slices(iter([batch])))
+    assert [len(ids) for ids, _ in slices] == [8, 8, 5]
+    held = np.unique(ctw.nearest_first(ctw.grams([b"ab", b""])[0]))
+    for _, raws in slices:
+        scores, n_rare, rare = ctw.text_scores(raws, (held, -np.arange(1.0, len(held) + 1)))
+        for raw, score, at, n in zip(raws, scores, np.cumsum(n_rare), n_rare):
+            strings = ctw.nearest_first(ctw.grams([raw])[0])
+            known = np.isin(strings, held)
+            assert score == -(np.searchsorted(held, strings[known]) + 1.0).sum() and sorted(rare[at - n : at]) == sorted(strings[~known])
+
+
 def cheapest(roles):
     costs = {chat.START: 0}
     for role in roles:
