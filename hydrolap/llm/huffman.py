@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .tokens import flat_binary
+
 BLOCK_IDS = 65_536
 STEP = 128
 MAX_BITS = 20
@@ -117,11 +119,10 @@ def id_counts(tokens: DataFrame, width: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen = np.bincount(np.frombuffer(ids.as_buffer(), width))
-                if len(seen) > len(total):
-                    total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
-                total[: len(seen)] += seen
+            seen = np.bincount(flat_binary(batch.column(0), width)[0])
+            if len(seen) > len(total):
+                total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
+            total[: len(seen)] += seen
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 

@@ -128,6 +128,41 @@ def test_encoder_cuts_marks_behind_letters(text):
     assert encoder.encode(text) == encoder.whole(text)
 
 
+@pytest.mark.parametrize("entries, at_once", [(5, 16), (40, 1), (100_000, 16)])
+def test_encoder_of_many_texts_equals_the_library(monkeypatch, entries, at_once):
+    """Also with a full table, uneven white space, added tokens and marks; each different part of a slice is worked out once."""
+    monkeypatch.setattr(tokens, "PART_ENTRIES", entries)
+    monkeypatch.setattr(tokens, "WORDS_AT_ONCE", at_once)
+    encoder = tokens.ChunkEncoder(tokens.tokenizer_json(public_tokenizers.path("byte_bpe_50k.json")))
+    assert encoder.words_at_once == at_once
+    parts = ["a", "Wort", "été", "à", "ł", "\xc2", " ", " ", "  ", "\n", "\t", "\x85", "\xa0", "\u3000", "'s", "12", "don't", "<|endoftext|>", ",", "x.", "&&&", "日本"]
+    draw = random.Random(7)
+    texts = ["".join(draw.choice(parts[: draw.choice([8, len(parts)])]) for _ in range(draw.randint(0, 12))) for _ in range(2000)] + ODD[1:]
+    worked, work = Counter(), encoder.table.work
+    for k in range(0, len(texts), 500):
+        asked: Counter = Counter()
+        monkeypatch.setattr(encoder.table, "work", lambda new: asked.update(new.to_pylist()) or work(new))
+        ids, bounds = encoder.encode_all(pa.array(["skipped", *texts[k : k + 500]])[1:], tokens.packed([7]))
+        for text, a, b in zip(texts[k : k + 500], bounds, bounds[1:]):
+            assert ids[a:b].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 7], text
+        assert max(asked.values(), default=1) == 1 and len(encoder.table.keys) <= entries
+        worked += asked
+    assert entries < 100_000 or max(worked.values()) == 1
+
+
+def test_token_rows_in_slices(monkeypatch):
+    """Slices cut between texts; a slice has one text at least, and empty texts and an empty batch pass."""
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 40)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["", "a" * 100, "b", "c" * 30, "", "d" * 60])], names=["doc_id", "text"])
+    cut = [part.column(0).to_pylist() for part in tokens.text_slices(batch)]
+    assert [i for part in cut for i in part] == [*range(6)] and len(cut) > 2 and all(cut)
+    assert not list(tokens.text_slices(batch.slice(0, 0)))
+    encoder = tokens.ChunkEncoder(tokens.tokenizer_json(BYTE_BPE))
+    for part in tokens.text_slices(batch):
+        ids, bounds = encoder.encode_all(part.column(1), b"")
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == library_ids(part.column(1).to_pylist())
+
+
 def test_codec_with_full_memos(monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_ENTRIES", 5)
     definition = bpe.tokenizer_json(public_tokenizers.path("word_bpe_49k.json"))
