@@ -42,9 +42,9 @@ DEPTH = 5
 TOP = 2
 HOT_WORDS = 1 << 17
 HOT_STRINGS = 1 << 21
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 OWNER_BITS = 15  # of the index of a text in its slice; 8 * (DEPTH + 1) more hold a byte string
-FLUSH = 500_000
+FLUSH = 250_000
 SUBTREE_ROWS = 1 << 18
 
 WORD, GRAM, DOCUMENT = range(3)
@@ -100,7 +100,7 @@ def corpus_counts(docs: DataFrame, is_training: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         words: Counter = Counter()
-        held, documents = (np.empty(0, np.int64),) * 3, 0
+        runs, documents = [], 0
 
         def out(kind, k, n, times):
             return pa.RecordBatch.from_arrays(
@@ -118,15 +118,15 @@ def corpus_counts(docs: DataFrame, is_training: Column) -> DataFrame:
             if len(words) > FLUSH:
                 yield flush_words()
             strings, owner = grams(raws)
-            new = string_counts(nearest_first(strings), np.asarray(learned, bool)[owner])
-            columns = [np.concatenate(c) for c in zip(held, new)]
-            order = np.argsort(columns[0], kind="stable")  # merges two sorted runs
-            held = merged(*(c[order] for c in columns))
-            if len(held[0]) > 4 * FLUSH:
-                yield out(GRAM, *held)
-                held = (np.empty(0, np.int64),) * 3
+            runs.append(string_counts(nearest_first(strings), np.asarray(learned, bool)[owner]))
+            if 2 * sum(len(run[0]) for run in runs[1:]) > len(runs[0][0]):
+                runs = [merged_runs(runs)]
+            if len(runs[0][0]) > 4 * FLUSH:
+                yield out(GRAM, *merged_runs(runs))
+                runs = []
         yield flush_words()
-        yield out(GRAM, *held)
+        if runs:
+            yield out(GRAM, *merged_runs(runs))
         yield out(DOCUMENT, [0], [documents], [documents])
 
     rows = docs.select(F.coalesce(is_training, F.lit(False)).alias("training"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -206,6 +206,13 @@ def merged(keys: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(x, first) if len(first) else x for x in sums)
 
 
+def merged_runs(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One run of several sorted ones: keys and their sums."""
+    columns = [np.concatenate(c) for c in zip(*runs)]
+    order = np.argsort(columns[0], kind="stable")  # finds the runs and merges them
+    return merged(*(c[order] for c in columns))
+
+
 class Tree:
     """The whole model in one process: what the jobs below compute in pieces, for corpora that fit."""
 
@@ -341,17 +348,17 @@ def text_scores(raws: list[bytes], held: tuple[np.ndarray, np.ndarray]) -> tuple
 
 
 class HotWords(dict):
-    """Word -> (its hash, None) or, if hot, (None, log10 of its count plus one)."""
+    """Word -> its hash or, if hot, log10 of its count plus one, the one a whole number and the other a float."""
 
     def __init__(self, counts: dict[int, int]):
         self.counts = counts
 
-    def __missing__(self, word: bytes) -> tuple[int | None, float | None]:
+    def __missing__(self, word: bytes) -> int | float:
         if len(self) > FLUSH:
             self.clear()
         h = word_hash(word)
         c = self.counts.get(h)
-        out = self[word] = (h, None) if c is None else (None, math.log10(c + 1))
+        out = self[word] = h if c is None else math.log10(c + 1)
         return out
 
 
@@ -373,9 +380,9 @@ def score_rows(docs: DataFrame, hot_strings: tuple[np.ndarray, np.ndarray], hot:
                 found = raw.split()
                 known, logs, rest, times = int(end_count > 0), math.log10(end_count + 1), [], []
                 for w, n in Counter(found).items():
-                    h, value = words[w]
-                    if value is None:
-                        rest.append(h)
+                    value = words[w]
+                    if type(value) is int:
+                        rest.append(value)
                         times.append(n)
                     else:
                         known += n
