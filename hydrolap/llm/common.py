@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import new_folder
+from ..session import new_folder, release_shuffles
 
 # What separates words, and a word.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -20,12 +20,23 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def work_table(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, and later passes see the same rows in the same files."""
-    spark = df.sparkSession
-    path = new_folder(spark, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def work_table(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, and later passes see the same rows in the same files.
+
+    ``folder``: a work folder that is removed when what was made from the table is stored; without one the table stays.
+    """
+    return work_tables([df], name, folder)
+
+
+def work_tables(parts: list[DataFrame], name: str, folder: str | None = None) -> DataFrame:
+    """One table of frames with one schema, which are made one after the other, so that only one's shuffle files are there at a time."""
+    spark = parts[0].sparkSession
+    path = f"{folder}/{name}" if folder else new_folder(spark, f"llm-{name}")
+    for i, part in enumerate(parts):
+        part.write.mode("append" if i else "error").option("compression", "zstd").parquet(path)
+        if len(parts) > 1:
+            release_shuffles(spark)
+    return spark.read.schema(parts[0].schema).parquet(path)
 
 
 BROADCAST_ROWS = 2_000_000

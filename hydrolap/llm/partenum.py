@@ -34,7 +34,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_text, work_table
+from ..session import release_shuffles, work_folder
+from .common import id_text, work_table, work_tables
 from .components import components
 
 U = np.uint64
@@ -47,6 +48,7 @@ NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 BLOCK_SETS = 2048
 BLOCK_SHINGLES = 1_000_000
 FILTER_BITS = 1 << 23
+TURNS, TURN_SHINGLES = 2, 2_000_000  # signatures are dealt out in so many turns from so many shingles on, else at once
 
 
 @dataclass(frozen=True)
@@ -154,8 +156,8 @@ def digest(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else 0
 
 
-def signatures(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All signatures of one set and the part that each belongs to (band number x 2**32 + part)."""
+def signatures(shingles: np.ndarray, percent: int, turn: int = 0, turns: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of one set, or those of every ``turns``-th part, and the part that each belongs to (band number x 2**32 + part)."""
     n = len(shingles)
     out, places = [], []
     for band in bands(percent, max(64, 1 << int(n).bit_length())):
@@ -164,8 +166,12 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
         seed = U(band.no * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         spread = mix(shingles + seed)
         third = (spread % U(3 * band.parts)).astype(np.int64)  # part * 3 + third of it
+        filled = np.bincount(third, minlength=3 * band.parts)
+        if turns > 1:
+            own = third // 3 % turns == turn
+            spread, third = spread[own], third[own]
         value = mix(spread ^ U(0xD6E8FEB86659FD93))
-        sums, filled = np.zeros(3 * band.parts, U), np.bincount(third, minlength=3 * band.parts)
+        sums = np.zeros(3 * band.parts, U)
         np.add.at(sums, third, value)
         sums, filled = sums.reshape(-1, 3), filled.reshape(-1, 3)
         pair = np.stack([sums[:, a] + sums[:, b] * U(3) for a, b in ((0, 1), (0, 2), (1, 2))], 1)
@@ -174,6 +180,7 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
         every = mix(mix(pair + count.astype(U)) + mix(seed + place))
         part = np.repeat(np.arange(band.parts)[:, None] + (band.no << 32), 3, 1)
         emit = np.ones_like(count, bool) if int((count == 0).any(1).sum()) > band.empty else count > 0
+        every, part, emit = every[turn::turns], part[turn::turns], emit[turn::turns]
         out.append(every[emit])
         places.append(part[emit])
     return (np.concatenate(out), np.concatenate(places)) if out else (np.empty(0, U), np.empty(0, np.int64))
@@ -223,8 +230,8 @@ def part_of(signature: np.ndarray, beside: np.ndarray) -> np.ndarray:
     return np.where(beside > 0, beside - 1, signature >> HASH_BITS + 16 << 32 | signature >> HASH_BITS & 0xFFFF)
 
 
-def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(signature, node, part) of every signature that two nodes or more have, for all of them.
+def shared_signatures(docs: DataFrame, size: int, percent: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """(signature, node, part) of every signature of a turn that two nodes or more have, for all of them. Each part belongs to one turn.
 
     Where a slice of documents has several nodes for one signature, only the first takes part in the shuffle by signature; the
     others are known to share it and travel under their own number, so a signature of many sets is no hot key.
@@ -233,7 +240,7 @@ def shared_signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]):
         for rows in set_slices(batches, size):
             sets = {digest(s): s for _, s in rows}
-            found = [(node, *signatures(s, percent)) for node, s in sets.items()]
+            found = [(node, *signatures(s, percent, turn, turns)) for node, s in sets.items()]
             if not found:
                 continue
             sig = np.concatenate([x for _, x, _ in found]).view(np.int64)
@@ -288,15 +295,19 @@ def _rows(y: np.ndarray, x: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(y), pa.array(x), pa.array(part)], names=["y", "x", "part"])
 
 
-def candidate_edges(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): nodes that pass the test of shared parts, tied to the least one of each signature that they share."""
-    shared = work_table(shared_signatures(docs, size, percent), "shared").distinct()
-    most = nodes.agg(F.coalesce(F.max("n_shingles"), F.lit(1)).alias("n")).first()["n"]
+def candidate_edges(docs: DataFrame, nodes: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
+    """(a, b): nodes that pass the test of shared parts, tied to the least one of each signature that they share.
+
+    All signatures together take two to three times the room of the texts in a shuffle, so they are made in turns.
+    """
+    most, total = nodes.agg(F.coalesce(F.max("n_shingles"), F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    turns = TURNS if total >= TURN_SHINGLES else 1
+    shared = work_tables([shared_signatures(docs, size, percent, turn, turns) for turn in range(turns)], "shared", folder).distinct()
     needed = {b.no: b.needed for b in bands(percent, max(64, 1 << int(most).bit_length()))}
     table = docs.sparkSession.createDataFrame(sorted(needed.items()), "band int, needed int")
     parts = shared.select("node", "part").distinct().groupBy("node", F.shiftright("part", 32).cast("int").alias("band")).agg(F.count(F.lit(1)).alias("parts"))
     passed = parts.join(F.broadcast(table), "band").where("parts >= needed").select("node", "band")
-    kept = work_table(shared.withColumn("band", F.shiftright("part", 32).cast("int")).join(passed, ["node", "band"]).select("signature", "node"), "kept")
+    kept = work_table(shared.withColumn("band", F.shiftright("part", 32).cast("int")).join(passed, ["node", "band"]).select("signature", "node"), "kept", folder)
     heads = kept.groupBy("signature").agg(F.min("node").alias("head"))
     return kept.join(heads, "signature").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
@@ -432,34 +443,38 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (other documents linked directly) of every document."""
     found = work_table(digests(docs, size), "digests")
-    nodes = work_table(found.where("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "nodes")
-    candidates = components(work_table(candidate_edges(docs, nodes, size, percent), "candidates"), "candidates").select("node", F.col("label").alias("group"))
-    chosen = work_table(candidates.join(nodes, "node"), "chosen")
-    nulls = bool(chosen.where("least IS NULL").limit(1).count())
-    wanted_bits = docs.sparkSession.sparkContext.broadcast(id_filter(chosen.where("least IS NOT NULL").select("least")))
-
-    def fetch(batches: Iterator[pa.RecordBatch]):
-        bits = np.unpackbits(np.frombuffer(wanted_bits.value, np.uint8)).astype(bool)
-
-        def wanted(doc_id):
-            return nulls if doc_id is None else bits[id_bits(np.asarray([doc_id]))[0]]
-
-        for rows in set_slices(batches, size, wanted):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in rows], pa.int64()), pa.array([digest(s) for _, s in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary())],
-                names=["doc_id", "seen", "shingles"])
-
-    sets = id_text(docs).mapInArrow(fetch, "doc_id long, seen long, shingles binary")
-    members = work_table(chosen.join(sets, F.col("least").eqNullSafe(F.col("doc_id")) & (F.col("node") == F.col("seen"))).select(
-        "group", "node", "copies", "n_shingles", "shingles").dropDuplicates(["node"]), "members")
-    verified = work_table(verify(members, percent), "verified")
-    labels = components(verified.select(F.col("node").alias("a"), F.col("head").alias("b")).where("a <> b"), "links")
-    degree = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    lowest = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_node = work_table(named.join(lowest, "label").join(degree, "node", "left").select(
-        "node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    release_shuffles(docs.sparkSession)
+    with work_folder(docs.sparkSession, "jaccard-join") as folder:
+        nodes = work_table(found.where("n_shingles > 0").groupBy("node").agg(
+            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "nodes", folder)
+        candidates = components(work_table(candidate_edges(docs, nodes, size, percent, folder), "candidate-edges", folder), "candidates", folder).select("node", F.col("label").alias("group"))
+        chosen = work_table(candidates.join(nodes, "node"), "chosen", folder)
+        nulls = bool(chosen.where("least IS NULL").limit(1).count())
+        wanted_bits = docs.sparkSession.sparkContext.broadcast(id_filter(chosen.where("least IS NOT NULL").select("least")))
+
+        def fetch(batches: Iterator[pa.RecordBatch]):
+            bits = np.unpackbits(np.frombuffer(wanted_bits.value, np.uint8)).astype(bool)
+
+            def wanted(doc_id):
+                return nulls if doc_id is None else bits[id_bits(np.asarray([doc_id]))[0]]
+
+            for rows in set_slices(batches, size, wanted):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _ in rows], pa.int64()), pa.array([digest(s) for _, s in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary())],
+                    names=["doc_id", "seen", "shingles"])
+
+        sets = id_text(docs).mapInArrow(fetch, "doc_id long, seen long, shingles binary")
+        release_shuffles(docs.sparkSession)
+        members = work_table(chosen.join(sets, F.col("least").eqNullSafe(F.col("doc_id")) & (F.col("node") == F.col("seen"))).select(
+            "group", "node", "copies", "n_shingles", "shingles").dropDuplicates(["node"]), "members", folder)
+        release_shuffles(docs.sparkSession)
+        verified = work_table(verify(members, percent), "verified", folder)
+        labels = components(verified.select(F.col("node").alias("a"), F.col("head").alias("b")).where("a <> b"), "links", folder)
+        degree = verified.groupBy("node").agg(F.sum("links").alias("links"))
+        named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        lowest = named.groupBy("label").agg(F.min("least").alias("component_id"))
+        per_node = work_table(named.join(lowest, "label").join(degree, "node", "left").select(
+            "node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
     rows = found.withColumn("key", F.when(F.col("n_shingles") > 0, F.col("node")))
     return rows.join(per_node.withColumnRenamed("node", "key"), "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

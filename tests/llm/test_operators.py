@@ -5,9 +5,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -22,7 +24,7 @@ import corpus_pipeline
 from hydrolap.llm import bpe, chat, ctw, huffman, lines, packing, partenum, queries, rules, syncmers, tokens, toxicity
 from hydrolap.llm.components import components
 from hydrolap.llm.common import work_table
-from hydrolap.session import new_folder
+from hydrolap.session import new_folder, release_shuffles, shared_dir
 from tools.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -623,6 +625,64 @@ def test_signatures_hold_their_parts(spark, monkeypatch):
     assert sorted((r["node"], r["part"]) for r in narrow) == sorted((r["node"], r["part"]) for r in wide)
 
 
+def shuffle_files(spark) -> int:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def work_tables_of(spark) -> set[str]:
+    return {p.name.rsplit("-", 1)[0] for p in (Path(shared_dir(spark).removeprefix("file:")) / "hydrolap").glob("*")}
+
+
+def test_signatures_in_turns(spark):
+    rows = [(i, words(random.Random(i // 2), 60) + f" w{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for s in partenum.shingle_sets([t.encode().lower() for _, t in rows] + [b"one two three four"], 3):
+        every, place = partenum.signatures(s, 70)
+        turns = [partenum.signatures(s, 70, turn, 3) for turn in range(3)]
+        assert sorted(zip(every, place)) == sorted(x for t in turns for x in zip(*t))
+    whole = {tuple(r) for r in partenum.shared_signatures(docs, 3, 70).collect()}
+    parts = [{tuple(r) for r in partenum.shared_signatures(docs, 3, 70, turn, 2).collect()} for turn in range(2)]
+    assert min(len(p) for p in parts) > len(whole) // 4 and parts[0] | parts[1] == whole and not parts[0] & parts[1]
+
+
+def test_joins_leave_no_work(spark, monkeypatch):
+    """What a join made on its way is gone before its result is read: tables and shuffle files of both turns."""
+    rows = [(i, "\n".join(words(random.Random(i // 2 * 100 + k), 30) for k in range(3)) + f" w{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(map(tuple, partenum.join(docs, 3, 70).collect()))
+    monkeypatch.setattr(partenum, "TURN_SHINGLES", 0)
+    seen, made = [], partenum.shared_signatures
+
+    def counted(*args):
+        seen.append(args[3:])
+        return made(*args)
+
+    monkeypatch.setattr(partenum, "shared_signatures", counted)
+    monkeypatch.setattr("hydrolap.session.new_folder", lambda spark, name, given=new_folder: given(spark, f"kept-{name}"))
+    monkeypatch.setattr("hydrolap.llm.common.new_folder", lambda spark, name, given=new_folder: given(spark, f"kept-{name}"))
+    joined = partenum.join(docs, 3, 70)
+    assert seen == [(0, 2), (1, 2)] and max(r[3] for r in want) == 1
+    assert sorted(map(tuple, joined.collect())) == want
+    lines.dedup(docs).collect()
+    assert {t for t in work_tables_of(spark) if t.startswith("kept-")} == {f"kept-llm-{t}" for t in ("digests", "classes", "links", "concerned", "places", "verdicts")}
+
+
+def test_shuffle_files_go(spark):
+    docs = spark.createDataFrame([(i, "\n".join(words(random.Random(i // 2 * 100 + k), 30) for k in range(3)) + f" w{i}") for i in range(60)], "doc_id long, text string")
+    release_shuffles(spark)
+    time.sleep(1)
+    before = shuffle_files(spark)
+    docs.groupBy("text").count().collect()
+    assert shuffle_files(spark) > before
+    assert lines.links(docs).count()
+    for _ in range(50):
+        if shuffle_files(spark) <= before + 4:  # those of the count
+            return
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before + 4
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     assert {r["node"]: r["label"] for r in components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
