@@ -50,7 +50,7 @@ def load_stream_within(arriving: DataFrame, warehouse: Warehouse, schema: RawSch
             with work_folder(spark, f"stream-{batch_id}-{iteration}") as folder:
                 stored = store(batch, f"{folder}/arrived")
                 every = with_late_routed(stored, warehouse, schema, run, folder)
-                load_prepared(store(every, f"{folder}/rows"), arriving.columns, warehouse, schema, run, folder)
+                load_prepared(every, arriving.columns, warehouse, schema, run, folder)
         drop_folder(spark, warehouse.manifest(batch_id, iteration))
 
     return (

@@ -97,6 +97,31 @@ def test_rerun_of_valid_copies_leaves_no_review_rows(spark, raw, tmp_path):
     assert spark.read.parquet(house.destination).count() == 1
 
 
+def test_batches_in_turns(spark, tmp_path, monkeypatch):
+    """Keys taken in turns give what all at once give, with null parts of a key, and a turn's stored rows go when they are marked."""
+    rows = [(i, f"2024-01-{i % 28 + 1:02d}", "01", None if i % 11 == 0 else f"Place {i % 7}", "A" if i % 3 else "", str(i % 120), "Nacional") for i in range(600)]
+    raw = spark.createDataFrame(rows, "row_id long, fecha_txt string, mes_txt string, place_txt string, system_txt string, irca_txt string, scope string")
+    schema = cl.RawSchema(order=("row_id",))
+    found, left, dropped = [], [], cl.drop_folder
+
+    def dropping(spark, path):
+        left.append(path)
+        dropped(spark, path)
+
+    monkeypatch.setattr(cl, "drop_folder", dropping)
+    for name, least in (("whole", 10**9), ("turns", 0)):
+        monkeypatch.setattr(cl, "TURN_ROWS", least)
+        house = cl.Warehouse(str(tmp_path / name))
+        for part in (raw.where("row_id < 200"), raw, raw):
+            cl.run_batch(part, house, schema, WATER, 1, 3)
+        log = spark.read.parquet(house.log).orderBy("log_id").select("recibidos", "aceptados", "duplicados", "revision", "ya_cargados")
+        stored = [sorted(map(str, spark.read.parquet(p).drop("log_id").collect())) for p in (house.destination, house.review)]
+        found.append((log.collect(), *stored))
+    assert found[0] == found[1]
+    assert all(r.aceptados and r.duplicados for r in found[0][0][:2]) and found[0][0][1].ya_cargados and found[0][0][2].aceptados == 0
+    assert len([p for p in left if "/route=VALID/_turn=" in p]) == 3 * cl.TURNS
+
+
 STEPS = ["manifest", "review", "destination", "log", "close"]
 
 
