@@ -120,6 +120,7 @@ def test_batches_in_turns(spark, tmp_path, monkeypatch):
     assert found[0] == found[1]
     assert all(r.aceptados and r.duplicados for r in found[0][0][:2]) and found[0][0][1].ya_cargados and found[0][0][2].aceptados == 0
     assert len([p for p in left if "/route=VALID/_turn=" in p]) == 3 * cl.TURNS
+    assert {p.rsplit(".", 2)[1] for p in map(str, (tmp_path / "turns").rglob("destination/**/*.parquet"))} == {"zstd"}
 
 
 STEPS = ["manifest", "review", "destination", "log", "close"]
